@@ -1,0 +1,17 @@
+"""Broadcast only behind a measured size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A lookup is broadcast only when it has at most this many rows.  The count is
+# taken with ``limit(n + 1)`` so it stops early on a large input; above the
+# bound the plain join is left to the planner (sort-merge join; AQE may still
+# convert it from measured shuffle sizes and splits skewed partitions).
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
