@@ -182,7 +182,7 @@ def with_fixtures(names, body: str) -> str:
     b = body.strip()
     if not closure:
         return b if b[:6].upper() == "SELECT" else "WITH " + b
-    ctes = ",\n".join(f"{n} AS ({FIXTURES[n][0]})" for n in closure)
+    ctes = ",\n".join(f"{n} AS MATERIALIZED ({FIXTURES[n][0]})" for n in closure)
     return f"WITH {ctes}\n{b}"
 
 
