@@ -278,12 +278,12 @@ def mode_comparison_summary(spark, sf):
   lays AS (SELECT source_row, variable, year, phy_layer AS layer, row, col, value AS stored, inside FROM ind
            WHERE variable IN ('chl', 'no3', 'o2')
            UNION ALL SELECT source_row, variable, year, bgc_layer AS layer, row, col, value AS stored, inside FROM ind
-           WHERE variable IN ('chl', 'no3', 'o2') AND bgc_layer IS DISTINCT FROM phy_layer),
+           WHERE variable IN ('chl', 'no3', 'o2')),
   offs AS (SELECT a.dr, b.dc FROM (SELECT unnest([-1, 0, 1]) AS dr) a, (SELECT unnest([-1, 0, 1]) AS dc) b),
-  win AS (SELECT q.*, o.dr, o.dc FROM lays q JOIN sizes s ON s.variable = q.variable, offs o
+  win AS (SELECT q.*, o.dr, o.dc FROM lays q JOIN sizes s ON list_position(['thetao', 'so', 'chl', 'no3', 'o2'], s.variable) = list_position(['thetao', 'so', 'chl', 'no3', 'o2'], q.variable), offs o
     WHERE q.inside AND q.row >= 1 AND q.row <= s.height - 2 AND q.col >= 1 AND q.col <= s.width - 2)
-SELECT w.source_row, w.variable, w.layer, w.dr AS drow, w.dc AS dcol FROM win w JOIN fx4 x
-  ON x.variable = w.variable AND x.year = w.year AND x.layer = w.layer AND x.row = w.row + w.dr AND x.col = w.col + w.dc
+SELECT DISTINCT w.source_row, w.variable, w.layer, w.dr AS drow, w.dc AS dcol FROM win w JOIN fx4 x
+  ON list_position(['thetao', 'so', 'chl', 'no3', 'o2'], x.variable) = list_position(['thetao', 'so', 'chl', 'no3', 'o2'], w.variable) AND x.year = w.year AND x.layer = w.layer AND x.row = w.row + w.dr AND x.col = w.col + w.dc
 WHERE x.value = w.stored"""))
 def neighbour_matches(spark, sf):
     """Neighbourhood check on both the physical and the independent layer of
