@@ -1 +1,112 @@
-"""Queries (to be filled)."""
+"""Queries of build step 7: ring checks, point-in-polygon decisions,
+species counts, the five-way spatial route and predicate comparison.
+
+Points are the FX1 rows with valid coordinates; polygons are FX5 boxes (the
+oracle uses the closed-form box test, independent of the ray cast)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.normalize import species_key
+from ..operators import classify, polygon
+from ..sources import fixtures as fx
+from ..sources.fixtures import with_fixtures
+from .q_clean import _coord_sql
+from .registry import query
+
+FXS = ["fx1", "fx5"]
+
+
+def poly_points(spark, sf):
+    qc = classify.coordinate_qc(fx.load(spark, sf, "fx1")).where(F.col("route") == "accepted")
+    return qc.select("source_row", species_key().alias("species_key"), F.col("longitude_numeric").alias("lon"),
+                     F.col("latitude_numeric").alias("lat"))
+
+
+def decisions_plan(spark, sf):
+    return polygon.polygon_decide(poly_points(spark, sf), fx.load(spark, sf, "fx5"))
+
+
+POLY_SQL = f"""{_coord_sql('fx1')},
+  pts AS (SELECT source_row, lower(trim(scientificname)) AS species_key, longitude_numeric AS lon,
+    latitude_numeric AS lat FROM qc WHERE route = 'accepted'),
+  boxes AS (SELECT species_key, feature, min(least(x1, x2)) AS xmin, max(greatest(x1, x2)) AS xmax,
+    min(least(y1, y2)) AS ymin, max(greatest(y1, y2)) AS ymax FROM fx5 GROUP BY 1, 2),
+  poly_species AS (SELECT DISTINCT species_key FROM fx5),
+  pf AS (SELECT p.source_row, bool_or(lon > xmin AND lon < xmax AND lat > ymin AND lat < ymax) AS inside,
+    bool_or((lon BETWEEN xmin AND xmax AND (lat = ymin OR lat = ymax))
+         OR (lat BETWEEN ymin AND ymax AND (lon = xmin OR lon = xmax))) AS on_edge
+    FROM pts p JOIN boxes b ON p.species_key = b.species_key GROUP BY 1),
+  decisions AS (SELECT p.source_row, p.species_key,
+    CASE WHEN s.species_key IS NULL THEN 'missing_buffer' ELSE 'ready' END AS buffer_status,
+    s.species_key IS NOT NULL AND coalesce(pf.inside, false) AS buffer_inside,
+    s.species_key IS NOT NULL AND NOT coalesce(pf.inside, false) AND coalesce(pf.on_edge, false) AS buffer_boundary
+    FROM pts p LEFT JOIN poly_species s ON p.species_key = s.species_key LEFT JOIN pf ON pf.source_row = p.source_row),
+  sp AS (SELECT species_key, count(*) FILTER (WHERE buffer_inside) AS spatial_records FROM decisions GROUP BY 1),
+  routed AS (SELECT d.*, sp.spatial_records, CASE
+      WHEN buffer_status = 'ready' AND buffer_inside AND spatial_records >= 15 THEN 'accepted'
+      WHEN buffer_status = 'ready' AND NOT buffer_inside AND NOT buffer_boundary THEN 'outside_buffer'
+      WHEN buffer_status = 'ready' AND buffer_boundary THEN 'boundary_excluded'
+      WHEN buffer_status = 'ready' AND buffer_inside AND spatial_records < 15 THEN 'below_threshold'
+      WHEN buffer_status <> 'ready' THEN 'review_missing_buffer' END AS route
+    FROM decisions d JOIN sp ON d.species_key IS NOT DISTINCT FROM sp.species_key)"""
+
+
+@query("ring_checks", with_fixtures(["fx5"], """
+SELECT species_key, feature, count(*) AS edges,
+  bool_and(isfinite(x1) AND isfinite(y1) AND isfinite(x2) AND isfinite(y2)) AS finite,
+  true AS closed, count(*) >= 3 AND bool_and(isfinite(x1) AND isfinite(y1) AND isfinite(x2) AND isfinite(y2)) AS valid
+FROM fx5 GROUP BY 1, 2"""))
+def ring_checks(spark, sf):
+    return polygon.ring_checks(fx.load(spark, sf, "fx5"))
+
+
+@query("polygon_contains", with_fixtures(FXS, f", {POLY_SQL} SELECT * FROM decisions"))
+def polygon_contains(spark, sf):
+    return decisions_plan(spark, sf)
+
+
+@query("polygon_status", with_fixtures(FXS, f"""", {POLY_SQL}
+SELECT buffer_status, count(*) AS records, count(DISTINCT species_key) AS species FROM decisions GROUP BY 1""".lstrip('"')))
+def polygon_status(spark, sf):
+    d = decisions_plan(spark, sf)
+    return d.groupBy("buffer_status").agg(F.count(F.lit(1)).alias("records"),
+                                          F.count_distinct("species_key").alias("species"))
+
+
+@query("polygon_species_counts", with_fixtures(FXS, f""", {POLY_SQL}
+SELECT species_key, first(buffer_status) AS status, count(*) AS input_rows,
+  count(*) FILTER (WHERE buffer_inside) AS inside_rows, count(*) FILTER (WHERE buffer_boundary) AS boundary_rows,
+  CASE WHEN first(buffer_status) = 'ready' THEN count(*) FILTER (WHERE NOT buffer_inside AND NOT buffer_boundary) END AS outside_rows,
+  first(buffer_status) = 'ready' AND count(*) FILTER (WHERE buffer_inside) >= 15 AS retained_ge15
+FROM decisions GROUP BY 1"""))
+def polygon_species_counts(spark, sf):
+    return polygon.polygon_counts(decisions_plan(spark, sf))
+
+
+@query("spatial_route", with_fixtures(FXS, f", {POLY_SQL} SELECT source_row, species_key, spatial_records, route FROM routed"))
+def spatial_route(spark, sf):
+    return polygon.spatial_route(decisions_plan(spark, sf)).select("source_row", "species_key", "spatial_records", "route")
+
+
+@query("predicate_comparison", with_fixtures(FXS, f""", {POLY_SQL},
+  per AS (SELECT species_key, count(*) FILTER (WHERE buffer_inside) AS n_contains,
+    count(*) FILTER (WHERE buffer_inside OR buffer_boundary) AS n_intersects,
+    count(*) FILTER (WHERE route = 'accepted') AS actual_rows FROM routed WHERE buffer_status = 'ready' GROUP BY 1),
+  modes AS (SELECT species_key, 'contains' AS mode, CASE WHEN n_contains >= 15 THEN n_contains ELSE 0 END AS predicted_rows, actual_rows FROM per
+    UNION ALL SELECT species_key, 'intersects' AS mode, CASE WHEN n_intersects >= 15 THEN n_intersects ELSE 0 END AS predicted_rows, actual_rows FROM per)
+SELECT species_key, mode, predicted_rows, actual_rows, predicted_rows = actual_rows AS counts_equal FROM modes"""))
+def predicate_comparison(spark, sf):
+    r = polygon.spatial_route(decisions_plan(spark, sf)).where(F.col("buffer_status") == "ready")
+    per = r.groupBy("species_key").agg(
+        F.count_if("buffer_inside").alias("n_contains"),
+        F.count_if(F.col("buffer_inside") | F.col("buffer_boundary")).alias("n_intersects"),
+        F.count_if(F.col("route") == "accepted").alias("actual_rows"))
+    out = None
+    for mode, c in (("contains", "n_contains"), ("intersects", "n_intersects")):
+        m = per.select("species_key", F.lit(mode).alias("mode"),
+                       F.when(F.col(c) >= 15, F.col(c)).otherwise(F.lit(0)).cast("long").alias("predicted_rows"),
+                       "actual_rows")
+        out = m if out is None else out.unionByName(m)
+    return out.withColumn("counts_equal", F.col("predicted_rows") == F.col("actual_rows"))
