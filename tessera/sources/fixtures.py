@@ -148,6 +148,17 @@ SELECT source_row + 20000000 AS source_row, id, 'ghost ' || id AS scientificname
 FROM fx1 WHERE source_row % 101 = 0
 """
 
+# Range attributes (not in FIXTURES.md part B; derived here the same way):
+# one feature per customer, the name in a BINOMIAL column, text-typed
+# presence/origin codes and a marine flag in three spellings.
+_RANGE_ATTRS = """
+SELECT c_name AS BINOMIAL, cast(c_custkey % 5 as string) AS presence,
+  cast(c_nationkey % 4 as string) AS origin,
+  case c_custkey % 3 when 0 then 'True' when 1 then '1' else 'false' end AS marine,
+  'range_' || cast(c_custkey % 3 as string) || '.shp' AS source_file
+FROM customer WHERE c_custkey % 7 <> 3
+"""
+
 # name -> (sql, dependencies)
 FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
     "fx1": (_FX1, ()),
@@ -159,6 +170,7 @@ FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
     "fx4_files": (_FX4_FILES, ("fx4",)),
     "fx5": (_FX5, ()),
     "fx6": (_FX6, ("fx1",)),
+    "range_attrs": (_RANGE_ATTRS, ()),
 }
 
 
