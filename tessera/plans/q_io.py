@@ -1 +1,178 @@
-"""Queries (to be filled)."""
+"""Queries of build step 9: scans, sinks, row identity, inventories,
+fingerprints and incremental (streaming) processing.
+
+Round-trip queries write into a fresh folder under the session's shared
+checkpoint folder and read the result back, so the returned DataFrame is
+what was stored."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators import classify, route as rt
+from ..operators.identity import assign_source_row
+from ..session import scratch_path
+from ..sources import fixtures as fx, io
+from ..sources.fixtures import FX1_COLUMNS, with_fixtures
+from ..streaming import incremental
+from .q_clean import DEPTH_SQL, _coord_sql
+from .registry import query
+
+
+def _txt(c, empty_null=False):
+    e = f"cast({c} AS VARCHAR)"
+    return f"nullif({e}, '') AS {c}" if empty_null else f"coalesce({e}, '') AS {c}"
+
+
+@query("text_table_scan", with_fixtures(["fx1"], f" SELECT {', '.join(_txt(c) for c in FX1_COLUMNS)} FROM fx1"))
+def text_table_scan(spark, sf):
+    path = scratch_path(spark, "fx1_csv")
+    io.write_csv(fx.load(spark, sf, "fx1"), path)
+    return io.read_text_table(spark, path)
+
+
+@query("archive_scan", with_fixtures(["fx6"], f" SELECT {', '.join(_txt(c, True) for c in FX1_COLUMNS)} FROM fx6"))
+def archive_scan(spark, sf):
+    path = scratch_path(spark, "fx6_csv")
+    io.write_csv(fx.load(spark, sf, "fx6"), path)
+    return io.read_text_table(spark, path, empty_as_null=True)
+
+
+LINE_SCHEMA = T.StructType([T.StructField("l_orderkey", T.LongType()), T.StructField("l_partkey", T.LongType()),
+                            T.StructField("l_suppkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
+                            T.StructField("l_quantity", T.DoubleType()), T.StructField("l_extendedprice", T.DoubleType()),
+                            T.StructField("l_discount", T.DoubleType()), T.StructField("l_tax", T.DoubleType()),
+                            T.StructField("l_returnflag", T.StringType()), T.StructField("l_linestatus", T.StringType())])
+
+
+@query("typed_scan", f"SELECT {', '.join(f.name for f in LINE_SCHEMA.fields)} FROM lineitem")
+def typed_scan(spark, sf):
+    path = scratch_path(spark, "lineitem_csv")
+    io.write_csv(fx.table(spark, sf, "lineitem").select(*[f.name for f in LINE_SCHEMA.fields]), path)
+    return io.read_typed(spark, path, LINE_SCHEMA)
+
+
+@query("union_by_name", with_fixtures(["fx1"], f""" SELECT {', '.join(
+    (f"CASE WHEN source_row % 3 = 1 THEN NULL ELSE nullif(cast(behavior AS VARCHAR), '') END AS behavior"
+     if c == 'behavior' else _txt(c, True)) for c in FX1_COLUMNS)} FROM fx1"""))
+def union_by_name(spark, sf):
+    src = fx.load(spark, sf, "fx1")
+    base = scratch_path(spark, "union_csv")
+    parts = [(src.where(F.col("source_row") % 3 == 0), FX1_COLUMNS),
+             (src.where(F.col("source_row") % 3 == 1), [c for c in FX1_COLUMNS if c != "behavior"]),
+             (src.where(F.col("source_row") % 3 == 2), list(reversed(FX1_COLUMNS)))]
+    paths = []
+    for i, (df, cols) in enumerate(parts):
+        p = f"{base}/file{i}"
+        io.write_csv(df.select(*cols), p)
+        paths.append(p)
+    return io.read_union_by_name(spark, paths).select(*FX1_COLUMNS)
+
+
+@query("restore_routes", with_fixtures(["fx1"], f", {_coord_sql('fx1')} SELECT source_row, route FROM qc"))
+def restore_routes(spark, sf):
+    path = scratch_path(spark, "coordinate_routes")
+    rt.write_routes(classify.coordinate_qc(fx.load(spark, sf, "fx1")), path)
+    return rt.read_routes(spark, path, ["accepted", "excluded"]).select("source_row", "route")
+
+
+@query("route_roundtrip", with_fixtures(["fx1", "fx2"], f""", {DEPTH_SQL}
+SELECT route, count(*) AS rows, true AS refused_overwrite FROM depth_result GROUP BY 1"""))
+def route_roundtrip(spark, sf):
+    from .q_clean import depth_plan
+    path = scratch_path(spark, "depth_routes")
+    d = depth_plan(spark, sf)
+    rt.write_routes(d, path)
+    try:
+        rt.write_routes(d, path)
+        refused = False
+    except Exception:  # noqa: BLE001 - the second write must be refused
+        refused = True
+    back = rt.read_routes(spark, path)
+    return back.groupBy("route").agg(F.count(F.lit(1)).alias("rows")).withColumn("refused_overwrite", F.lit(refused))
+
+
+@query("pruned_range_lookup", with_fixtures(["fx1"], """
+SELECT source_row, id, scientificname FROM fx1 WHERE source_row % 16 = 5 AND source_row BETWEEN 1000 AND 5000"""))
+def pruned_range_lookup(spark, sf):
+    path = scratch_path(spark, "staging")
+    staged = fx.load(spark, sf, "fx1").withColumn("bucket", (F.col("source_row") % 16).cast("int"))
+    io.write_parquet(staged, path, partition_by=["bucket"], row_group_bytes=1 << 20)
+    back = spark.read.parquet(path)
+    return (back.where((F.col("bucket") == 5) & F.col("source_row").between(1000, 5000))
+            .select("source_row", "id", "scientificname"))
+
+
+@query("row_identity", "SELECT row_number() OVER () AS source_row, o_orderkey FROM orders")
+def row_identity(spark, sf):
+    return assign_source_row(spark, f"{sf}/orders.parquet").select("source_row", "o_orderkey")
+
+
+@query("file_inventory")
+def file_inventory(spark, sf):
+    return io.file_inventory(spark, sf, "*.parquet")
+
+
+@query("file_fingerprint")
+def file_fingerprint(spark, sf):
+    return io.file_fingerprints(spark, sf, "*.parquet")
+
+
+@query("fingerprint_mismatch")
+def fingerprint_mismatch(spark, sf):
+    """Store the inventory, recompute it, and list every file with its status."""
+    path = scratch_path(spark, "inventory")
+    io.write_parquet(io.file_fingerprints(spark, sf, "*.parquet"), path)
+    stored = spark.read.parquet(path).select("file_name", F.col("sha256").alias("stored_sha256"),
+                                             F.col("bytes").alias("stored_bytes"))
+    now = io.file_fingerprints(spark, sf, "*.parquet").select("file_name", "sha256", "bytes")
+    j = stored.join(now, "file_name", "full")
+    status = (F.when(F.col("sha256").isNull(), "missing").when(F.col("stored_sha256").isNull(), "new")
+              .when((F.col("sha256") != F.col("stored_sha256")) | (F.col("bytes") != F.col("stored_bytes")), "changed")
+              .otherwise("ok"))
+    return j.select("file_name", "stored_sha256", "sha256", status.alias("status"))
+
+
+@query("table_fingerprint")
+def table_fingerprint(spark, sf):
+    out = None
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
+        r = io.table_fingerprint(fx.table(spark, sf, t)).select(F.lit(t).alias("table_name"), "rows", "fingerprint")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+# --- incremental ---------------------------------------------------------------------------
+
+def _event_route(df):
+    v = F.col("value")
+    return df.select("event_id", "event_type",
+                     F.when(v.isNull() | F.isnan(v), "review_missing").when(v < 0, "excluded_negative")
+                     .otherwise("accepted").alias("route"))
+
+
+def _arrivals(spark, sf, run):
+    """Drop the events table into a landing folder in four arrivals and run
+    ``run`` after the second and the fourth (each file must be seen once)."""
+    ev = fx.table(spark, sf, "events")
+    landing = scratch_path(spark, "landing")
+    for k in range(4):
+        ev.where(F.col("event_id") % 4 == k).write.mode("append").parquet(landing)
+        if k in (1, 3):
+            run(landing, ev.schema)
+
+
+@query("incremental_route", """SELECT event_id, event_type, CASE WHEN value IS NULL OR isnan(value) THEN 'review_missing'
+  WHEN value < 0 THEN 'excluded_negative' ELSE 'accepted' END AS route FROM events""")
+def incremental_route(spark, sf):
+    out, ck = scratch_path(spark, "incremental_out"), scratch_path(spark, "incremental_ckpt")
+    _arrivals(spark, sf, lambda src, schema: incremental.incremental_route(spark, src, schema, out, ck, _event_route))
+    return spark.read.parquet(out).select("event_id", "event_type", "route")
+
+
+@query("incremental_multiset", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def incremental_multiset(spark, sf):
+    out, ck = scratch_path(spark, "multiset_out"), scratch_path(spark, "multiset_ckpt")
+    _arrivals(spark, sf, lambda src, schema: incremental.incremental_multiset(spark, src, schema, out, ck, ["event_type"]))
+    return spark.read.parquet(out)
