@@ -24,4 +24,4 @@ def query(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     # Importing the modules registers their queries.
-    from . import q_clean, q_reconcile, q_verify, q_grid, q_polygon, q_funnel, q_io  # noqa: F401
+    from . import q_clean, q_reconcile, q_verify, q_grid, q_polygon, q_funnel, q_io, q_scalar  # noqa: F401
