@@ -11,6 +11,7 @@ from ..operators import classify, dedup, lists
 from ..operators.route import route
 from ..sources import fixtures as fx
 from ..sources.fixtures import FX1_COLUMNS, with_fixtures
+from ..session import materialize
 from .registry import query
 
 KEYS = FX1_COLUMNS[2:]           # every source column except source_row and id
@@ -168,7 +169,7 @@ DEPTH_SQL = f"""{LOOKUP_SQL},
 
 
 def depth_plan(spark, sf):
-    lookup = classify.range_lookup(fx.load(spark, sf, "fx2"))
+    lookup = materialize(classify.range_lookup(fx.load(spark, sf, "fx2")))
     return classify.assign_depth(fx.load(spark, sf, "fx1"), lookup)
 
 

@@ -10,6 +10,7 @@ from ..operators import classify, grid, lists, verify
 from ..operators.identity import with_position
 from ..sources import fixtures as fx
 from ..sources.fixtures import with_fixtures
+from ..session import materialize
 from .q_clean import DEPTH_SQL, YEAR_SQL, _coord_sql
 from .registry import query
 
@@ -20,24 +21,29 @@ _FILE_RE = grid.FILE_PATTERN
 
 
 def env_points(spark, sf):
-    """FX1 rows that pass coordinate, depth and year QC, as sampling points."""
-    x = classify.coordinate_qc(fx.load(spark, sf, "fx1")).where(F.col("route") == "accepted")
-    x = classify.assign_depth(x, classify.range_lookup(fx.load(spark, sf, "fx2"))).where(F.col("route") == "accepted")
+    """FX1 rows that pass coordinate, depth and year QC, as sampling points.
+
+    Each QC stage is materialised before the next, as a stage's written
+    output would be."""
+    x = materialize(classify.coordinate_qc(fx.load(spark, sf, "fx1")).where(F.col("route") == "accepted").drop("route"))
+    lookup = materialize(classify.range_lookup(fx.load(spark, sf, "fx2")))
+    x = materialize(classify.assign_depth(x, lookup).where(F.col("route") == "accepted").drop("route"))
     x = classify.year_qc(x).where(F.col("route") == "accepted")
-    return x.select("source_row", species_key().alias("species_key"), F.col("longitude_numeric").alias("lon"),
-                    F.col("latitude_numeric").alias("lat"), "depth_final", "year_final")
+    return materialize(x.select("source_row", species_key().alias("species_key"), F.col("longitude_numeric").alias("lon"),
+                                F.col("latitude_numeric").alias("lat"), "depth_final", "year_final"))
 
 
-def layered_points(spark, sf):
-    return grid.assign_layers(env_points(spark, sf), fx.load(spark, sf, "fx3"))
+def layered_points(spark, sf, pts=None):
+    pts = pts if pts is not None else env_points(spark, sf)
+    return grid.assign_layers(pts, fx.load(spark, sf, "fx3"))
 
 
-def sample_plan(spark, sf, mode="independent"):
-    return grid.sample_long(layered_points(spark, sf), fx.load(spark, sf, "fx4"), SPEC, mode)
+def sample_plan(spark, sf, mode="independent", pts=None):
+    return grid.sample_long(layered_points(spark, sf, pts), fx.load(spark, sf, "fx4"), SPEC, mode)
 
 
-def wide_plan(spark, sf):
-    return grid.sample_wide(sample_plan(spark, sf))
+def wide_plan(spark, sf, pts=None):
+    return grid.sample_wide(sample_plan(spark, sf, pts=pts))
 
 
 ENV_SQL = f"""{DEPTH_SQL}, {YEAR_SQL}, {_coord_sql('fx1')},
@@ -219,9 +225,9 @@ FROM j JOIN cnt c ON j.species_key IS NOT DISTINCT FROM c.species_key"""))
 def environment_route(spark, sf):
     from ..functions.skew import join_group_stats
     from ..operators.route import route
-    w = wide_plan(spark, sf)
-    pts = env_points(spark, sf).select("source_row", "species_key")
-    j = w.select("source_row", "environment_invalid_mask").join(pts, "source_row")
+    pts = env_points(spark, sf)
+    w = wide_plan(spark, sf, pts)
+    j = w.select("source_row", "environment_invalid_mask").join(pts.select("source_row", "species_key"), "source_row")
     cnt = j.groupBy("species_key").agg(F.count(F.lit(1)).alias("input_records"),
                                        F.count_if(F.col("environment_invalid_mask") == 0).alias("species_environment_valid_records"))
     r = join_group_stats(j, cnt, ["species_key"], "input_records", "source_row")

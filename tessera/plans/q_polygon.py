@@ -12,6 +12,7 @@ from ..functions.normalize import species_key
 from ..operators import classify, polygon
 from ..sources import fixtures as fx
 from ..sources.fixtures import with_fixtures
+from ..session import materialize
 from .q_clean import _coord_sql
 from .registry import query
 
@@ -20,8 +21,8 @@ FXS = ["fx1", "fx5"]
 
 def poly_points(spark, sf):
     qc = classify.coordinate_qc(fx.load(spark, sf, "fx1")).where(F.col("route") == "accepted")
-    return qc.select("source_row", species_key().alias("species_key"), F.col("longitude_numeric").alias("lon"),
-                     F.col("latitude_numeric").alias("lat"))
+    return materialize(qc.select("source_row", species_key().alias("species_key"),
+                                 F.col("longitude_numeric").alias("lon"), F.col("latitude_numeric").alias("lat")))
 
 
 def decisions_plan(spark, sf):

@@ -71,3 +71,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     import uuid
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage at a stage boundary: a reliable checkpoint into the shared
+    checkpoint folder (survives executor loss; the next stage reads it back
+    like the stage's written output)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
