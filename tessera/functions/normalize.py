@@ -8,6 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+DOUBLE = T.DoubleType()
+STRING = T.StringType()
 
 # Fixed values that must equal the reference's rules.
 # Missing tokens for coordinates (compared after lower + trim).
@@ -42,8 +46,7 @@ def to_double(c) -> Column:
     that both engines agree.  ``inf``/``nan`` spellings parse in both.
     """
     s = col(c)
-    return F.when(s.rlike(r"[0-9.][dDfF]\s*$"), F.lit(None).cast("double")).otherwise(
-        s.try_cast("double"))
+    return F.when(s.rlike(r"[0-9.][dDfF]\s*$"), F.lit(None).cast(DOUBLE)).otherwise(s.try_cast(DOUBLE))
 
 
 def is_finite(x) -> Column:
@@ -71,7 +74,7 @@ def blank_to_null(c) -> Column:
 def category_clean(c) -> Column:
     """Only NULL, '' and the exact text 'NA' become NULL (no trim, no lower)."""
     s = col(c)
-    return F.when(s.isNull() | s.isin(list(CATEGORY_MISSING)), F.lit(None).cast("string")).otherwise(s)
+    return F.when(s.isNull() | s.isin(list(CATEGORY_MISSING)), F.lit(None).cast(STRING)).otherwise(s)
 
 
 def truthy(c) -> Column:

@@ -280,17 +280,28 @@ def mode_comparison_summary(spark, sf):
         F.count_if(F.col("discriminating") & F.col("independent_match")).alias("discriminating_independent_matches"))
 
 
-@query("neighbour_matches", with_fixtures(ALL_FX, f""", {ENV_SQL}, {_sampled_sql('independent', 'ind')},
-  lays AS (SELECT source_row, variable, year, phy_layer AS layer, row, col, value AS stored, inside FROM ind
-           WHERE variable IN ('chl', 'no3', 'o2')
-           UNION ALL SELECT source_row, variable, year, bgc_layer AS layer, row, col, value AS stored, inside FROM ind
-           WHERE variable IN ('chl', 'no3', 'o2')),
-  offs AS (SELECT a.dr, b.dc FROM (SELECT unnest([-1, 0, 1]) AS dr) a, (SELECT unnest([-1, 0, 1]) AS dc) b),
-  win AS (SELECT q.*, o.dr, o.dc FROM lays q JOIN sizes s ON list_position(['thetao', 'so', 'chl', 'no3', 'o2'], s.variable) = list_position(['thetao', 'so', 'chl', 'no3', 'o2'], q.variable), offs o
-    WHERE q.inside AND q.row >= 1 AND q.row <= s.height - 2 AND q.col >= 1 AND q.col <= s.width - 2)
-SELECT DISTINCT w.source_row, w.variable, w.layer, w.dr AS drow, w.dc AS dcol FROM win w JOIN fx4 x
-  ON list_position(['thetao', 'so', 'chl', 'no3', 'o2'], x.variable) = list_position(['thetao', 'so', 'chl', 'no3', 'o2'], w.variable) AND x.year = w.year AND x.layer = w.layer AND x.row = w.row + w.dr AND x.col = w.col + w.dc
-WHERE x.value = w.stored"""))
+_VLIST = "['thetao', 'so', 'chl', 'no3', 'o2']"
+# Integer variable codes throughout: DuckDB's string-dictionary cache is not
+# reliable for this many joins on the derived variable names.
+NEIGHBOUR_SQL = f""", {ENV_SQL},
+  pxi AS (SELECT list_position({_VLIST}, variable) AS vcode, year, layer, row, col, value FROM fx4),
+  sizes_i AS (SELECT vcode, max(col) + 1 AS width, max(row) + 1 AS height FROM pxi GROUP BY 1),
+  cells AS (SELECT p.source_row, v.vcode, p.year_final AS year, p.phy_layer, p.bgc_layer,
+    floor((p.lat - ({SPEC.f})) / ({SPEC.e}))::BIGINT AS row, floor((p.lon - ({SPEC.c})) / ({SPEC.a}))::BIGINT AS col
+    FROM pts p, (SELECT unnest([3, 4, 5]) AS vcode) v),
+  stored AS (SELECT c.*, x.value AS stored FROM cells c JOIN sizes_i s ON s.vcode = c.vcode
+    LEFT JOIN pxi x ON x.vcode = c.vcode AND x.year = c.year AND x.layer = c.bgc_layer AND x.row = c.row AND x.col = c.col
+    WHERE c.row >= 1 AND c.row <= s.height - 2 AND c.col >= 1 AND c.col <= s.width - 2),
+  lays AS (SELECT source_row, vcode, year, phy_layer AS layer, row, col, stored FROM stored
+    UNION ALL SELECT source_row, vcode, year, bgc_layer AS layer, row, col, stored FROM stored),
+  offs AS (SELECT a.dr, b.dc FROM (SELECT unnest([-1, 0, 1]) AS dr) a, (SELECT unnest([-1, 0, 1]) AS dc) b)
+SELECT DISTINCT w.source_row, {_VLIST}[w.vcode] AS variable, w.layer, o.dr AS drow, o.dc AS dcol
+FROM lays w, offs o, pxi x
+WHERE x.vcode = w.vcode AND x.year = w.year AND x.layer = w.layer AND x.row = w.row + o.dr AND x.col = w.col + o.dc
+  AND x.value = w.stored"""
+
+
+@query("neighbour_matches", with_fixtures(ALL_FX, NEIGHBOUR_SQL))
 def neighbour_matches(spark, sf):
     """Neighbourhood check on both the physical and the independent layer of
     the biogeochemical variables, against the independently sampled value."""
