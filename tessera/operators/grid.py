@@ -137,12 +137,14 @@ def sentinel_conflicts(pixels: DataFrame, spec: GridSpec, a: str = "thetao", b:
 
 # --- nearest layer --------------------------------------------------------------------------
 
-def layer_array(layers: DataFrame, depth_col: str) -> Column:
-    """The (bounded) layer table as an array literal of (depth, layer)."""
-    rows = layers.select(F.col(depth_col).alias("d"), F.col("layer").alias("l")).limit(MAX_LAYER_ROWS + 1).collect()
+def layer_arrays(layers: DataFrame, depth_cols: list[str]) -> list[Column]:
+    """The (bounded) layer table as array literals of (depth, layer), one per
+    depth column, from a single small collect."""
+    rows = layers.select("layer", *depth_cols).limit(MAX_LAYER_ROWS + 1).collect()
     if len(rows) > MAX_LAYER_ROWS:
         raise ValueError("layer table too large to inline")
-    return F.array(*[F.struct(F.lit(float(r.d)).alias("d"), F.lit(int(r.l)).alias("l")) for r in rows])
+    return [F.array(*[F.struct(F.lit(float(r[c])).alias("d"), F.lit(int(r["layer"])).alias("l")) for r in rows])
+            for c in depth_cols]
 
 
 def nearest_layer(z: Column, arr: Column) -> Column:
@@ -153,7 +155,7 @@ def nearest_layer(z: Column, arr: Column) -> Column:
 
 
 def assign_layers(points: DataFrame, layers: DataFrame, z: str = "depth_final") -> DataFrame:
-    phy, bgc = layer_array(layers, "phy_depth"), layer_array(layers, "bgc_depth")
+    phy, bgc = layer_arrays(layers, ["phy_depth", "bgc_depth"])
     return points.withColumns({"phy_layer": nearest_layer(F.col(z), phy).cast("int"),
                                "bgc_layer": nearest_layer(F.col(z), bgc).cast("int")})
 

@@ -21,13 +21,11 @@ _FILE_RE = grid.FILE_PATTERN
 
 
 def env_points(spark, sf):
-    """FX1 rows that pass coordinate, depth and year QC, as sampling points.
-
-    Each QC stage is materialised before the next, as a stage's written
-    output would be."""
-    x = materialize(classify.coordinate_qc(fx.load(spark, sf, "fx1")).where(F.col("route") == "accepted").drop("route"))
+    """FX1 rows that pass coordinate, depth and year QC, as sampling points
+    (materialised once: every sampling plan reads them several times)."""
+    x = classify.coordinate_qc(fx.load(spark, sf, "fx1")).where(F.col("route") == "accepted").drop("route")
     lookup = materialize(classify.range_lookup(fx.load(spark, sf, "fx2")))
-    x = materialize(classify.assign_depth(x, lookup).where(F.col("route") == "accepted").drop("route"))
+    x = classify.assign_depth(x, lookup).where(F.col("route") == "accepted").drop("route")
     x = classify.year_qc(x).where(F.col("route") == "accepted")
     return materialize(x.select("source_row", species_key().alias("species_key"), F.col("longitude_numeric").alias("lon"),
                                 F.col("latitude_numeric").alias("lat"), "depth_final", "year_final"))
