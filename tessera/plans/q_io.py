@@ -16,7 +16,7 @@ from ..session import scratch_path
 from ..sources import fixtures as fx, io
 from ..sources.fixtures import FX1_COLUMNS, with_fixtures
 from ..streaming import incremental
-from .q_clean import DEPTH_SQL, _coord_sql
+from .q_clean import DEPTH_SQL, KEYS, KQ, _coord_sql
 from .registry import query
 
 
@@ -93,15 +93,23 @@ def route_roundtrip(spark, sf):
     return back.groupBy("route").agg(F.count(F.lit(1)).alias("rows")).withColumn("refused_overwrite", F.lit(refused))
 
 
-@query("pruned_range_lookup", with_fixtures(["fx1"], """
-SELECT source_row, id, scientificname FROM fx1 WHERE source_row % 16 = 5 AND source_row BETWEEN 1000 AND 5000"""))
+@query("pruned_range_lookup", with_fixtures(["fx1d"], f""",
+  keys AS (SELECT min(source_row) AS source_row FROM fx1d GROUP BY {KQ} HAVING count(*) > 1)
+SELECT f.source_row, f.id, f.scientificname, f.source_row % 16 AS bucket FROM fx1d f JOIN keys k ON f.source_row = k.source_row"""))
 def pruned_range_lookup(spark, sf):
+    """Fetch the records of every duplicate-group survivor from a staging
+    table partitioned by bucket.  The wanted set is derived from the data; the
+    join on (bucket, source_row) lets dynamic partition pruning skip buckets
+    and runtime filters skip row groups, instead of literal ranges."""
+    from ..operators import dedup
     path = scratch_path(spark, "staging")
-    staged = fx.load(spark, sf, "fx1").withColumn("bucket", (F.col("source_row") % 16).cast("int"))
+    src = fx.load(spark, sf, "fx1d")
+    staged = src.withColumn("bucket", (F.col("source_row") % 16).cast("int"))
     io.write_parquet(staged, path, partition_by=["bucket"], row_group_bytes=1 << 20)
+    wanted = (dedup.duplicate_groups(src, KEYS).select(F.col("retained_source_row").alias("source_row"))
+              .withColumn("bucket", (F.col("source_row") % 16).cast("int")))
     back = spark.read.parquet(path)
-    return (back.where((F.col("bucket") == 5) & F.col("source_row").between(1000, 5000))
-            .select("source_row", "id", "scientificname"))
+    return back.join(wanted, ["bucket", "source_row"]).select("source_row", "id", "scientificname", "bucket")
 
 
 @query("row_identity", "SELECT row_number() OVER () AS source_row, o_orderkey FROM orders")
