@@ -204,11 +204,16 @@ def with_fixtures(names, body: str) -> str:
 _REGISTERED: dict[tuple, str] = {}
 
 
+def _session_key(spark: SparkSession) -> tuple:
+    """Identity of a live session (a new context gets a new application id)."""
+    return (spark.sparkContext.applicationId, id(spark))
+
+
 def register_tables(spark: SparkSession, sf_dir: str, tables=BASE_TABLES) -> None:
     """Register the driver tables of ``sf_dir`` as temp views (once per
     session and scale; re-registered when another scale was used since)."""
     for t in tables:
-        key = (id(spark), t)
+        key = (_session_key(spark), t)
         if _REGISTERED.get(key) != sf_dir:
             spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
             _REGISTERED[key] = sf_dir
@@ -229,7 +234,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     register_tables(spark, sf_dir, ("orders", "customer", "part"))
     df = None
     for n in _closure([name]):
-        key = (id(spark), sf_dir, n)
+        key = (_session_key(spark), sf_dir, n)
         df = _BUILT.get(key)
         if df is None:
             df = materialize(spark.sql(FIXTURES[n][0]).repartition(spark.sparkContext.defaultParallelism))
