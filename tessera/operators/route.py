@@ -48,15 +48,24 @@ def route_counts(df: DataFrame, name: str = "route") -> DataFrame:
 
 
 def write_routes(df: DataFrame, path: str, name: str = "route", mode: str = "errorifexists",
-                 row_group_bytes: int | None = None) -> None:
+                 row_group_bytes: int | None = None, observe: dict[str, Column] | None = None):
     """Write every route to ``path/route=<name>/`` in one job (Parquet, ZSTD).
 
-    ``mode='errorifexists'`` refuses to overwrite earlier results.
+    ``mode='errorifexists'`` refuses to overwrite earlier results.  With
+    ``observe`` (name -> aggregate), the metrics are collected by the write
+    job itself through an ``Observation`` (no second pass) and returned as a
+    dict.
     """
+    obs = None
+    if observe:
+        from pyspark.sql import Observation
+        obs = Observation("route_write")
+        df = df.observe(obs, *[agg.alias(k) for k, agg in observe.items()])
     w = df.write.mode(mode).option("compression", "zstd").partitionBy(name)
     if row_group_bytes:
         w = w.option("parquet.block.size", str(row_group_bytes))
     w.parquet(path)
+    return obs.get if obs is not None else None
 
 
 def read_routes(spark, base: str, names: list[str] | None = None, name: str = "route") -> DataFrame:

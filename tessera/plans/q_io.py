@@ -184,3 +184,41 @@ def incremental_multiset(spark, sf):
     out, ck = scratch_path(spark, "multiset_out"), scratch_path(spark, "multiset_ckpt")
     _arrivals(spark, sf, lambda src, schema: incremental.incremental_multiset(spark, src, schema, out, ck, ["event_type"]))
     return spark.read.parquet(out)
+
+
+@query("stage_write_metrics", with_fixtures(["fx1", "fx2"], f""", {DEPTH_SQL}
+SELECT count(*) AS input_rows, count(*) FILTER (WHERE route = 'accepted') AS accepted_rows,
+  count(*) FILTER (WHERE route = 'review') AS review_rows, count(*) FILTER (WHERE route = 'excluded') AS excluded_rows,
+  count(*) FILTER (WHERE beyond_environment_depth) AS beyond_environment_depth_rows,
+  count(DISTINCT lower(trim(scientificname))) FILTER (WHERE route = 'accepted') AS accepted_species
+FROM depth_result"""))
+def stage_write_metrics(spark, sf):
+    """Stage summary (one row) observed during the routed write itself."""
+    from .q_clean import depth_plan
+    path = scratch_path(spark, "depth_stage")
+    r = F.col("route")
+    metrics = rt.write_routes(depth_plan(spark, sf), path, observe={
+        "input_rows": F.count(F.lit(1)),
+        "accepted_rows": F.count_if(r == "accepted"),
+        "review_rows": F.count_if(r == "review"),
+        "excluded_rows": F.count_if(r == "excluded"),
+        "beyond_environment_depth_rows": F.count_if("beyond_environment_depth")})
+    # Distinct species needs a shuffle, so it is read from what was written.
+    species = rt.read_routes(spark, path, ["accepted"]).agg(
+        F.count_distinct(F.lower(F.trim("scientificname"))).alias("accepted_species"))
+    row = spark.createDataFrame([tuple(metrics[k] for k in ("input_rows", "accepted_rows", "review_rows",
+                                                           "excluded_rows", "beyond_environment_depth_rows"))],
+                                "input_rows long, accepted_rows long, review_rows long, excluded_rows long, "
+                                "beyond_environment_depth_rows long")
+    return row.withColumn("__j", F.lit(1)).join(species.withColumn("__j", F.lit(1)), "__j").drop("__j")
+
+
+@query("report_csv_roundtrip", with_fixtures(["fx1"], """
+SELECT lower(trim(scientificname)) AS species_key, count(*) AS records FROM fx1 GROUP BY 1"""))
+def report_csv_roundtrip(spark, sf):
+    """Ordered CSV report with header (species counts), read back typed."""
+    from ..operators import lists
+    path = scratch_path(spark, "species_report")
+    io.write_report_csv(lists.species_counts(fx.load(spark, sf, "fx1")), path, ["species_key"])
+    return io.read_typed(spark, path, T.StructType([T.StructField("species_key", T.StringType()),
+                                                    T.StructField("records", T.LongType())]))
