@@ -148,6 +148,22 @@ def in_duplicate_groups(rows_sig: DataFrame, counts: DataFrame, keys: list[str],
     return j.where(F.col(own) > 1)
 
 
+def unresolved_both(new: DataFrame, old: DataFrame, keys: list[str], row_id: str, mode: str = "relaxed",
+                    hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """(side, row_id, n_new, n_old) for the rows of both versions in one pass:
+    both sides are tagged and unioned, per-signature counts come from one
+    aggregate, and one salted join attaches them to every row."""
+    sig = signature_columns(keys, mode)
+    rows = (new.select(F.lit("new").alias("side"), F.col(row_id), *sig)
+            .unionByName(old.select(F.lit("old").alias("side"), F.col(row_id), *sig)))
+    sig_names = [f"s_{k}" for k in keys]
+    counts = rows.groupBy(*sig_names).agg(F.count_if(F.col("side") == "new").alias("n_new"),
+                                          F.count_if(F.col("side") == "old").alias("n_old"))
+    counts = counts.withColumn("__rows", F.col("n_new") + F.col("n_old"))
+    j = join_group_stats(rows, counts, sig_names, "__rows", row_id, hot_rows=hot_rows)
+    return j.select("side", row_id, "n_new", "n_old")
+
+
 # --- per-field differences -------------------------------------------------------------
 
 def field_diffs(new: DataFrame, old: DataFrame, key: str, cols: list[str], tol: float = 1e-9) -> DataFrame:
