@@ -29,7 +29,7 @@ def _txt(c, empty_null=False):
 def text_table_scan(spark, sf):
     path = scratch_path(spark, "fx1_csv")
     io.write_csv(fx.load(spark, sf, "fx1"), path)
-    return io.read_text_table(spark, path)
+    return io.read_text_table(spark, path, required=("id",))
 
 
 @query("archive_scan", with_fixtures(["fx6"], f" SELECT {', '.join(_txt(c, True) for c in FX1_COLUMNS)} FROM fx6"))

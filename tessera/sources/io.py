@@ -20,14 +20,17 @@ CSV_WRITE = {"header": "true", "escape": '"', "quote": '"', "ignoreLeadingWhiteS
              "ignoreTrailingWhiteSpace": "false"}
 
 
-def header_columns(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV header (the only row read), checked like the
-    reference: ``id`` present, no repeated names."""
+def header_columns(spark: SparkSession, path: str, required: tuple[str, ...] = ()) -> list[str]:
+    """Column names of a CSV header (the only row read); repeated names and
+    missing ``required`` columns (e.g. ``id``) are refused."""
     first = spark.read.option("header", "false").option("multiLine", "true").option("escape", '"').csv(path).limit(1)
     cols = [c for c in first.first()]
     cols = [c.lstrip("﻿") for c in cols]
     if len(set(cols)) != len(cols):
         raise ValueError("repeated column names in header")
+    missing = [c for c in required if c not in cols]
+    if missing:
+        raise ValueError(f"header lacks required columns {missing}")
     return cols
 
 
@@ -36,13 +39,13 @@ def all_text_schema(cols: list[str]) -> T.StructType:
 
 
 def read_text_table(spark: SparkSession, path: str, cols: list[str] | None = None,
-                    empty_as_null: bool = False) -> DataFrame:
+                    empty_as_null: bool = False, required: tuple[str, ...] = ()) -> DataFrame:
     """Header-driven all-text CSV scan.
 
     ``empty_as_null=False`` (source tables): an empty field is the empty
     string, never NULL.  ``empty_as_null=True`` (archives): empty -> NULL.
     """
-    cols = cols or header_columns(spark, path)
+    cols = cols or header_columns(spark, path, required)
     df = spark.read.options(**CSV_READ).schema(all_text_schema(cols)).csv(path)
     if empty_as_null:
         return df.select(*[F.when(F.col(c) != "", F.col(c)).alias(c) for c in cols])
