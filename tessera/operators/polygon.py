@@ -15,9 +15,9 @@ horizontal ray through it (exactly what parity needs) or touch it.  Point
 counts per (species, band) drive the salted join, so a band holding a large
 share of a hot species' points is split across tasks.
 
-Documented limit: an edge shared exactly by two adjacent features is not
-dissolved (a point on it counts as boundary unless strictly inside another
-feature); partially overlapping collinear edges likewise.
+Union: an edge used by two features (either direction) is dissolved -- a
+point on it and on no other edge is inside.  Documented limit: partially
+overlapping collinear edges are not merged.
 """
 
 from __future__ import annotations
@@ -65,8 +65,18 @@ def polygon_decide(points: DataFrame, edges: DataFrame, band: float = BAND_DEGRE
     """Decisions per point: source_row, species_key, buffer_status,
     buffer_inside, buffer_boundary (both false unless the status is ready)."""
     status = polygon_status(edges)
-    e = edges.select("species_key", "feature", "x1", "y1", "x2", "y2",
-                     F.explode(F.sequence(_band(F.least("y1", "y2"), band), _band(F.greatest("y1", "y2"), band))).alias("band"))
+    # A segment used by two or more features of a species (either direction)
+    # is interior to their union: a point on it is not on the union's boundary.
+    a = F.struct(F.col("x1").alias("x"), F.col("y1").alias("y"))
+    b = F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))
+    seg = edges.select("species_key", "feature", "x1", "y1", "x2", "y2",
+                       F.least(a, b).alias("__p"), F.greatest(a, b).alias("__q"))
+    shared = (seg.groupBy("species_key", "__p", "__q").agg(F.count_distinct("feature").alias("__nf"))
+              .where(F.col("__nf") > 1).select("species_key", "__p", "__q", F.lit(True).alias("__shared")))
+    seg = seg.join(shared, ["species_key", "__p", "__q"], "left").drop("__p", "__q")
+    e = seg.select("species_key", "feature", "x1", "y1", "x2", "y2",
+                   F.coalesce("__shared", F.lit(False)).alias("__shared"),
+                   F.explode(F.sequence(_band(F.least("y1", "y2"), band), _band(F.greatest("y1", "y2"), band))).alias("band"))
     p = points.select(row_id, "species_key", "lon", "lat", _band(F.col("lat"), band).alias("band"))
     counts = p.groupBy("species_key", "band").agg(F.count(F.lit(1)).alias("__points"))
     eg = e.join(counts, ["species_key", "band"])
@@ -76,10 +86,13 @@ def polygon_decide(points: DataFrame, edges: DataFrame, band: float = BAND_DEGRE
     crosses = ((y1 > y) != (y2 > y)) & (x < (x2 - x1) * (y - y1) / (y2 - y1) + x1)
     on_seg = (((x2 - x1) * (y - y1) - (y2 - y1) * (x - x1)) == 0) & (x >= F.least(x1, x2)) & (
         x <= F.greatest(x1, x2)) & (y >= F.least(y1, y2)) & (y <= F.greatest(y1, y2))
-    per_feature = j.groupBy(row_id, "feature").agg(F.sum(F.when(crosses, 1).otherwise(0)).alias("__cross"),
-                                                   F.bool_or(on_seg).alias("__on"))
+    per_feature = j.groupBy(row_id, "feature").agg(
+        F.sum(F.when(crosses, 1).otherwise(0)).alias("__cross"), F.bool_or(on_seg).alias("__on"),
+        F.bool_or(on_seg & ~F.col("__shared")).alias("__on_outer"), F.bool_or(on_seg & F.col("__shared")).alias("__on_shared"))
     per_feature = per_feature.withColumn("__in", (F.col("__cross") % 2 == 1) & ~F.col("__on"))
-    per_point = per_feature.groupBy(row_id).agg(F.bool_or("__in").alias("__inside"), F.bool_or("__on").alias("__edge"))
+    per_point = per_feature.groupBy(row_id).agg(
+        (F.bool_or("__in") | (F.bool_or("__on_shared") & ~F.bool_or("__on_outer"))).alias("__inside"),
+        F.bool_or("__on").alias("__edge"))
     d = points.select(row_id, "species_key").join(per_point, row_id, "left")
     d = d.join(status.select("species_key", "buffer_status"), "species_key", "left")
     st = F.coalesce(F.col("buffer_status"), F.lit("missing_buffer"))

@@ -62,3 +62,14 @@ def test_positions_are_dense_and_ordered(spark):
     for rows in by_g.values():
         rows.sort()
         assert [x[1] for x in rows] == list(range(len(rows)))
+
+
+def test_shared_edge_is_dissolved(spark):
+    a = [(0, 0, 1, 0), (1, 0, 1, 1), (1, 1, 0, 1), (0, 1, 0, 0)]
+    b = [(1, 0, 2, 0), (2, 0, 2, 1), (2, 1, 1, 1), (1, 1, 1, 0)]      # shares x = 1 with a, reversed
+    edges = [("s", 1, i, *map(float, e)) for i, e in enumerate(a)] + [("s", 2, i, *map(float, e)) for i, e in enumerate(b)]
+    e = spark.createDataFrame(edges, "species_key string, feature int, seq int, x1 double, y1 double, x2 double, y2 double")
+    p = spark.createDataFrame([(1, "s", 1.0, 0.5), (2, "s", 1.0, 0.0), (3, "s", 1.0, 1.0), (4, "s", 0.5, 0.5)],
+                              "source_row long, species_key string, lon double, lat double")
+    got = {r.source_row: (r.buffer_inside, r.buffer_boundary) for r in polygon.polygon_decide(p, e, band=0.5).collect()}
+    assert got == {1: (True, False), 2: (False, True), 3: (False, True), 4: (True, False)}
