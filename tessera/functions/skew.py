@@ -25,9 +25,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A group this large is split over several join tasks.  At 1e11 rows the hot
-# table has at most 1e11 / 2e6 = 50,000 entries (600 kB).
-DEFAULT_HOT_ROWS = 2_000_000
+# A group this large is split over several join tasks (about 1 GB of 1 kB
+# rows per task at most).  At 1e11 rows the hot table has at most
+# 1e11 / 1e6 = 100,000 entries (1.2 MB).
+DEFAULT_HOT_ROWS = 1_000_000
 
 
 def _key_hash(keys: list[Column]) -> Column:
