@@ -542,3 +542,29 @@ SELECT count(*) FILTER (WHERE records >= 10) AS species_at_least_10,
   coalesce(sum(records) FILTER (WHERE records BETWEEN 10 AND 14), 0)::BIGINT AS rows_10_to_14 FROM msc"""))
 def threshold_diagnostic(spark, sf):
     return lists.threshold_diagnostic(lists.species_counts(fx.load(spark, sf, "fx1")))
+
+
+# --- skewed inputs: the hot-group split engaged on table-derived data ---------------
+
+SKEW_HOT_ROWS = 1000   # small so that the fixture's hot groups are split
+
+
+@query("skewed_min_records_route", with_fixtures(["fx1h"], f"""
+SELECT source_row, {SK} AS species_key, count(*) OVER (PARTITION BY {SK}) AS records,
+  CASE WHEN count(*) OVER (PARTITION BY {SK}) >= 15 THEN 'accepted' ELSE 'below_threshold' END AS route
+FROM fx1h"""))
+def skewed_min_records_route(spark, sf):
+    """Minimum-records route where one species holds 40% of the rows; with
+    ``hot_rows=1000`` that species is split over many join tasks."""
+    r = lists.min_records(fx.load(spark, sf, "fx1h"), 15, hot_rows=SKEW_HOT_ROWS)
+    return r.select("source_row", "species_key", "records", "route")
+
+
+@query("skewed_removed_map", with_fixtures(["fx1h"], f""",
+  rk AS (SELECT *, min(source_row) OVER (PARTITION BY {KQ}) AS retained_source_row FROM fx1h)
+SELECT r.source_row AS removed_source_row, r.id AS removed_id, r.retained_source_row, k.id AS retained_id,
+  (r.id = k.id) AS same_id
+FROM rk r JOIN rk k ON r.retained_source_row = k.source_row WHERE r.source_row <> r.retained_source_row"""))
+def skewed_removed_map(spark, sf):
+    """Removed map where one duplicate group holds 20% of the rows (split)."""
+    return dedup.removed_map(fx.load(spark, sf, "fx1h"), KEYS, hot_rows=SKEW_HOT_ROWS)

@@ -159,6 +159,21 @@ SELECT c_name AS BINOMIAL, cast(c_custkey % 5 as string) AS presence,
 FROM customer WHERE c_custkey % 7 <> 3
 """
 
+# Skewed occurrence table for the hot-group paths: FX1, plus every FX1 row
+# relabelled to one species (40% of all rows), plus 7,500 exact copies of the
+# payload of source_row 1 (a 20% duplicate group).
+_FX1H = """
+SELECT * FROM fx1
+UNION ALL
+SELECT source_row + 40000000 AS source_row, id, 'Hot Species' AS scientificname, sex, lifestage, countryCode,
+  locality, behavior, eventDate, longitude, latitude, depth, year
+FROM fx1
+UNION ALL
+SELECT x.source_row + 50000000 AS source_row, x.id, y.scientificname, y.sex, y.lifestage, y.countryCode,
+  y.locality, y.behavior, y.eventDate, y.longitude, y.latitude, y.depth, y.year
+FROM fx1 x JOIN (SELECT * FROM fx1 WHERE source_row = 1) y ON x.source_row % 2 = 1
+"""
+
 # name -> (sql, dependencies)
 FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
     "fx1": (_FX1, ()),
@@ -171,6 +186,7 @@ FIXTURES: dict[str, tuple[str, tuple[str, ...]]] = {
     "fx5": (_FX5, ()),
     "fx6": (_FX6, ("fx1",)),
     "range_attrs": (_RANGE_ATTRS, ()),
+    "fx1h": (_FX1H, ("fx1",)),
 }
 
 

@@ -17,7 +17,8 @@ SMALL = "/root/testdata/sf0.001"
 SUBSET = ["exact_dedup", "dedup_summary", "coordinate_qc", "species_counts", "range_lookup_status", "depth_assign",
           "year_distribution", "membership_filter", "category_dedup", "point_key_route", "reconcile_payloads",
           "field_diffs", "duplicate_group_causes", "sequence_equal", "grid_sample", "polygon_contains",
-          "spatial_route", "stage_matrix", "text_table_scan", "row_identity", "incremental_route", "scalar_bits"]
+          "spatial_route", "stage_matrix", "text_table_scan", "row_identity", "incremental_route", "scalar_bits",
+          "skewed_min_records_route", "skewed_removed_map"]
 
 
 def _norm(v):
