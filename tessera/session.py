@@ -51,7 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there; it is read, never replaced.  Only
-    when nothing is set (local tests) a scratch folder is created and set.
+    for a ``local`` master with nothing set (tests) is a scratch folder
+    created; on a cluster a missing setting is an error, never a
+    machine-local folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
@@ -60,6 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master or ""
+    if not master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared, durable folder for this cluster")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TESSERA_SCRATCH", "/tmp"))
     spark.sparkContext.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
