@@ -143,8 +143,11 @@ def layer_arrays(layers: DataFrame, depth_cols: list[str]) -> list[Column]:
     rows = layers.select("layer", *depth_cols).limit(MAX_LAYER_ROWS + 1).collect()
     if len(rows) > MAX_LAYER_ROWS:
         raise ValueError("layer table too large to inline")
-    return [F.array(*[F.struct(F.lit(float(r[c])).alias("d"), F.lit(int(r["layer"])).alias("l")) for r in rows])
-            for c in depth_cols]
+    out = []
+    for c in depth_cols:
+        items = ", ".join(f"named_struct('d', {float(r[c])!r}D, 'l', {int(r['layer'])})" for r in rows)
+        out.append(F.expr(f"array({items})"))     # one literal, parsed once
+    return out
 
 
 def nearest_layer(z: Column, arr: Column) -> Column:
