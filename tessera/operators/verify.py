@@ -62,23 +62,32 @@ def seeded_order(id_col: str, seed: int) -> Column:
 
 
 def stratified_sample(df: DataFrame, stratum: str, id_col: str, quotas: dict, seed: int = 42) -> DataFrame:
-    """Up to ``quotas[stratum value]`` rows per stratum in seeded order."""
-    w = Window.partitionBy(stratum).orderBy(seeded_order(id_col, seed), F.col(id_col))
-    q = None
-    for k, v in quotas.items():
-        q = F.when(F.col(stratum) == k, F.lit(v)) if q is None else q.when(F.col(stratum) == k, F.lit(v))
-    return (df.where(F.col(stratum).isin(list(quotas))).withColumn("__rn", F.row_number().over(w))
-            .where(F.col("__rn") <= q).drop("__rn"))
+    """Up to ``quotas[stratum value]`` rows per stratum in seeded order.
+
+    One constant-limit top-k per quota, so each keeps ``WindowGroupLimit``
+    (k rows per stratum per map task before the shuffle)."""
+    order = seeded_order(id_col, seed).cast("long") * F.lit(1 << 40) + F.col(id_col)
+    parts = [stratified_head(df.where(F.col(stratum) == k).withColumn("__o", order), stratum, "__o", v).drop("__o")
+             for k, v in quotas.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def evenly_spaced(df: DataFrame, order: str, k: int, partition: str | None = None) -> DataFrame:
-    """``k`` picks at ``floor(i * (n - 1) / (k - 1))`` of the sorted rows
-    (numpy ``linspace`` indices cast to int), per partition if given."""
-    spec = Window.partitionBy(partition) if partition else Window.partitionBy(F.lit(0))
-    w = spec.orderBy(F.col(order))
-    r = df.withColumn("__i", F.row_number().over(w) - 1).withColumn(
-        "__n", F.count(F.lit(1)).over(spec))
+    """``k`` picks at positions ``floor(j * (n - 1) / (k - 1))`` of the sorted
+    rows (the integer form of numpy's ``linspace`` indices), per partition
+    value if given.  Positions come from the distributed position/rank
+    helpers, never from a single-task window."""
+    from ..functions.skew import join_group_stats
+    from .identity import rank_within, with_position
+    if partition is None:
+        p = with_position(df, [order], "__i")
+        n = p.count()
+        picks = sorted({(j * (n - 1)) // (k - 1) for j in range(k)}) if n and k > 1 else ([0] if n else [])
+        return p.where(F.col("__i").isin(picks)).drop("__i")
+    r = rank_within(df, [partition], [order], "__i")
+    sizes = r.groupBy(partition).agg(F.count(F.lit(1)).alias("__n"))
+    j = join_group_stats(r, sizes, [partition], "__n", "__i")
     m = F.least(F.lit(k), F.col("__n"))
-    idx = F.sequence(F.lit(0), m - 1)
-    picks = F.transform(idx, lambda j: F.when(m > 1, F.floor(j * (F.col("__n") - 1) / (m - 1))).otherwise(0))
-    return r.where(F.array_contains(picks, F.col("__i"))).drop("__i", "__n")
+    hit = F.exists(F.sequence(F.lit(0), m - 1),
+                   lambda t: F.when(m > 1, F.floor(t * (F.col("__n") - 1) / (m - 1))).otherwise(0) == F.col("__i"))
+    return j.where(hit).drop("__i", "__n")

@@ -73,3 +73,19 @@ def test_shared_edge_is_dissolved(spark):
                               "source_row long, species_key string, lon double, lat double")
     got = {r.source_row: (r.buffer_inside, r.buffer_boundary) for r in polygon.polygon_decide(p, e, band=0.5).collect()}
     assert got == {1: (True, False), 2: (False, True), 3: (False, True), 4: (True, False)}
+
+
+def test_evenly_spaced_global_and_grouped(spark):
+    from tessera.operators.verify import evenly_spaced
+    df = spark.range(0, 101).select((F.col("id") % 2).alias("g"), F.col("id"))
+    got = sorted(r.id for r in evenly_spaced(df, "id", 5).collect())
+    assert got == [0, 25, 50, 75, 100]
+    per = sorted((r.g, r.id) for r in evenly_spaced(df, "id", 3, partition="g").collect())
+    assert per == [(0, 0), (0, 50), (0, 100), (1, 1), (1, 49), (1, 99)]
+
+
+def test_stratified_sample_quotas(spark):
+    from tessera.operators.verify import stratified_sample
+    df = spark.range(0, 200).select((F.col("id") % 2).alias("s"), F.col("id"))
+    got = stratified_sample(df, "s", "id", {0: 5, 1: 2}).groupBy("s").count().collect()
+    assert sorted((r.s, r["count"]) for r in got) == [(0, 5), (1, 2)]
