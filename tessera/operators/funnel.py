@@ -116,3 +116,39 @@ def range_audit(attrs: DataFrame, current: DataFrame) -> DataFrame:
     j = current.join(counts, "species_key", "left")
     return j.withColumns({"has_range": F.col("range_rows").isNotNull(),
                           "has_marine_selected_range": F.coalesce(F.col("rows_marine_presence_origin_123"), F.lit(0)) > 0})
+
+
+def funnel_one_pass(raw: DataFrame, survivors: DataFrame, passes: list[tuple[str, Column]], n: int = 15,
+                    raw_name: str = "raw", survivor_name: str = "dedup", lo: int = 1993, hi: int = 2025) -> DataFrame:
+    """Stage funnel in one aggregation when the stages are row-wise filters.
+
+    ``passes`` are the later stages in order, each a predicate evaluated on
+    the survivor rows (a row reaches stage k when it passes stages 1..k).
+    Rows are exploded into the stages they reach, then one aggregate per
+    (stage, species) and one per stage give the metrics of :func:`funnel`.
+    """
+    reach = F.lit(0)
+    ok = F.lit(True)
+    for _, pred in passes:
+        ok = ok & F.coalesce(pred, F.lit(False))
+        reach = reach + F.when(ok, 1).otherwise(0)
+    names = [raw_name, survivor_name] + [nm for nm, _ in passes]
+    y, d = to_double("year"), to_double("depth")
+    cols = [species_key().alias("species_key"), ((y < lo) | (y > hi)).alias("__out"), y.isNull().alias("__ym"),
+            (d < 0).alias("__neg")]
+    a = raw.select(*cols, F.array(F.lit(0)).alias("__stages"))
+    b = survivors.select(*cols, F.sequence(F.lit(1), reach + 1).alias("__stages"))
+    rows = a.unionByName(b).select("*", F.explode("__stages").alias("__stage")).drop("__stages")
+    per = rows.groupBy("__stage", "species_key").agg(
+        F.count(F.lit(1)).alias("records"), F.count_if("__out").alias("__o"), F.count_if("__ym").alias("__y"),
+        F.count_if("__neg").alias("__n"))
+    r = F.col("records")
+    ge = F.col("species_key").isNotNull() & (r >= n)
+    m = per.groupBy("__stage").agg(
+        F.sum(r).cast("long").alias("rows"), F.count("species_key").alias("species"),
+        F.count_if(ge).alias("species_ge15"), F.coalesce(F.sum(F.when(ge, r)), F.lit(0)).cast("long").alias("rows_in_species_ge15"),
+        F.sum("__o").cast("long").alias("year_outside_window"), F.sum("__y").cast("long").alias("year_missing"),
+        F.sum("__n").cast("long").alias("negative_depth"))
+    stage = F.element_at(F.array(*[F.lit(x) for x in names]), F.col("__stage") + 1)
+    return m.select(stage.alias("stage"), "rows", "species", "species_ge15", "rows_in_species_ge15",
+                    "year_outside_window", "year_missing", "negative_depth")
