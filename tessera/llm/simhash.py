@@ -87,27 +87,28 @@ def variants(fps: DataFrame) -> DataFrame:
     return fps.select("fp", places).select(key.alias("key"), "fp")
 
 
-def _links_in_small(index: DataFrame, sizes: DataFrame, max_bits: int, most: int) -> DataFrame:
-    """Pairs within buckets of 2 to ``most`` fingerprints, verified."""
-    small = sizes.where(F.col("n").between(2, most)).select(F.col("key").alias("s_key"))
-    held = index.join(small, F.col("key") == F.col("s_key")).groupBy("key").agg(F.sort_array(F.collect_list("fp")).alias("f"))
+def _near(held: DataFrame, max_bits: int) -> DataFrame:
+    """Verified pairs (a, b) within the sorted arrays ``f``."""
     one = held.select("f", F.posexplode("f").alias("i", "a"))
     near = F.filter(F.slice(F.col("f"), F.col("i") + 2, F.size("f")), lambda b: F.bit_count(F.col("a").bitwiseXOR(b)) <= max_bits)
     return one.select("a", F.explode(near).alias("b")).distinct()
 
 
-def _links_in_large(index: DataFrame, sizes: DataFrame, max_bits: int, most: int) -> DataFrame:
-    """Links of fingerprints in larger buckets: equal under two wildcards, so within two bits."""
-    large = sizes.where(F.col("n") > most).select(F.col("key").alias("l_key"))
-    fps = index.join(large, F.col("key") == F.col("l_key"), "left_semi").select("fp").distinct()
+def _links_in_small(shared: DataFrame, max_bits: int, most: int) -> DataFrame:
+    """Pairs within buckets of 2 to ``most`` fingerprints."""
+    held = shared.where(F.col("n") <= most).groupBy("key").agg(F.sort_array(F.collect_list("fp")).alias("f"))
+    return _near(held, max_bits)
+
+
+def _links_in_large(shared: DataFrame, max_bits: int, most: int) -> DataFrame:
+    """Links of fingerprints in larger buckets: equal under two wildcards."""
+    fps = shared.where(F.col("n") > most).select("fp").distinct()
     masks = F.explode(F.expr("flatten(transform(sequence(0, 62), i -> transform(sequence(i + 1, 63), "
                              "j -> named_struct('i', i, 'j', j))))")).alias("w")
     free = F.expr("~(shiftleft(1L, w.i) | shiftleft(1L, w.j))")
     keyed = fps.select("fp", masks).select("fp", F.expr("w.i * 64 + w.j").alias("pair"), F.col("fp").bitwiseAND(free).alias("masked"))
-    held = keyed.groupBy("pair", "masked").agg(F.sort_array(F.collect_set("fp")).alias("f")).where(F.size("f") > 1)
-    one = held.select("f", F.posexplode("f").alias("i", "a"))  # at most four in f
-    near = F.filter(F.slice(F.col("f"), F.col("i") + 2, F.size("f")), lambda b: F.bit_count(F.col("a").bitwiseXOR(b)) <= max_bits)
-    return one.select("a", F.explode(near).alias("b")).distinct()
+    held = keyed.groupBy("pair", "masked").agg(F.sort_array(F.collect_set("fp")).alias("f")).where(F.size("f") > 1)  # at most four
+    return _near(held, max_bits)
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS, most: int = MOST_IN_BUCKET) -> DataFrame:
@@ -115,8 +116,11 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, most: int = MOST_IN_BUCKET)
     if not 0 <= max_bits <= 2:
         raise ValueError("two segments with one wildcard find distances up to 2")
     index = variants(fps)
-    sizes = stage_table(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bucket-sizes")
-    return _links_in_small(index, sizes, max_bits, most).unionByName(_links_in_large(index, sizes, max_bits, most))
+    sizes = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    sizes = stage_table(sizes, "bucket-sizes").withColumnRenamed("key", "s_key").hint("merge")
+    # The entries of buckets that hold more than one fingerprint.
+    shared = stage_table(index.join(sizes, F.col("key") == F.col("s_key")).select("key", "n", "fp"), "shared-buckets")
+    return _links_in_small(shared, max_bits, most).unionByName(_links_in_large(shared, max_bits, most))
 
 
 def connected(edges: DataFrame) -> DataFrame:
