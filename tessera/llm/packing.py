@@ -21,12 +21,18 @@ further columns are ignored.
 
 from __future__ import annotations
 
+import json
+import re
 import sys
 import zlib
+from array import array
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,7 +45,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WINDOW, GRAIN, DEPTH, END_ID = 2048, 8, 3, 1
 VOCABULARY = "word_bpe_49k.json"
 #: Entries in a worker's memory of tokenised words; it starts afresh beyond that.
-MEMORY = 200_000
+MEMORY = 400_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -47,28 +53,99 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+# Letters whose lower case and normal form stand alone (ASCII, Latin-1 and Extended-A but for the dotted I), then ASCII marks.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([!-&(-/:-@\\[-`{-~]*)")
+#: Stands for the end of a word in byte strings; it never occurs in UTF-8.
+_END = b"\xff"
+
+
+def _byte_letters() -> dict[str, int]:
+    """The letter that byte-level vocabularies write for each byte: itself if printable, else the next free one from 256."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
 class Tokenizer:
-    """ids of a text as the tokenizer gives them.  The vocabulary's splitter never
-    joins text across a space, so a text's ids are those of its parts between
-    ASCII white space; parts are remembered."""
+    """ids of a text as the tokenizer gives them.
+
+    The vocabulary's splitter never joins text across a space, so a text's ids
+    are those of its parts between ASCII white space; parts are remembered.  A
+    part of plain letters and marks is merged by tiktoken's faster merge over
+    the same vocabulary (its merges are numbered in id order, which is checked,
+    so least id first is least merge first); every other part goes to the
+    tokenizer itself.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer as Given
-        self.given, self.memory = Given.from_file(path), {}
+        self.given, self.memory, self.merge = Given.from_file(path), {}, None
+        model = json.loads(Path(path).read_text("utf-8"))["model"]
+        vocabulary, end = model["vocab"], model.get("end_of_word_suffix") or ""
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        first = len(vocabulary) - len(merges) - sum(t.startswith("<|") for t in vocabulary)
+        if end and all(vocabulary.get(a + b) == first + i for i, (a, b) in enumerate(merges)):
+            import tiktoken
+            letters = _byte_letters()
+            ranks = {}
+            for token, i in vocabulary.items():
+                if not token.startswith("<|"):
+                    ends = token.endswith(end) and token != end
+                    core = token[:-len(end)] if ends else token
+                    ranks[bytes(letters[c] for c in core) + (_END if ends else b"")] = i
+            self.merge = tiktoken.Encoding("packing", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+
+    def _part(self, text: str) -> bytes:
+        plain = self.merge and _PLAIN.fullmatch(text)
+        if plain:
+            letters, marks = plain.groups()
+            ids = self.merge(letters.lower().encode() + _END)
+            if marks:
+                ids = ids + self.merge(marks.encode() + _END)
+        else:
+            ids = self.given.encode(text, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
+
+    def batch(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; every distinct part is looked up once."""
+        clean = pa.array([t.encode("utf-8", "replace") for t in texts], type=pa.large_binary()).cast(pa.large_string())
+        split = pc.ascii_split_whitespace(clean)
+        coded = split.flatten().dictionary_encode()
+        distinct, memory = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.memory
+        if len(memory) > MEMORY:
+            memory.clear()
+        known = []
+        for p in distinct:
+            ids = memory.get(p)
+            if ids is None:
+                ids = memory[p] = self._part(p)
+            known.append(ids)
+        flat = np.frombuffer(b"".join(known), dtype="<u4")
+        size = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        per = size[codes]
+        ends = np.concatenate([[0], np.cumsum(per)])
+        # Where each id of each part lies in ``flat``.
+        start = (np.cumsum(size) - size)[codes] - ends[:-1]
+        ids = flat[np.repeat(start, per) + np.arange(ends[-1])]
+        bounds = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
     def ids(self, text: str) -> np.ndarray:
-        parts = text.encode("utf-8", "replace").split()
-        memory = self.memory
-        missing = list({p for p in parts if p not in memory})
-        if missing:
-            if len(memory) + len(missing) > MEMORY:
-                memory.clear()
-                missing = list(set(parts))
-            for lo in range(0, len(missing), 10_000):
-                some = missing[lo:lo + 10_000]
-                for p, e in zip(some, self.given.encode_batch([x.decode() for x in some], add_special_tokens=False), strict=True):
-                    memory[p] = np.asarray(e.ids, dtype="<u4").tobytes()
-        return np.frombuffer(b"".join(map(memory.__getitem__, parts)), dtype="<u4")
+        return self.batch([text])[0]
+
+
+def _by_size(texts: pd.Series, most: int = 4_000_000) -> Iterator[list[str]]:
+    """The texts in lists of about ``most`` characters (or one longer text)."""
+    some, size = [], 0
+    for t in texts:
+        some.append(t)
+        size += len(t)
+        if size >= most:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
 
 
 def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -83,8 +160,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
         tokenizer = Tokenizer(path)
         for s in parts:
             counts, cuts = [], []
-            for t in s:
-                ids = np.append(tokenizer.ids(t), np.uint32(end_id)).astype("<u4")
+            for ids in (np.append(x, np.uint32(end_id)) for some in _by_size(s) for x in tokenizer.batch(some)):
                 counts.append(len(ids))
                 cuts.append([{"start": a, "length": len(x), "ids_crc32": zlib.crc32(x.tobytes())} | ({"ids": x.astype("int32").tolist()} if keep_ids else {})
                              for a in range(0, len(ids), window) for x in [ids[a:a + window]]])
