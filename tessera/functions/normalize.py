@@ -39,6 +39,11 @@ def species_key(c="scientificname") -> Column:
     return F.lower(F.trim(col(c)))
 
 
+def strip(c) -> Column:
+    """Without white space of any kind at either end (names of lists and sheets)."""
+    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+
+
 def to_double(c) -> Column:
     """Text to double with NULL on failure, matching the SQL oracle.
 

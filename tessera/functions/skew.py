@@ -7,7 +7,7 @@ Instead the decision is computed by a (map-side combined) aggregate and
 joined back with :func:`join_group_stats`, which splits hot groups:
 
 * ``hot`` holds ``(key hash, fan)`` for key hashes with at least
-  ``hot_rows`` rows.  Because those counts sum to at most the row count N,
+  ``hot_rows`` rows, read off the group sizes.  Because those counts sum to at most the row count N,
   ``hot`` has at most ``N / hot_rows`` entries of 12 bytes: a proven bound,
   so it is broadcast.
 * a hot group's row on the group side is repeated ``fan = ceil(size /
@@ -40,18 +40,20 @@ def join_group_stats(rows: DataFrame, groups: DataFrame, keys: list[str], size_c
                      hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Attach the columns of ``groups`` (one row per key) to ``rows``.
 
-    ``size_col`` names the group size column of ``groups`` (kept for callers;
-    the split is driven by counting ``rows`` per key hash); ``row_id_col`` is
-    any column that spreads a group's rows evenly (a row id).
+    ``size_col`` names the group size column of ``groups``, from which the
+    hot keys follow without another pass over ``rows``.  A left join counts
+    the rows instead, since keys without a group may be hot there.
+    ``row_id_col`` is any column that spreads a group's rows evenly (a row id).
     Key columns appear once in the result, taken from ``rows``.
     """
-    # Hot keys are found from the rows themselves, counting an 8-byte key
-    # hash (partial aggregation keeps the shuffle to distinct hashes per map
-    # task).  A collision can only make a cold key look hot, which salts it
-    # needlessly but never changes the result.
-    hot = (rows.groupBy(_key_hash([F.col(k) for k in keys]).alias("__h")).agg(F.count(F.lit(1)).alias("__n"))
-           .where(F.col("__n") >= hot_rows)
-           .select("__h", F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int").alias("__fan")))
+    # Keys meet by an 8-byte hash.  A collision can only make a cold key look
+    # hot, which salts it needlessly but never changes the result.
+    h = _key_hash([F.col(k) for k in keys]).alias("__h")
+    if how == "inner":
+        sizes = groups.where(F.col(size_col) >= hot_rows).groupBy(h).agg(F.max(size_col).alias("__n"))
+    else:
+        sizes = rows.groupBy(h).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= hot_rows)
+    hot = sizes.select("__h", F.ceil(F.col("__n") / F.lit(hot_rows)).cast("int").alias("__fan"))
     hot = F.broadcast(hot)
 
     g = groups.withColumn("__h", _key_hash([F.col(k) for k in keys]))

@@ -156,15 +156,12 @@ def priority_decisions(keys_df: DataFrame, key_cols: list[str], priority_col: st
     keep_source_row; decisions = source_row, keep_source_row, group_size,
     species_key, priority, best_priority for every row.
     """
-    # The survivor key (priority, row) packs into one long: priority is 0/1
-    # (checked by the key preconditions) and row ids are below 2^62, so a
-    # fixed-width hash aggregate finds it (no sort-based aggregation).
-    packed = F.shiftleft(F.col(priority_col).cast("long"), 62) + F.col(order_col)
+    # Right for any priority and row id; a NULL priority comes last.
+    best = F.struct(F.col(priority_col).isNull().alias("n"), F.col(priority_col).alias("p"), F.col(order_col).alias("r"))
     groups = keys_df.groupBy(*key_cols).agg(
         F.count(F.lit(1)).alias("group_size"),
         F.min(priority_col).alias("best_priority"),
-        F.min(packed).alias("__packed"))
-    groups = groups.withColumn("keep_source_row", F.col("__packed").bitwiseAND(F.lit((1 << 62) - 1))).drop("__packed")
+        F.min(best)["r"].alias("keep_source_row"))
     d = join_group_stats(keys_df, groups, key_cols, "group_size", order_col, hot_rows=hot_rows)
     decisions = d.select(order_col, "keep_source_row", F.col("group_size").cast("long").alias("group_size"),
                          species_col, priority_col, "best_priority")

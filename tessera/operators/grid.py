@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.normalize import is_finite
@@ -27,8 +27,6 @@ VARIABLES = ["thetao", "so", "chl", "no3", "o2"]          # bit i of the masks i
 PHY_VARIABLES = ["thetao", "so"]                          # sampled at the physical layer
 FILE_PATTERN = r"^([A-Za-z0-9]+)_(\d{4})_L(\d+)_([\d.]+)m\.tif$"
 
-MAX_LAYER_ROWS = 10_000   # layer tables are metadata; larger ones are refused
-
 
 @dataclass(frozen=True)
 class GridSpec:
@@ -137,30 +135,55 @@ def sentinel_conflicts(pixels: DataFrame, spec: GridSpec, a: str = "thetao", b:
 
 # --- nearest layer --------------------------------------------------------------------------
 
-def layer_arrays(layers: DataFrame, depth_cols: list[str]) -> list[Column]:
-    """The (bounded) layer table as array literals of (depth, layer), one per
-    depth column, from a single small collect."""
-    rows = layers.select("layer", *depth_cols).limit(MAX_LAYER_ROWS + 1).collect()
-    if len(rows) > MAX_LAYER_ROWS:
-        raise ValueError("layer table too large to inline")
-    out = []
-    for c in depth_cols:
-        items = ", ".join(f"named_struct('d', {float(r[c])!r}D, 'l', {int(r['layer'])})" for r in rows)
-        out.append(F.expr(f"array({items})"))     # one literal, parsed once
-    return out
-
+def layer_buckets(layers: DataFrame, depth_col: str) -> DataFrame:
+    """(bucket, first, width, last, candidates): the depth range in as many equal buckets as
+    there are layers, each with the layers that can be nearest to a depth in it.
 
-def nearest_layer(z: Column, arr: Column) -> Column:
+    A layer is nearest only between its neighbours' depths, so it enters the
+    buckets between those; all buckets together hold about three entries a layer.
+    The neighbours come from a window over the layer table (one row per depth).
+    """
+    d = layers.where(F.col(depth_col).isNotNull()).groupBy(F.col(depth_col).cast("double").alias("d")).agg(F.min("layer").alias("l"))
+    by_depth, everything = Window.orderBy("d"), Window.partitionBy(F.lit(1))
+    d = d.select("d", "l", F.lag("d").over(by_depth).alias("below"), F.lead("d").over(by_depth).alias("above"),
+                 F.min("d").over(everything).alias("first"), F.max("d").over(everything).alias("__max"),
+                 F.count(F.lit(1)).over(everything).alias("last"))
+    d = d.withColumn("width", F.when(F.col("__max") > F.col("first"), (F.col("__max") - F.col("first")) / F.col("last")).otherwise(1.0))
+    # One bucket to either side covers rounding at the edges.
+    lo = F.coalesce(layer_bucket(F.col("below")) - 1, F.lit(0))
+    hi = F.coalesce(layer_bucket(F.col("above")) + 1, F.col("last"))
+    d = d.withColumn("bucket", F.explode(F.sequence(F.greatest(lo, F.lit(0)), F.least(hi, F.col("last")))))
+    return d.groupBy("bucket", "first", "width", "last").agg(F.collect_list(F.struct("d", "l")).alias("candidates"))
+
+
+def layer_bucket(z: Column) -> Column:
+    """Bucket of a depth, the outer buckets taking all beyond."""
+    at = F.floor(F.greatest(F.lit(0.0), F.least((z - F.col("first")) / F.col("width"), F.col("last").cast("double"))))
+    return F.when(z.isNotNull(), at.cast("int"))
+
+
+def nearest_layer(z: Column, candidates: Column) -> Column:
     """Layer whose depth is nearest to ``z``; ties go to the lowest layer
     (struct ordering on (distance, layer))."""
-    best = F.array_min(F.transform(arr, lambda s: F.struct(F.abs(z - s["d"]).alias("dist"), s["l"].alias("layer"))))
+    best = F.array_min(F.transform(candidates, lambda s: F.struct(F.abs(z - s["d"]).alias("dist"), s["l"].alias("layer"))))
     return F.when(z.isNotNull(), best["layer"])
 
 
 def assign_layers(points: DataFrame, layers: DataFrame, z: str = "depth_final") -> DataFrame:
-    phy, bgc = layer_arrays(layers, ["phy_depth", "bgc_depth"])
-    return points.withColumns({"phy_layer": nearest_layer(F.col(z), phy).cast("int"),
-                               "bgc_layer": nearest_layer(F.col(z), bgc).cast("int")})
+    """Adds ``phy_layer`` and ``bgc_layer`` by an equi-join on the depth bucket.  The bucket
+    tables are written first, so the planner knows their bytes and broadcasts them if small."""
+    from ..session import scratch_path
+    spark = points.sparkSession
+    out = points
+    for family in ("phy", "bgc"):
+        path = scratch_path(spark, f"{family}-layers")
+        layer_buckets(layers, f"{family}_depth").write.parquet(path)
+        b = spark.read.parquet(path)
+        grid_of = F.broadcast(b.select("first", "width", "last").limit(1))  # one row
+        p = out.join(grid_of, how="left").withColumn("__b", layer_bucket(F.col(z))).drop("first", "width", "last")
+        p = p.join(b.select(F.col("bucket").alias("__bucket"), "candidates"), F.col("__b") == F.col("__bucket"), "left")
+        out = p.withColumn(f"{family}_layer", nearest_layer(F.col(z), F.col("candidates")).cast("int")).drop("__b", "__bucket", "candidates")
+    return out
 
 
 # --- sampling --------------------------------------------------------------------------------
@@ -185,12 +208,16 @@ def sample_long(points: DataFrame, pixels: DataFrame, spec: GridSpec, mode: str
         F.col("variable").isin(PHY_VARIABLES), F.col("phy_layer")).otherwise(F.col("bgc_layer"))
     r, c = cell_of(spec, F.col(lon), F.col(lat))
     p = p.withColumns({"layer": lay, "row": r, "col": c, "bit": var_ix})
-    p = p.join(F.broadcast(sizes.groupBy("variable").agg(F.max("width").alias("width"), F.max("height").alias("height"))),
-               "variable", "left")
-    inside = (F.col("row") >= 0) & (F.col("row") < F.col("height")) & (F.col("col") >= 0) & (F.col("col") < F.col("width"))
-    p = p.withColumn("inside", F.coalesce(inside, F.lit(False)))
+    # Each raster has its own size (one row per raster, broadcast).  A point whose raster is
+    # missing is judged by the variable's largest grid and gets a NULL value.
+    p = p.withColumnRenamed("year_final", "year").join(F.broadcast(sizes), ["variable", "year", "layer"], "left")
+    largest = sizes.groupBy("variable").agg(F.max("width").alias("__w"), F.max("height").alias("__h"))
+    p = p.join(F.broadcast(largest), "variable", "left")
+    height, width = F.coalesce("height", "__h"), F.coalesce("width", "__w")
+    inside = (F.col("row") >= 0) & (F.col("row") < height) & (F.col("col") >= 0) & (F.col("col") < width)
+    p = p.withColumn("inside", F.coalesce(inside, F.lit(False))).drop("__w", "__h")
     keys = ["variable", "year", "layer", "row", "col"]
-    pts = p.withColumnRenamed("year_final", "year")
+    pts = p
     counts = pts.where("inside").groupBy(*keys).agg(F.count(F.lit(1)).alias("__points"))
     px = pixels.select(*keys, F.col("value").alias("__value"))
     cells = counts.join(px, keys)          # both sides: one row per cell

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.normalize import species_key, to_double
-from ..functions.sizing import broadcast_if_small
+from ..functions.normalize import species_key, strip, to_double
 from ..functions.skew import DEFAULT_HOT_ROWS, join_group_stats
 from .route import route
 
@@ -21,20 +20,19 @@ def species_counts(df: DataFrame, threshold: int | None = None, key: Column | No
 
 
 def name_list(df: DataFrame, name_col: str = "sci_name") -> DataFrame:
-    """Distinct ``lower(trim(name))`` of non-empty names."""
-    return (df.where(F.col(name_col).isNotNull() & (F.trim(name_col) != ""))
-            .select(species_key(name_col).alias("species_key")).distinct())
+    """Distinct lower-cased names without white space at either end; empty ones left out."""
+    key = F.lower(strip(name_col))
+    return df.where(F.col(name_col).isNotNull() & (key != "")).select(key.alias("species_key")).distinct()
 
 
-def membership_route(df: DataFrame, names: DataFrame, name_col: str = "scientificname",
-                     max_broadcast_rows: int | None = None) -> DataFrame:
+def membership_route(df: DataFrame, names: DataFrame, name_col: str = "scientificname") -> DataFrame:
     """Flag rows whose key is in ``names`` and route them accepted/excluded.
 
-    A NULL name never matches (it is excluded, not lost).  The name list is
-    broadcast only when its measured size is within bound.
+    A NULL name never matches (it is excluded, not lost).  Whether the list
+    is broadcast is left to the planner and AQE, which know its bytes; a hot
+    name above that is a skewed partition, which AQE splits.
     """
     nm = names.select(F.col("species_key").alias("__name"), F.lit(True).alias("matched_iucn"))
-    nm = broadcast_if_small(nm) if max_broadcast_rows is None else broadcast_if_small(nm, max_broadcast_rows)
     r = df.withColumn("__key", species_key(name_col))
     r = r.join(nm, r["__key"] == nm["__name"], "left").drop("__key", "__name")
     r = r.withColumn("matched_iucn", F.coalesce("matched_iucn", F.lit(False)))
@@ -104,7 +102,7 @@ def threshold_diagnostic(counts: DataFrame, lo: int = 10, hi: int = 15) -> DataF
 def point_key_route(decisions: DataFrame, counts: DataFrame, n: int = 15) -> DataFrame:
     """accepted / below_threshold on unique points per species; duplicates
     routed to duplicate_removed.  ``counts`` has one row per species."""
-    c = broadcast_if_small(counts.select("species_key", "unique_points"))
+    c = counts.select("species_key", "unique_points")
     j = decisions.join(c, "species_key")
     r = route(j, [("duplicate_removed", F.col("source_row") != F.col("keep_source_row")),
                   ("accepted", F.col("unique_points") >= n)], default="below_threshold")

@@ -15,8 +15,9 @@ horizontal ray through it (exactly what parity needs) or touch it.  Point
 counts per (species, band) drive the salted join, so a band holding a large
 share of a hot species' points is split across tasks.
 
-Union: an edge used by two features (either direction) is dissolved -- a
-point on it and on no other edge is inside.  Documented limit: partially
+Union: an edge with features on both of its sides is dissolved -- a point on
+it and on no other edge is inside; an edge that equal or nested features share
+on one side stays boundary.  Documented limit: partially
 overlapping collinear edges are not merged.
 """
 
@@ -65,15 +66,22 @@ def polygon_decide(points: DataFrame, edges: DataFrame, band: float = BAND_DEGRE
     """Decisions per point: source_row, species_key, buffer_status,
     buffer_inside, buffer_boundary (both false unless the status is ready)."""
     status = polygon_status(edges)
-    # A segment used by two or more features of a species (either direction)
-    # is interior to their union: a point on it is not on the union's boundary.
+    # Only species with sound rings are unfolded: one bad vertex concerns its species alone.
+    edges = edges.join(status.where(F.col("buffer_status") == "ready").select("species_key"), "species_key", "left_semi")
+    # A segment with features on both of its sides is interior to their union.
+    # With every ring turned the same way round, the two sides show as the two
+    # directions; features on the same side (equal or nested ones) share one.
+    turn = edges.groupBy("species_key", "feature").agg(
+        F.signum(F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1"))).alias("__turn"))
+    edges = edges.join(turn, ["species_key", "feature"])
     a = F.struct(F.col("x1").alias("x"), F.col("y1").alias("y"))
     b = F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"))
     seg = edges.select("species_key", "feature", "x1", "y1", "x2", "y2",
-                       F.least(a, b).alias("__p"), F.greatest(a, b).alias("__q"))
-    shared = (seg.groupBy("species_key", "__p", "__q").agg(F.count_distinct("feature").alias("__nf"))
-              .where(F.col("__nf") > 1).select("species_key", "__p", "__q", F.lit(True).alias("__shared")))
-    seg = seg.join(shared, ["species_key", "__p", "__q"], "left").drop("__p", "__q")
+                       F.least(a, b).alias("__p"), F.greatest(a, b).alias("__q"),
+                       (F.col("__turn") * F.when(a < b, 1).otherwise(-1)).alias("__side"))
+    shared = (seg.groupBy("species_key", "__p", "__q").agg(F.min("__side").alias("__s1"), F.max("__side").alias("__s2"))
+              .where(F.col("__s1") < F.col("__s2")).select("species_key", "__p", "__q", F.lit(True).alias("__shared")))
+    seg = seg.join(shared, ["species_key", "__p", "__q"], "left").drop("__p", "__q", "__side")
     e = seg.select("species_key", "feature", "x1", "y1", "x2", "y2",
                    F.coalesce("__shared", F.lit(False)).alias("__shared"),
                    F.explode(F.sequence(_band(F.least("y1", "y2"), band), _band(F.greatest("y1", "y2"), band))).alias("band"))

@@ -66,7 +66,7 @@ def stratified_sample(df: DataFrame, stratum: str, id_col: str, quotas: dict, se
 
     One constant-limit top-k per quota, so each keeps ``WindowGroupLimit``
     (k rows per stratum per map task before the shuffle)."""
-    order = seeded_order(id_col, seed).cast("long") * F.lit(1 << 40) + F.col(id_col)
+    order = F.struct(seeded_order(id_col, seed).alias("o"), F.col(id_col).alias("id"))
     parts = [stratified_head(df.where(F.col(stratum) == k).withColumn("__o", order), stratum, "__o", v).drop("__o")
              for k, v in quotas.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.normalize import species_key, to_double
-from ..functions.sizing import broadcast_if_small
 from ..operators import classify, dedup, lists
 from ..operators.route import route
 from ..sources import fixtures as fx

@@ -325,9 +325,9 @@ def stratified_sample(spark, sf):
     pts = pts.withColumn("stratum", F.concat_ws("|", F.coalesce("species_key", F.lit("")),
                                                 F.col("species_key").isNull().cast("string"),
                                                 F.col("different").cast("string")))
-    a = verify.stratified_head(pts.where("different").withColumn("__o", verify.seeded_order("source_row", SEED) * 1_000_000_000_000 + F.col("source_row")),
+    a = verify.stratified_head(pts.where("different").withColumn("__o", F.struct(verify.seeded_order("source_row", SEED).alias("o"), "source_row")),
                                "stratum", "__o", 20)
-    b = verify.stratified_head(pts.where(~F.col("different")).withColumn("__o", verify.seeded_order("source_row", SEED) * 1_000_000_000_000 + F.col("source_row")),
+    b = verify.stratified_head(pts.where(~F.col("different")).withColumn("__o", F.struct(verify.seeded_order("source_row", SEED).alias("o"), "source_row")),
                                "stratum", "__o", 3)
     return a.unionByName(b).select("source_row", "species_key", "different")
 

@@ -145,7 +145,7 @@ def fingerprint_mismatch(spark, sf):
 @query("table_fingerprint")
 def table_fingerprint(spark, sf):
     out = None
-    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
+    for t in fx.BASE_TABLES:
         r = io.table_fingerprint(fx.table(spark, sf, t)).select(F.lit(t).alias("table_name"), "rows", "fingerprint")
         out = r if out is None else out.unionByName(r)
     return out

@@ -109,14 +109,14 @@ def scalar_bits(spark, sf):
 
 
 @query("scalar_json", with_fixtures(["fx4"], """
-SELECT j, CAST(json_extract(j, '$.year') AS INTEGER) AS year, CAST(json_extract(j, '$.layer') AS INTEGER) AS layer,
+SELECT j, json_extract_string(j, '$.variable') AS variable, CAST(json_extract(j, '$.year') AS INTEGER) AS year, CAST(json_extract(j, '$.layer') AS INTEGER) AS layer,
   CAST(json_extract(j, '$.row') AS INTEGER) AS row, CAST(json_extract(j, '$.col') AS INTEGER) AS col,
   CAST(json_extract(j, '$.value') AS DOUBLE) AS value FROM (
-  SELECT to_json(struct_pack(year := year, layer := layer, row := row, col := col, value := value)) AS j
-  FROM fx4 WHERE variable = 'thetao' AND value IS NOT NULL) t"""))
+  SELECT to_json(struct_pack(variable := variable, year := year, layer := layer, row := row, col := col, value := value)) AS j
+  FROM fx4) t"""))
 def scalar_json(spark, sf):
-    p = fx.load(spark, sf, "fx4").where((F.col("variable") == "thetao") & F.col("value").isNotNull())
-    j = F.to_json(F.struct("year", "layer", "row", "col", "value"))
-    schema = "year INT, layer INT, row INT, col INT, value DOUBLE"
+    p = fx.load(spark, sf, "fx4")
+    j = F.to_json(F.struct("variable", "year", "layer", "row", "col", "value"), {"ignoreNullFields": "false"})
+    schema = "variable STRING, year INT, layer INT, row INT, col INT, value DOUBLE"
     return p.select(j.alias("j")).select("j", F.from_json("j", schema).alias("s")).select(
-        "j", "s.year", "s.layer", "s.row", "s.col", "s.value")
+        "j", "s.variable", "s.year", "s.layer", "s.row", "s.col", "s.value")

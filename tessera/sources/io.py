@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CSV_READ = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "mode": "FAILFAST",
+            "enforceSchema": "false",  # a file whose header differs from the schema is an error, never read by position
+           
             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "encoding": "UTF-8"}
 CSV_WRITE = {"header": "true", "escape": '"', "quote": '"', "ignoreLeadingWhiteSpace": "false",
              "ignoreTrailingWhiteSpace": "false"}

@@ -18,15 +18,17 @@ from pyspark.sql import types as T
 def incremental_route(spark: SparkSession, source_dir: str, schema: T.StructType, out_dir: str,
                       checkpoint_dir: str, classify: Callable[[DataFrame], DataFrame],
                       max_files_per_trigger: int | None = None) -> None:
-    """Classify and route newly arrived Parquet parts; append to ``out_dir``
-    partitioned by ``route``.  Re-running picks up only new files."""
+    """Classify and route newly arrived Parquet parts into ``out_dir``, partitioned
+    by ``batch_id`` and ``route``.  Re-running picks up only new files; a batch that
+    is replayed after a crash writes its own folder anew, so its rows stay once."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = classify(reader.parquet(source_dir))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append").option("compression", "zstd").partitionBy("route").parquet(out_dir)
+        (batch.write.mode("overwrite").option("compression", "zstd").partitionBy("route")
+         .parquet(f"{out_dir.rstrip('/')}/batch_id={batch_id}"))
 
     q = (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())

@@ -53,3 +53,27 @@ def test_dedup_deterministic_across_partitions(spark):
     a = sorted(tuple(r) for r in dedup.exact_dedup(df.repartition(1), KEYS).collect())
     b = sorted(tuple(r) for r in dedup.exact_dedup(df.repartition(7), KEYS).collect())
     assert a == b
+
+
+def test_any_priority_and_row_id(spark):
+    from tessera.operators.dedup import priority_decisions
+    big = 1 << 62
+    df = spark.createDataFrame([(1, "a", 2, "s"), (2, "a", 1, "s"), (big + 5, "b", -3, "s"), (3, "b", 0, "s"), (7, "c", None, "s"), (9, "c", 4, "s")],
+                               "source_row long, k string, priority int, species_key string")
+    groups, _ = priority_decisions(df, ["k"])
+    assert {r.k: r.keep_source_row for r in groups.collect()} == {"a": 2, "b": big + 5, "c": 9}
+
+
+def test_name_list_strips_all_white_space(spark):
+    from tessera.operators.lists import name_list
+    df = spark.createDataFrame([("Foo bar\t",), ("\n foo BAR",), ("\t",), (None,)], "sci_name string")
+    assert [r.species_key for r in name_list(df).collect()] == ["foo bar"]
+
+
+def test_csv_with_another_header_is_an_error(spark, tmp_path):
+    import pytest
+    from tessera.sources import io
+    (tmp_path / "a.csv").write_text("id,name\n1,x\n")
+    (tmp_path / "b.csv").write_text("name,id\nz,3\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        io.read_text_table(spark, str(tmp_path), ["id", "name"]).collect()

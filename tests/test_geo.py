@@ -89,3 +89,62 @@ def test_stratified_sample_quotas(spark):
     df = spark.range(0, 200).select((F.col("id") % 2).alias("s"), F.col("id"))
     got = stratified_sample(df, "s", "id", {0: 5, 1: 2}).groupBy("s").count().collect()
     assert sorted((r.s, r["count"]) for r in got) == [(0, 5), (1, 2)]
+
+
+def _boxes(spark, boxes):
+    edges = []
+    for f, (x, y, u, v) in enumerate(boxes):
+        ring = [(x, y), (u, y), (u, v), (x, v), (x, y)]
+        edges += [("s", f, i, *map(float, (*a, *b))) for i, (a, b) in enumerate(zip(ring, ring[1:], strict=False))]
+    return spark.createDataFrame(edges, "species_key string, feature int, seq int, x1 double, y1 double, x2 double, y2 double")
+
+
+def _decide(spark, edges, points):
+    p = spark.createDataFrame([(i, "s", float(x), float(y)) for i, (x, y) in enumerate(points)],
+                              "source_row long, species_key string, lon double, lat double")
+    rows = polygon.polygon_decide(p, edges, band=0.5).orderBy("source_row").collect()
+    return [(r.buffer_inside, r.buffer_boundary) for r in rows]
+
+
+def test_equal_and_nested_features_keep_their_boundary(spark):
+    inside, boundary = (True, False), (False, True)
+    twice = _boxes(spark, [(0, 0, 1, 1), (0, 0, 1, 1)])
+    assert _decide(spark, twice, [(1, 0.5), (0, 0.5), (0.5, 0.5)]) == [boundary, boundary, inside]
+    turned = twice.selectExpr("species_key", "feature", "seq", *[f"if(feature = 1, {a}{3 - i}, {a}{i}) {a}{i}" for i in (1, 2) for a in "xy"])
+    assert _decide(spark, turned, [(1, 0.5), (0.5, 0.5)]) == [boundary, inside]
+    nested = _boxes(spark, [(0, 0, 2, 1), (0, 0, 1, 1), (0, 0, 1, 1)])
+    assert _decide(spark, nested, [(0, 0.5), (1, 0.5), (2, 0.5)]) == [boundary, inside, boundary]
+    beside = _boxes(spark, [(0, 0, 1, 1), (1, 0, 2, 1), (0, 0, 1, 1)])
+    assert _decide(spark, beside, [(1, 0.5), (0, 0.5)]) == [inside, boundary]
+
+
+def test_infinite_vertex_is_invalid_and_harms_no_other(spark):
+    good = _boxes(spark, [(0, 0, 1, 1)])
+    bad = _boxes(spark, [(0, 0, 1, 1)]).selectExpr("'t' AS species_key", "feature", "seq", "x1", "if(seq = 2, double('inf'), y1) AS y1", "x2",
+                                                  "if(seq = 1, double('inf'), y2) AS y2")
+    e = good.unionByName(bad)
+    assert {r.species_key: r.buffer_status for r in polygon.polygon_status(e).collect()} == {"s": "ready", "t": "invalid_geometry"}
+    assert _decide(spark, e, [(0.5, 0.5)]) == [(True, False)]
+
+
+def test_twenty_thousand_layers(spark):
+    import random
+    rng = random.Random(8)
+    depths = [rng.choice([rng.uniform(0, 6000), rng.uniform(0, 5), float(rng.randrange(200))]) for _ in range(20_000)]
+    layers = spark.createDataFrame([(i, d, d / 2) for i, d in enumerate(depths)], "layer int, phy_depth double, bgc_depth double")
+    zs = [-50.0, 0.0, 9999.0, 2.5, 100.5] + [rng.uniform(-10, 6100) for _ in range(60)] + [float(i) / 2 for i in range(40)]
+    pts = spark.createDataFrame(list(enumerate(zs)), "source_row long, depth_final double")
+    for r in grid.assign_layers(pts, layers).collect():
+        assert r.phy_layer == min((abs(zs[r.source_row] - d), i) for i, d in enumerate(depths))[1]
+        assert r.bgc_layer == min((abs(zs[r.source_row] - d / 2), i) for i, d in enumerate(depths))[1]
+
+
+def test_rasters_of_two_sizes(spark):
+    pixels = spark.createDataFrame([(v, y, 1, r, c, 5.0) for v in grid.VARIABLES for y, n in ((2000, 2), (2001, 3)) for r in range(n) for c in range(n)],
+                                   "variable string, year int, layer int, row int, col int, value double")
+    pts = spark.createDataFrame([(1, 2.5, -0.5, 2000, 1, 1), (2, 2.5, -0.5, 2001, 1, 1), (3, 2.5, -0.5, 2002, 1, 1)],
+                                "source_row long, lon double, lat double, year_final int, phy_layer int, bgc_layer int")
+    w = {r.source_row: r for r in grid.sample_wide(grid.sample_long(pts, pixels, grid.GridSpec(c=0.0, a=1.0, f=0.0, e=-1.0))).collect()}
+    assert (w[1].thetao, w[1].environment_outside_mask, w[1].environment_invalid_mask) == (0.0, 31, 0)
+    assert (w[2].thetao, w[2].environment_outside_mask) == (5.0, 0)
+    assert (w[3].thetao, w[3].environment_outside_mask, w[3].environment_invalid_mask) == (None, 0, 31)
