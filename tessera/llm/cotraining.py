@@ -30,7 +30,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +44,7 @@ MAX_LABELLED, MAX_POOL = 8_000, 8_000
 ROUNDS, SURE, PER_ROUND = 3, 0.95, 1_000
 MAX_FALSE = 0.002
 LANGS, SOURCES = 8, 32
+TEXT_WIDTH, META_WIDTH = 14, LANGS + SOURCES + 2  # numbers in each view
 
 
 def text_view(text: str) -> list[float]:
@@ -51,7 +52,7 @@ def text_view(text: str) -> list[float]:
     data = text.encode("utf-8", "replace")
     words = data.split()
     if not words:
-        return [1.0] + [0.0] * 13
+        return [1.0] + [0.0] * (TEXT_WIDTH - 1)
     n, size = len(words), len(data)
     c = np.bincount(np.frombuffer(data, dtype=np.uint8), minlength=256)
     letters = max(1, int(c[65:91].sum() + c[97:123].sum()))
@@ -67,7 +68,7 @@ def text_view(text: str) -> list[float]:
 
 def meta_view(lang: str | None, source: str | None, n_chars: float | None) -> list[float]:
     """One-hot language and source (hashed), and the stated length."""
-    out = [0.0] * (LANGS + SOURCES + 2)
+    out = [0.0] * META_WIDTH
     out[zlib.crc32(("l:" + (lang or "")).encode()) % LANGS] = 1.0
     out[LANGS + zlib.crc32(("s:" + (source or "")).encode()) % SOURCES] = 1.0
     known = n_chars is not None and n_chars == n_chars and n_chars >= 0
@@ -168,9 +169,9 @@ def _meta_columns(docs: DataFrame) -> list:
     return [(F.col(c) if c in have else F.lit(None)).cast(t).alias(f"_{c}") for c, t in (("lang", "string"), ("source", "string"), ("n_chars", "double"))]
 
 
-def _views(t: pd.Series, lang: pd.Series, source: pd.Series, n: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    meta = [meta_view(a if isinstance(a, str) else None, b if isinstance(b, str) else None, c) for a, b, c in zip(lang, source, n, strict=True)]
-    return np.array([text_view(x) for x in t]).reshape(len(t), -1), np.array(meta).reshape(len(t), -1)
+def _views(t: pa.Array, lang: pa.Array, source: pa.Array, n: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    meta = [meta_view(a.as_py(), b.as_py(), c.as_py()) for a, b, c in zip(lang, source, n, strict=True)]
+    return np.array([text_view(x.as_py()) for x in t]).reshape(len(t), TEXT_WIDTH), np.array(meta).reshape(len(t), META_WIDTH)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED,
@@ -186,11 +187,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     mine = label.join(ids.distinct(), "l_id", "left_semi").select("l_id", (F.col("y") > 0).cast("int").alias("y"))
     chosen = stage_table(mine.orderBy(order, "l_id").limit(max_labelled).unionByName(pool.orderBy(order, "l_id").limit(max_pool)), "training-ids")
 
-    @F.pandas_udf("struct<text:array<double>,meta:array<double>>")
-    def views(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<text:array<double>,meta:array<double>>")
+    def views(parts: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        rows = pa.list_(pa.float64())
         for t, lang, source, n in parts:
             a, b = _views(t, lang, source, n)
-            yield pd.DataFrame({"text": a.tolist(), "meta": b.tolist()})
+            yield pa.StructArray.from_arrays([pa.array(list(a), rows), pa.array(list(b), rows)], ["text", "meta"])
 
     picked = (docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_t"), *_meta_columns(docs))
               .join(F.broadcast(chosen), F.col("_id") == F.col("l_id"))  # at most max_labelled + max_pool ids
@@ -202,14 +204,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def _scored(docs: DataFrame, model: Model, text_col: str, into: str) -> DataFrame:
-    @F.pandas_udf("struct<p_text:double,p_meta:double,score:double>")
-    def scores(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<p_text:double,p_meta:double,score:double>")
+    def scores(parts: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for t, lang, source, n in parts:
-            if len(t):
-                p, q, s = model.scores(*_views(t, lang, source, n))
-                yield pd.DataFrame({"p_text": p, "p_meta": q, "score": s})
-            else:
-                yield pd.DataFrame({"p_text": [], "p_meta": [], "score": []}, dtype=float)
+            p = model.scores(*_views(t, lang, source, n))
+            yield pa.StructArray.from_arrays([pa.array(x, pa.float64()) for x in p], ["p_text", "p_meta", "score"])
 
     return docs.withColumn(into, scores(text_of(text_col), *_meta_columns(docs)))
 

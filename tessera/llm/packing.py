@@ -30,7 +30,6 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
@@ -45,7 +44,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WINDOW, GRAIN, DEPTH, END_ID = 2048, 8, 3, 1
 VOCABULARY = "word_bpe_49k.json"
 #: Entries in a worker's memory of tokenised words; it starts afresh beyond that.
-MEMORY = 400_000
+MEMORY = 100_000
+#: Bytes of text that a worker tokenises at a time.
+SLICE_BYTES = 1 << 20
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -106,10 +107,9 @@ class Tokenizer:
             ids = self.given.encode(text, add_special_tokens=False).ids
         return array("I", ids).tobytes()
 
-    def batch(self, texts: list[str]) -> list[np.ndarray]:
+    def batch(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; every distinct part is looked up once."""
-        clean = pa.array([t.encode("utf-8", "replace") for t in texts], type=pa.large_binary()).cast(pa.large_string())
-        split = pc.ascii_split_whitespace(clean)
+        split = pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
         distinct, memory = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.memory
         if len(memory) > MEMORY:
@@ -132,20 +132,17 @@ class Tokenizer:
         return [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
     def ids(self, text: str) -> np.ndarray:
-        return self.batch([text])[0]
+        return self.batch(pa.array([text], pa.large_string()))[0]
 
 
-def _by_size(texts: pd.Series, most: int = 4_000_000) -> Iterator[list[str]]:
-    """The texts in lists of about ``most`` characters (or one longer text)."""
-    some, size = [], 0
-    for t in texts:
-        some.append(t)
-        size += len(t)
-        if size >= most:
-            yield some
-            some, size = [], 0
-    if some:
-        yield some
+def _by_size(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """Slices of up to ``most`` bytes (or one longer text), so that a worker's arrays stay small."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    a = done = 0
+    while a < len(texts):
+        b = max(a + 1, int(np.searchsorted(sizes, done + most, "right")))
+        yield texts.slice(a, b - a)
+        a, done = b, int(sizes[b - 1])
 
 
 def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -154,17 +151,20 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("t"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     piece = "struct<start:long,length:long,ids_crc32:long" + (",ids:array<int>" if keep_ids else "") + ">"
+    fields = [("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())] + [("ids", pa.list_(pa.int32()))] * keep_ids
+    kind = pa.struct([("doc_tokens", pa.int64()), ("pieces", pa.list_(pa.struct(fields)))])
 
-    @F.pandas_udf(f"struct<doc_tokens:long,pieces:array<{piece}>>")
-    def cut(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def row(ids: np.ndarray) -> dict:
+        ids = np.append(ids, np.uint32(end_id))
+        cut = [(a, ids[a:a + window]) for a in range(0, len(ids), window)]
+        return {"doc_tokens": len(ids),
+                "pieces": [{"start": a, "length": len(x), "ids_crc32": zlib.crc32(x.tobytes())} | ({"ids": x.astype("int32")} if keep_ids else {}) for a, x in cut]}
+
+    @F.arrow_udf(f"struct<doc_tokens:long,pieces:array<{piece}>>")
+    def cut(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokenizer = Tokenizer(path)
-        for s in parts:
-            counts, cuts = [], []
-            for ids in (np.append(x, np.uint32(end_id)) for some in _by_size(s) for x in tokenizer.batch(some)):
-                counts.append(len(ids))
-                cuts.append([{"start": a, "length": len(x), "ids_crc32": zlib.crc32(x.tobytes())} | ({"ids": x.astype("int32").tolist()} if keep_ids else {})
-                             for a in range(0, len(ids), window) for x in [ids[a:a + window]]])
-            yield pd.DataFrame({"doc_tokens": counts, "pieces": cuts})
+        for texts in parts:
+            yield pa.array([row(ids) for some in _by_size(texts) for ids in tokenizer.batch(some)], kind)
 
     got = rows.select(F.col("doc_id").cast(id_type), cut("t").alias("c"))
     return got.select("doc_id", "c.doc_tokens", F.inline("c.pieces")).select(

@@ -27,7 +27,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,10 +69,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, row_hash, fp) for every row; the hash tells rows of one id apart."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_of(text_col)).alias("row_hash"), text_of(text_col).alias("t"))
 
-    @F.pandas_udf("long")
-    def fp(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in parts:
-            yield pd.Series([fingerprint(t, shingle) for t in s], dtype="int64")
+    @F.arrow_udf("long")
+    def fp(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in parts:
+            yield pa.array([fingerprint(t.as_py(), shingle) for t in texts], pa.int64())
 
     return rows.select("doc_id", "row_hash", fp("t").alias("fp"))
 

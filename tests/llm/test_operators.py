@@ -294,6 +294,21 @@ def test_packing_ids(docs):
         assert [x for _, ids in sorted(p) for x in ids] == [*own.ids(texts[i]).tolist(), 1]
 
 
+def test_packing_slices():
+    """Every text lies in one slice, in order, however it is cut."""
+    import pyarrow as pa
+    texts = ["", "a b", "x" * 50, "", "é" * 9, "last one"] * 7
+    for most in (1, 8, 60, 1 << 20):
+        cut = list(packing._by_size(pa.array(texts, pa.string()), most))
+        assert [t for part in cut for t in part.to_pylist()] == texts and all(len(part) for part in cut)
+        assert all(len(part) == 1 or sum(len(t.encode()) for t in part.to_pylist()) <= most for part in cut)
+    assert list(packing._by_size(pa.array([], pa.string()))) == []
+    own = packing.Tokenizer(packing.vocabulary_path())
+    whole = own.batch(pa.array(texts, pa.string()))
+    cut = [ids for part in packing._by_size(pa.array(texts, pa.string()), 8) for ids in own.batch(part)]
+    assert [x.tolist() for x in whole] == [x.tolist() for x in cut]
+
+
 def test_strategies():
     rng = random.Random(4)
     hist = Counter(min(32, max(1, int(rng.gauss(12, 8)))) for _ in range(20_000))
