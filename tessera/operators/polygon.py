@@ -23,7 +23,7 @@ overlapping collinear edges are not merged.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.skew import DEFAULT_HOT_ROWS, join_group_stats
@@ -122,15 +122,20 @@ def polygon_counts(decisions: DataFrame, n: int = 15) -> DataFrame:
                     ((F.col("status") == "ready") & (F.col("inside_rows") >= n)).alias("retained_ge15"))
 
 
+def point_place() -> Column:
+    """Where a point lies: unknown (no usable polygon), inside, boundary or outside."""
+    on = F.when(F.col("buffer_inside"), "inside").when(F.col("buffer_boundary"), "boundary").otherwise("outside")
+    return F.when(F.col("buffer_status") == "ready", on).otherwise("unknown")
+
+
 def spatial_route(decisions: DataFrame, n: int = 15, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Five routes; the threshold counts inside rows per species."""
     from .route import route
     counts = decisions.groupBy("species_key").agg(F.count_if("buffer_inside").alias("spatial_records"),
                                                    F.count(F.lit(1)).alias("__rows"))
     j = join_group_stats(decisions, counts, ["species_key"], "__rows", "source_row", hot_rows=hot_rows).drop("__rows")
-    ready = F.col("buffer_status") == "ready"
-    return route(j, [("accepted", ready & F.col("buffer_inside") & (F.col("spatial_records") >= n)),
-                     ("outside_buffer", ready & ~F.col("buffer_inside") & ~F.col("buffer_boundary")),
-                     ("boundary_excluded", ready & F.col("buffer_boundary")),
-                     ("below_threshold", ready & F.col("buffer_inside") & (F.col("spatial_records") < n)),
-                     ("review_missing_buffer", ~ready)])
+    enough = F.col("spatial_records") >= n
+    return j.withColumn("__place", point_place()).transform(lambda d: route(d, [
+        ("review_missing_buffer", F.col("__place") == "unknown"), ("outside_buffer", F.col("__place") == "outside"),
+        ("boundary_excluded", F.col("__place") == "boundary"), ("accepted", (F.col("__place") == "inside") & enough),
+        ("below_threshold", (F.col("__place") == "inside") & ~enough)])).drop("__place")

@@ -45,13 +45,13 @@ POLY_SQL = f"""{_coord_sql('fx1')},
     s.species_key IS NOT NULL AND NOT coalesce(pf.inside, false) AND coalesce(pf.on_edge, false) AS buffer_boundary
     FROM pts p LEFT JOIN poly_species s ON p.species_key = s.species_key LEFT JOIN pf ON pf.source_row = p.source_row),
   sp AS (SELECT species_key, count(*) FILTER (WHERE buffer_inside) AS spatial_records FROM decisions GROUP BY 1),
-  routed AS (SELECT d.*, sp.spatial_records, CASE
-      WHEN buffer_status = 'ready' AND buffer_inside AND spatial_records >= 15 THEN 'accepted'
-      WHEN buffer_status = 'ready' AND NOT buffer_inside AND NOT buffer_boundary THEN 'outside_buffer'
-      WHEN buffer_status = 'ready' AND buffer_boundary THEN 'boundary_excluded'
-      WHEN buffer_status = 'ready' AND buffer_inside AND spatial_records < 15 THEN 'below_threshold'
-      WHEN buffer_status <> 'ready' THEN 'review_missing_buffer' END AS route
-    FROM decisions d JOIN sp ON d.species_key IS NOT DISTINCT FROM sp.species_key)"""
+  placed AS (SELECT *, if(buffer_status <> 'ready', 'unknown',
+      (['outside', 'boundary', 'inside'])[1 + greatest(2 * buffer_inside::INT, buffer_boundary::INT)]) AS place FROM decisions),
+  ways(place, enough, route) AS (VALUES ('inside', true, 'accepted'), ('inside', false, 'below_threshold'),
+    ('outside', NULL, 'outside_buffer'), ('boundary', NULL, 'boundary_excluded'), ('unknown', NULL, 'review_missing_buffer')),
+  routed AS (SELECT p.* EXCLUDE (place), sp.spatial_records, w.route
+    FROM placed p JOIN sp ON p.species_key IS NOT DISTINCT FROM sp.species_key
+    JOIN ways w ON w.place = p.place AND coalesce(w.enough = (sp.spatial_records >= 15), true))"""
 
 
 @query("ring_checks", with_fixtures(["fx5"], """
