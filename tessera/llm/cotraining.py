@@ -8,8 +8,9 @@ trains on them too.  Each view is then calibrated on held-out labels (Platt
 scaling) and the calibrated views are combined, again on held-out labels, into
 one score, the probability of good quality.  Every document is scored.
 
-A document is rejected below the threshold: one half, or less if more than
-``MAX_FALSE`` of the held-out good documents would fall below that.
+A document is rejected if the score, its calibrated probability of good quality, is
+below one half.  The model carries the held-out counts of both errors: good
+documents rejected and bad ones that pass.
 
 The models are fitted on a bounded sample: at most ``MAX_LABELLED`` labelled
 and ``MAX_POOL`` unlabelled documents, chosen by a hash of the id (documented
@@ -42,7 +43,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_LABELLED, MAX_POOL = 8_000, 8_000
 ROUNDS, SURE, PER_ROUND = 3, 0.95, 1_000
-MAX_FALSE = 0.002
+THRESHOLD = 0.5
 LANGS, SOURCES = 8, 32
 TEXT_WIDTH, META_WIDTH = 14, LANGS + SOURCES + 2  # numbers in each view
 
@@ -102,10 +103,12 @@ def _prob(z: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Per view: mean, scale, weights and calibration; then the combination and the threshold."""
+    """Per view: mean, scale, weights and calibration; then the combination, the threshold and,
+    of the held-out documents, the counts (good, good rejected, bad, bad passed)."""
     views: list = field(default_factory=list)
     combine: np.ndarray | None = None
-    threshold: float = 0.0
+    threshold: float = THRESHOLD
+    held_out: tuple[int, int, int, int] = (0, 0, 0, 0)
 
     def calibrated(self, i: int, x: np.ndarray) -> np.ndarray:
         mean, scale, w, platt = self.views[i]
@@ -159,8 +162,8 @@ def cotrain(text: np.ndarray, meta: np.ndarray, y: np.ndarray, rounds: int = ROU
         model.views.append((*norms[i], weights[i], platt))
     z = np.column_stack([model.calibrated(0, text[test]), model.calibrated(1, meta[test])])
     model.combine = fit(z, y[test])
-    good = np.sort(_prob(_logit(z, model.combine))[y[test] == 1])
-    model.threshold = float(min(0.5, good[int(MAX_FALSE * len(good))]))
+    good, stays = y[test] == 1, _prob(_logit(z, model.combine)) >= model.threshold
+    model.held_out = (int(good.sum()), int((good & ~stays).sum()), int((~good).sum()), int((~good & stays).sum()))
     return model
 
 

@@ -400,6 +400,21 @@ def test_views_teach_each_other():
     assert ((s > 0.5) == y)[120:].mean() > 0.97
 
 
+def test_wrong_labels_do_not_move_the_threshold():
+    rng = np.random.default_rng(1)
+    y = rng.random(800) < 0.7
+    a, b = y[:, None] * 4 + rng.normal(size=(800, 2)), y[:, None] * 3 + rng.normal(size=(800, 2))
+    wrong = y.astype(int)
+    wrong[[i for i in range(3, 800, 4) if not y[i]][:3]] = 1  # three held-out bad documents labelled good
+    for seen in (wrong, y.astype(int)):
+        model = cotraining.cotrain(a, b, seen)
+        kept = model.scores(a, b)[2] >= model.threshold
+        assert model.threshold == 0.5
+        assert kept[~y].mean() < 0.05 and kept[y].mean() > 0.95
+        held = np.arange(800) % 4 == 3
+        assert model.held_out == tuple((held & x).sum() for x in (seen == 1, ~kept & (seen == 1), seen == 0, kept & (seen == 0)))
+
+
 @pytest.mark.parametrize("name", ["op3_url_filter", "op6_mixing"])
 def test_sql(spark, name):
     import duckdb
