@@ -3,8 +3,9 @@
 Two views of a document, each with its own logistic model: the text's content
 (statistics of its characters and words) and the page's metadata (language,
 source, stated length).  They start from labelled documents; in each round each
-view labels the unlabelled documents it is most sure of, and the other view
-trains on them too.  Each view is then calibrated on held-out labels (Platt
+view labels all unlabelled documents of the table that it is sure of, and the
+other view trains on them too; those of one label weigh together at most as much
+as the labelled ones of that label.  Each view is then calibrated on held-out labels (Platt
 scaling) and the calibrated views are combined, again on held-out labels, into
 one score, the probability of good quality.  Every document is scored.
 
@@ -12,9 +13,12 @@ A document is rejected if the score, its calibrated probability of good quality,
 below one half.  The model carries the held-out counts of both errors: good
 documents rejected and bad ones that pass.
 
-The models are fitted on a bounded sample: at most ``MAX_LABELLED`` labelled
-and ``MAX_POOL`` unlabelled documents, chosen by a hash of the id (documented
-bounds, a few MB on the driver).  Scoring covers every document, in Arrow batches.
+At most ``MAX_LABELLED`` labelled documents, chosen by a hash of the id, are
+collected (a documented bound, a few MB on the driver).  The unlabelled ones stay in
+a staged table of their views: each Newton step is one job that sums gradients and
+Hessians over all of them.  Languages and sources are values of their own, each with
+a weight; what reaches the driver is a few numbers per partition and per pair of
+language and source.  Scoring covers every document, in Arrow batches.
 
 Defined cases: a null text is empty; null language, source or length are values
 of their own; of conflicting labels of one id the lower counts; without labels
@@ -25,9 +29,9 @@ result rows; an empty table gives an empty result; further columns are ignored b
 
 from __future__ import annotations
 
+import copy
 import sys
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -41,11 +45,10 @@ from .common import fresh, stage_table, text_of
 # Workers get this module's functions with the task; they need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_LABELLED, MAX_POOL = 8_000, 8_000
-ROUNDS, SURE, PER_ROUND = 3, 0.95, 1_000
+MAX_LABELLED = 8_000
+ROUNDS, SURE, STEPS, CLOSE = 3, 0.95, 20, 1e-3
 THRESHOLD = 0.5
-LANGS, SOURCES = 8, 32
-TEXT_WIDTH, META_WIDTH = 14, LANGS + SOURCES + 2  # numbers in each view
+TEXT_WIDTH = 14  # numbers in the text view
 
 
 def text_view(text: str) -> list[float]:
@@ -67,14 +70,29 @@ def text_view(text: str) -> list[float]:
             once / n, same / n, pairs / n, size / n / 10, np.log1p(n) / 10, short / n]
 
 
-def meta_view(lang: str | None, source: str | None, n_chars: float | None) -> list[float]:
-    """One-hot language and source (hashed), and the stated length."""
-    out = [0.0] * META_WIDTH
-    out[zlib.crc32(("l:" + (lang or "")).encode()) % LANGS] = 1.0
-    out[LANGS + zlib.crc32(("s:" + (source or "")).encode()) % SOURCES] = 1.0
-    known = n_chars is not None and n_chars == n_chars and n_chars >= 0
-    out[-2], out[-1] = float(np.log1p(n_chars) / 10 if known else 0.0), float(not known)
-    return out
+@dataclass
+class Rows:
+    """One view of some documents: numbers, and for each key column the codes and the values they stand for."""
+    numbers: np.ndarray
+    keys: list[tuple[np.ndarray, list]] = field(default_factory=list)
+
+    def take(self, at: np.ndarray) -> Rows:
+        return Rows(self.numbers[at], [(codes[at], names) for codes, names in self.keys])
+
+
+def rows_of(x: np.ndarray | Rows) -> Rows:
+    return x if isinstance(x, Rows) else Rows(x)
+
+
+def meta_view(lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> Rows:
+    """The stated length, and the exact language and source."""
+    n = np.array(n_chars.to_numpy(zero_copy_only=False), dtype=float)
+    known = np.isfinite(n) & (n >= 0)
+    keys = []
+    for a in (lang, source):
+        d = a.dictionary_encode(null_encoding="encode")
+        keys.append((np.asarray(d.indices, dtype=np.int64), d.dictionary.to_pylist()))
+    return Rows(np.column_stack([np.log1p(np.where(known, n, 0.0)) / 10, ~known]), keys)
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30) -> np.ndarray:
@@ -101,116 +119,239 @@ def _prob(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+@dataclass
+class View:
+    """Mean, scale and weights of the numbers (the last weight is the intercept), weights of the key values, and calibration."""
+    mean: np.ndarray
+    scale: np.ndarray
+    w: np.ndarray
+    keys: list[dict] = field(default_factory=list)
+    platt: np.ndarray | None = None
+
+    def logit(self, rows: Rows) -> np.ndarray:
+        z = (rows.numbers - self.mean) / self.scale @ self.w[:-1] + self.w[-1]
+        for (codes, names), weights in zip(rows.keys, self.keys, strict=True):
+            if names:
+                z = z + np.array([weights.get(x, 0.0) for x in names])[codes]
+        return np.clip(z, -30, 30)
+
+    def calibrated(self, rows: Rows) -> np.ndarray:
+        return _logit(self.logit(rows)[:, None], self.platt)
+
+    def sums(self, rows: Rows, y: np.ndarray) -> dict[tuple, np.ndarray]:
+        """Per tuple of key values: Hessian, gradient and number of rows."""
+        p = _prob(self.logit(rows))
+        g, h = p - y, p * (1 - p)
+        v = np.column_stack([(rows.numbers - self.mean) / self.scale, np.ones(len(y))])
+        if not rows.keys:
+            return {(): np.concatenate([((v * h[:, None]).T @ v).ravel(), v.T @ g, [len(y)]])}
+        code = np.zeros(len(y), dtype=np.int64)
+        for codes, names in rows.keys:
+            code = code * max(1, len(names)) + codes
+        _, first, at = np.unique(code, return_index=True, return_inverse=True)
+        k = v.shape[1]
+        columns = [v[:, i] * v[:, j] * h for i in range(k) for j in range(k)] + [v[:, i] * g for i in range(k)] + [np.ones(len(y))]
+        out = np.column_stack([np.bincount(at, c, len(first)) for c in columns])
+        return {tuple(names[codes[f]] for codes, names in rows.keys): out[i] for i, f in enumerate(first)}
+
+    def step(self, total: dict[tuple, np.ndarray], ridge: float = 1.0) -> float:
+        """One Newton step on the sums; the largest change.  The last key column (source) has a diagonal block, which is eliminated."""
+        k, t = len(self.w), np.array(list(total.values()))
+        hess, grad = t[:, :k * k].reshape(-1, k, k), t[:, k * k:k * k + k]
+        names = [list(dict.fromkeys([c[i] for c in total] + list(weights))) for i, weights in enumerate(self.keys)]
+        spots = [np.array([at[c[i]] for c in total]) for i, at in enumerate({x: j for j, x in enumerate(n)} for n in names)]
+        old = [np.array([weights.get(x, 0.0) for x in n]) for n, weights in zip(names, self.keys, strict=True)]
+        keep = np.full(k, ridge)
+        keep[-1] = 1e-6
+        a, ga = hess.sum(axis=0) + np.diag(keep), grad.sum(axis=0) + keep * self.w
+        inner = spots[:-1]  # key columns that stay in the dense block
+        offset = k + np.cumsum([0] + [len(n) for n in names[:-1]])
+        wide = np.zeros((int(offset[-1]), int(offset[-1])))
+        wide[:k, :k] = a
+        ga = np.concatenate([ga, *[np.bincount(s, grad[:, -1], len(o)) + ridge * o for s, o in zip(inner, old, strict=False)]])
+        for i, s in enumerate(inner):
+            at = offset[i] + s
+            np.add.at(wide, (slice(0, k), at), hess[:, :, -1].T)
+            np.add.at(wide, (at, slice(0, k)), hess[:, -1, :])
+            for j, other in enumerate(inner):
+                np.add.at(wide, (at, offset[j] + other), hess[:, -1, -1])
+            own = np.arange(offset[i], offset[i + 1])
+            wide[own, own] += ridge
+        tiny = 1e-9 * np.eye(len(wide))
+        if names:
+            s, o = spots[-1], old[-1]
+            d = np.bincount(s, hess[:, -1, -1], len(o)) + ridge
+            gs = np.bincount(s, grad[:, -1], len(o)) + ridge * o
+            b = np.zeros((len(o), len(wide)))
+            np.add.at(b, (s, slice(0, k)), hess[:, -1, :])
+            for i, other in enumerate(inner):
+                np.add.at(b, (s, offset[i] + other), hess[:, -1, -1])
+            x = np.linalg.solve(wide - b.T @ (b / d[:, None]) + tiny, ga - b.T @ (gs / d))
+            last = (gs - b @ x) / d
+        else:
+            x, last = np.linalg.solve(wide + tiny, ga), np.zeros(0)
+        most = float(np.abs(np.concatenate([x, last])).max())
+        short = min(1.0, 5.0 / max(1e-9, most))
+        self.w = self.w - short * x[:k]
+        moves = [x[offset[i]:offset[i + 1]] for i in range(len(inner))] + [last]
+        self.keys = [dict(zip(n, (o - short * m).tolist(), strict=True)) for n, o, m in zip(names, old, moves, strict=False)]
+        return most
+
+
 @dataclass
 class Model:
-    """Per view: mean, scale, weights and calibration; then the combination, the threshold and,
-    of the held-out documents, the counts (good, good rejected, bad, bad passed)."""
-    views: list = field(default_factory=list)
+    """The two views; their combination and the threshold; and, of the held-out documents, the
+    counts (good, good rejected, bad, bad passed)."""
+    views: list[View] = field(default_factory=list)
     combine: np.ndarray | None = None
     threshold: float = THRESHOLD
     held_out: tuple[int, int, int, int] = (0, 0, 0, 0)
 
-    def calibrated(self, i: int, x: np.ndarray) -> np.ndarray:
-        mean, scale, w, platt = self.views[i]
-        return _logit(_logit((x - mean) / scale, w)[:, None], platt)
-
-    def scores(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def scores(self, text: np.ndarray | Rows, meta: np.ndarray | Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if self.combine is None:
-            half = np.full(len(text), 0.5)
+            half = np.full(len(rows_of(text).numbers), 0.5)
             return half, half, half
-        z = np.column_stack([self.calibrated(0, text), self.calibrated(1, meta)])
+        z = np.column_stack([v.calibrated(rows_of(x)) for v, x in zip(self.views, (text, meta), strict=True)])
         return _prob(z[:, 0]), _prob(z[:, 1]), _prob(_logit(z, self.combine))
 
 
-def cotrain(text: np.ndarray, meta: np.ndarray, y: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """``y``: 1 good, 0 bad, -1 unlabelled.  Rows are in hash order: the last of every four labelled is held out."""
-    known = np.flatnonzero(y >= 0)
-    if len(set(y[known].tolist())) < 2:
+#: (view, label) -> sums over the unlabelled documents to which the other view gives that label.
+Exchange = dict[tuple[int, int], dict[tuple, np.ndarray]]
+
+
+def add(into: dict[tuple, np.ndarray], more: dict[tuple, np.ndarray], weight: float = 1.0) -> None:
+    for key, v in more.items():
+        into[key] = into[key] + weight * v if key in into else weight * v
+
+
+def exchange(teachers: list[View], views: list[View], rows: list[Rows], out: Exchange) -> None:
+    """Add the sums over ``rows``: each view learns the labels of which the other view's teacher is sure."""
+    for i in (0, 1):
+        p = _prob(teachers[1 - i].calibrated(rows[1 - i]))
+        for label, sure in ((1, p), (0, 1 - p)):
+            at = np.flatnonzero(sure >= SURE)
+            if len(at):
+                add(out.setdefault((i, label), {}), views[i].sums(rows[i].take(at), np.full(len(at), label)))
+
+
+def teach(rows: list[Rows], y: np.ndarray, norms: list[tuple[np.ndarray, np.ndarray]], pool: Callable[[list[View], list[View]], Exchange], rounds: int) -> Model:
+    """``rows`` and ``y`` (1 good, 0 bad) are the labelled documents in hash order: the last of every four is held out."""
+    if len(set(y.tolist())) < 2:
         return Model()
-    held = np.zeros(len(y), dtype=bool)
-    held[known[3::4]] = True
+    held = np.arange(len(y)) % 4 == 3
     if len(set(y[held].tolist())) < 2:
-        held[known] = True  # too few labels to hold any out
-        train = known
+        train = test = np.arange(len(y))  # too few labels to hold any out
     else:
-        train = np.flatnonzero((y >= 0) & ~held)
-    test, pool = np.flatnonzero(held), np.flatnonzero(y < 0)
-    x = []
-    norms = []
-    for v in (text, meta):
-        mean, scale = v.mean(axis=0), v.std(axis=0) + 1e-6
-        norms.append((mean, scale))
-        x.append((v - mean) / scale)
-    given: list[dict[int, int]] = [{}, {}]  # pseudo-labels that each view was given by the other
-    weights = [None, None]
+        train, test = np.flatnonzero(~held), np.flatnonzero(held)
+    own, out = [r.take(train) for r in rows], [r.take(test) for r in rows]
+    views = [View(mean, scale, np.zeros(len(mean) + 1), [{} for _ in r.keys]) for (mean, scale), r in zip(norms, rows, strict=True)]
     for turn in range(rounds + 1):
-        for i in (0, 1):
-            rows = np.concatenate([train, np.fromiter(given[i], dtype=int, count=len(given[i]))])
-            said = np.concatenate([y[train], np.fromiter(given[i].values(), dtype=int, count=len(given[i]))])
-            weights[i] = fit(x[i][rows], said)
-        if turn == rounds or not len(pool):
-            break
-        for i in (0, 1):
-            platt = fit(_logit(x[i][test], weights[i])[:, None], y[test])
-            p = _prob(_logit(_logit(x[i][pool], weights[i])[:, None], platt))
-            for label, sure in ((1, p), (0, 1 - p)):
-                new = [j for j in np.argsort(-sure, kind="stable") if sure[j] >= SURE and int(pool[j]) not in given[1 - i]][:PER_ROUND]
-                given[1 - i].update((int(pool[j]), label) for j in new)
-    model = Model()
-    for i in (0, 1):
-        platt = fit(_logit(x[i][test], weights[i])[:, None], y[test])
-        model.views.append((*norms[i], weights[i], platt))
-    z = np.column_stack([model.calibrated(0, text[test]), model.calibrated(1, meta[test])])
+        teachers = copy.deepcopy(views)
+        for _ in range(STEPS):
+            given = pool(teachers, views) if turn else {}
+            if turn and not given:
+                break  # no view is sure of any document
+            moves = []
+            for i, view in enumerate(views):
+                total = view.sums(own[i], y[train])
+                for label in (0, 1):
+                    more = given.get((i, label), {})
+                    n = sum(v[-1] for v in more.values())
+                    add(total, more, min(1.0, (y[train] == label).sum() / max(1.0, n)))
+                moves.append(view.step(total))
+            if max(moves) < CLOSE:
+                break
+        for i, view in enumerate(views):
+            view.platt = fit(view.logit(out[i])[:, None], y[test])
+    model = Model(views)
+    z = np.column_stack([view.calibrated(r) for view, r in zip(views, out, strict=True)])
     model.combine = fit(z, y[test])
     good, stays = y[test] == 1, _prob(_logit(z, model.combine)) >= model.threshold
     model.held_out = (int(good.sum()), int((good & ~stays).sum()), int((~good).sum()), int((~good & stays).sum()))
     return model
 
 
+def cotrain(text: np.ndarray | Rows, meta: np.ndarray | Rows, y: np.ndarray, rounds: int = ROUNDS) -> Model:
+    """The same on rows in memory.  ``y``: 1 good, 0 bad, -1 unlabelled, in hash order."""
+    rows = [rows_of(text), rows_of(meta)]
+    known, rest = np.flatnonzero(y >= 0), np.flatnonzero(y < 0)
+    left = [r.take(rest) for r in rows]
+
+    def pool(teachers: list[View], views: list[View]) -> Exchange:
+        out: Exchange = {}
+        exchange(teachers, views, left, out)
+        return out
+
+    return teach([r.take(known) for r in rows], y[known], [(r.numbers.mean(axis=0), r.numbers.std(axis=0) + 1e-6) for r in rows], pool, rounds)
+
+
 def _meta_columns(docs: DataFrame) -> list:
     have = {c.lower() for c in docs.columns}
     return [(F.col(c) if c in have else F.lit(None)).cast(t).alias(f"_{c}") for c, t in (("lang", "string"), ("source", "string"), ("n_chars", "double"))]
 
 
-def _views(t: pa.Array, lang: pa.Array, source: pa.Array, n: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    meta = [meta_view(a.as_py(), b.as_py(), c.as_py()) for a, b, c in zip(lang, source, n, strict=True)]
-    return np.array([text_view(x.as_py()) for x in t]).reshape(len(t), TEXT_WIDTH), np.array(meta).reshape(len(t), META_WIDTH)
+def _text(t: pa.Array) -> np.ndarray:
+    return np.array([text_view(x.as_py()) for x in t], dtype=float).reshape(len(t), TEXT_WIDTH)
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED,
-          max_pool: int = MAX_POOL, rounds: int = ROUNDS) -> Model:
-    """Fit on the bounded sample."""
+def _staged(x: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> list[Rows]:
+    return [Rows(x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), TEXT_WIDTH)), meta_view(lang, source, n_chars)]
+
+
+def pool_sums(pool: DataFrame, teachers: list[View], views: list[View]) -> Exchange:
+    """The sums of :func:`exchange` over all rows of ``pool`` (x, _lang, _source, _n_chars), in one job."""
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: Exchange = {}
+        for b in batches:
+            exchange(teachers, views, _staged(*b.columns), out)
+        for (i, label), per in out.items():
+            for key, v in per.items():
+                lang, source = key or (None, None)
+                n = len(v)
+                yield pa.RecordBatch.from_arrays([pa.array([i] * n, pa.int32()), pa.array([label] * n, pa.int32()), pa.array([lang] * n, pa.string()),
+                                                  pa.array([source] * n, pa.string()), pa.array(range(n), pa.int32()), pa.array(v, pa.float64())],
+                                                 ["view", "label", "lang", "source", "pos", "value"])
+
+    sums = pool.mapInArrow(part, "view int, label int, lang string, source string, pos int, value double")
+    got: dict[tuple[int, int], dict[tuple, dict[int, float]]] = {}
+    for r in sums.groupBy("view", "label", "lang", "source", "pos").agg(F.sum("value").alias("value")).collect():  # a few numbers per (lang, source)
+        got.setdefault((r["view"], r["label"]), {}).setdefault((r["lang"], r["source"]) if r["view"] else (), {})[r["pos"]] = r["value"]
+    return {k: {key: np.array([v[j] for j in range(len(v))]) for key, v in per.items()} for k, per in got.items()}
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS) -> Model:
+    """Fit on a bounded sample of the labelled documents and on all unlabelled ones."""
     label = labels.groupBy(F.col("doc_id").alias("l_id")).agg(F.min("quality").alias("y")).where("l_id is not null and y is not null")
-    order = F.xxhash64(F.lit(5), F.col("l_id"))
-    rows = docs.count()
-    ids = docs.select(F.col(id_col).alias("l_id")).where(F.col("l_id").isNotNull())
-    # About twice the pool is drawn by hash before the exact cut.
-    share = F.pmod(F.xxhash64(F.lit(6), F.col("l_id")), F.lit(1 << 30)) < int(min(1.0, 2 * max_pool / max(1, rows)) * (1 << 30))
-    pool = ids.where(share).distinct().join(label, "l_id", "left_anti").select("l_id", F.lit(-1).alias("y"))
-    mine = label.join(ids.distinct(), "l_id", "left_semi").select("l_id", (F.col("y") > 0).cast("int").alias("y"))
-    chosen = stage_table(mine.orderBy(order, "l_id").limit(max_labelled).unionByName(pool.orderBy(order, "l_id").limit(max_pool)), "training-ids")
-
-    @F.arrow_udf("struct<text:array<double>,meta:array<double>>")
-    def views(parts: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        rows = pa.list_(pa.float64())
-        for t, lang, source, n in parts:
-            a, b = _views(t, lang, source, n)
-            yield pa.StructArray.from_arrays([pa.array(list(a), rows), pa.array(list(b), rows)], ["text", "meta"])
-
-    picked = (docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_t"), *_meta_columns(docs))
-              .join(F.broadcast(chosen), F.col("_id") == F.col("l_id"))  # at most max_labelled + max_pool ids
-              .select("_id", "y", views("_t", "_lang", "_source", "_n_chars").alias("v")).dropDuplicates(["_id"]))
-    got = picked.select("_id", "y", "v.*").orderBy(F.xxhash64(F.lit(5), F.col("_id")), "_id").collect()  # the bounded sample
-    if not got:
+
+    @F.arrow_udf("array<double>")
+    def numbers(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for t in parts:
+            yield pa.array(list(_text(t)), pa.list_(pa.float64()))
+
+    seen = docs.select(F.col(id_col).alias("_id"), numbers(text_of(text_col)).alias("x"), *_meta_columns(docs))
+    seen = stage_table(seen.join(label, F.col("_id") == F.col("l_id"), "left")
+                       .select("_id", "x", "_lang", "_source", "_n_chars", (F.col("y") > 0).cast("int").alias("y")), "training-views")
+    mine, pool = seen.where("y is not null"), seen.where("y is null").select("x", "_lang", "_source", "_n_chars")
+    order = F.xxhash64(F.lit(5), F.col("_id"))
+    chosen = stage_table(mine.select("_id").distinct().orderBy(order, "_id").limit(max_labelled), "training-ids")
+    picked = mine.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]).orderBy(order, "_id").toArrow()  # the bounded sample
+    if not picked.num_rows:
         return Model()
-    return cotrain(np.array([r["text"] for r in got]), np.array([r["meta"] for r in got]), np.array([r["y"] for r in got]), rounds)
+    x = [F.col("x")[i] for i in range(TEXT_WIDTH)]
+    known = F.col("_n_chars").isNotNull() & ~F.isnan("_n_chars") & (F.col("_n_chars") >= 0) & (F.col("_n_chars") < float("inf"))
+    x += [F.when(known, F.log1p("_n_chars") / 10).otherwise(0.0), F.when(known, 0.0).otherwise(1.0)]
+    norm = np.array(seen.select(*[f(c).alias(f"{f.__name__}{i}") for f in (F.avg, F.stddev_pop) for i, c in enumerate(x)]).first(), dtype=float)
+    mean, scale = norm[:len(x)], norm[len(x):] + 1e-6
+    rows = _staged(*[picked.column(c).combine_chunks() for c in ("x", "_lang", "_source", "_n_chars")])
+    norms = [(mean[:TEXT_WIDTH], scale[:TEXT_WIDTH]), (mean[TEXT_WIDTH:], scale[TEXT_WIDTH:])]
+    return teach(rows, np.asarray(picked.column("y")), norms, lambda teachers, views: pool_sums(pool, teachers, views), rounds)
 
 
 def _scored(docs: DataFrame, model: Model, text_col: str, into: str) -> DataFrame:
     @F.arrow_udf("struct<p_text:double,p_meta:double,score:double>")
     def scores(parts: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for t, lang, source, n in parts:
-            p = model.scores(*_views(t, lang, source, n))
+            p = model.scores(_text(t), meta_view(lang, source, n))
             yield pa.StructArray.from_arrays([pa.array(x, pa.float64()) for x in p], ["p_text", "p_meta", "score"])
 
     return docs.withColumn(into, scores(text_of(text_col), *_meta_columns(docs)))

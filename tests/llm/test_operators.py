@@ -400,6 +400,58 @@ def test_views_teach_each_other():
     assert ((s > 0.5) == y)[120:].mean() > 0.97
 
 
+def _pages(n, source_of, bad_of):
+    rng = random.Random(3)
+    for i in range(n):
+        text = " ".join(f"w{rng.randrange(3000)}" for _ in range(40)) + (" ### $$$ |||" * 8 if bad_of(i) else "")
+        yield i, text, "de" if i % 2 else "es", source_of(i), 300
+
+
+def test_sources_are_values_of_their_own(spark):
+    # crc32 puts "s:site10" and "s:site27" into one of 32 slots
+    assert H.crc(b"s:site10") % 32 == H.crc(b"s:site27") % 32
+    df = spark.createDataFrame(_pages(600, lambda i: ("site10", "site27", "c")[i % 3], lambda i: i % 3 == 1), H.DOCS)
+    labels = df.where("doc_id < 300").select("doc_id", (F.col("doc_id") % 3 != 1).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    p = {r.doc_id: r.p_meta for r in cotraining.score(df, labels).collect()}
+    assert max(p[i] for i in range(1, 600, 3)) < 0.5 < min(p[i] for i in range(0, 600, 3))
+
+
+def test_every_unlabelled_document_takes_part(spark):
+    # a source in 12 of 17,000 documents, none of them labelled: only the text view can teach it to the metadata view
+    rare = range(1500, 17000, 1300)
+    df = spark.createDataFrame(_pages(17000, lambda i: "rare" if i in rare else "cab"[i % 3], lambda i: i in rare or i % 3 == 1), H.DOCS)
+    labels = df.where("doc_id < 1200").select("doc_id", (F.col("doc_id") % 3 != 1).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    model = cotraining.train(df, labels)
+    assert "rare" in model.views[1].keys[1] and model.views[1].keys[1]["rare"] < 0
+    pool = df.where("doc_id >= 1200").select(F.array(*[F.col("doc_id") % (j + 2) / F.lit(9.0) for j in range(cotraining.TEXT_WIDTH)]).alias("x"),
+                                             F.col("lang").alias("_lang"), F.col("source").alias("_source"), F.col("n_chars").cast("double").alias("_n_chars"))
+    sure = cotraining.copy.deepcopy(model.views)
+    for v in sure:
+        v.platt = np.array([0.0, 9.0])  # sure of everything
+    got = cotraining.pool_sums(pool.repartition(5), sure, model.views)
+    assert [sum(v[-1] for v in got[i, 1].values()) for i in (0, 1)] == [15800, 15800]
+    want = {}
+    t = pool.toArrow().combine_chunks()
+    cotraining.exchange(sure, model.views, cotraining._staged(*[t.column(c).combine_chunks() for c in t.column_names]), want)
+    assert got.keys() == want.keys() and all(got[k].keys() == want[k].keys() for k in want)
+    assert all(np.allclose(got[k][c], want[k][c]) for k in want for c in want[k])
+
+
+def test_newton_step_with_key_values():
+    # the same model with written-out key columns, solved densely
+    rng = np.random.default_rng(4)
+    n, x = 500, rng.normal(size=(500, 2))
+    codes = [rng.integers(0, 3, n), rng.integers(0, 7, n)]
+    y = (rng.random(n) < 1 / (1 + np.exp(-(x[:, 0] + codes[0] - codes[1] / 3)))).astype(int)
+    view = cotraining.View(np.zeros(2), np.ones(2), np.zeros(3), [{}, {}])
+    rows = cotraining.Rows(x, [(codes[0], list("abc")), (codes[1], list("defghij"))])
+    for _ in range(30):
+        view.step(view.sums(rows, y))
+    whole = np.hstack([x, np.eye(3)[codes[0]], np.eye(7)[codes[1]]])
+    w = cotraining.fit(whole, y)
+    assert np.allclose(view.logit(rows), whole @ w[:-1] + w[-1], atol=1e-5)
+
+
 def test_wrong_labels_do_not_move_the_threshold():
     rng = np.random.default_rng(1)
     y = rng.random(800) < 0.7
