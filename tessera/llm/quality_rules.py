@@ -2,13 +2,15 @@
 
 Base statistics of each text feed a few signals (symbol share, repeats, ...).
 For every stratum (language), signal and cutoff of a fixed grid, the labelled
-good documents are a holdout: of n good ones the cutoff rejects k.  The cutoff
-is certified if the exact binomial tail P[Bin(n, risk) <= k] is at most
-DELTA / number of tests (Bonferroni over strata, signals and cutoffs), where
-the risk per signal is RISK / number of signals.  With probability 1 - DELTA
-the certified cutoffs together reject at most RISK of the good documents of
-each stratum.  Among certified cutoffs the one that separates best is used; a
-stratum with too few labels gets none and keeps its documents.
+good documents are a holdout: of n good ones the cutoff rejects k.  The cutoffs of
+a signal are tested from the mildest to the strictest up to the first that fails
+(fixed sequence: no correction among them): one passes if the exact binomial tail
+P[Bin(n, risk) <= k] is at most DELTA / (strata x signals), where the risk per
+signal is RISK / number of signals.  With probability 1 - DELTA the certified
+cutoffs together reject at most RISK of the good documents of each stratum.  Among
+certified cutoffs the one that separates best is used: the largest share of the bad
+documents less the share of the good ones, if above zero, however rare bad
+documents are; a stratum with too few labels gets none and keeps its documents.
 
 All labelled documents are used.  Only DataFrame functions are used.
 
@@ -101,13 +103,16 @@ def cutoffs(labelled: DataFrame, risk: float = RISK, delta: float = DELTA) -> Da
     above = [F.struct(F.lit(name).alias("signal"), F.lit(c).alias("cutoff"), F.sum(F.when(F.col("good") & (signal(name) > c), 1).otherwise(0)).alias("k"),
                       F.sum(F.when(~F.col("good") & (signal(name) > c), 1).otherwise(0)).alias("caught"))
              for name, (_, _, grid) in SIGNALS.items() for c in grid]
-    per = labelled.groupBy(F.col("lang").alias("stratum")).agg(F.sum(F.col("good").cast("long")).alias("n"), F.array(*above).alias("tests"))
+    per = labelled.groupBy(F.col("lang").alias("stratum")).agg(F.sum(F.col("good").cast("long")).alias("n"), F.count(F.when(~F.col("good"), 1)).alias("bad"), F.array(*above).alias("tests"))
     per = stage_table(per, "cutoff-counts")
-    tests = max(1, per.count() * sum(len(grid) for _, _, grid in SIGNALS.values()))
-    each = per.select("stratum", "n", F.inline("tests"))
-    certified = each.where(binomial_tail(F.col("k"), F.col("n"), risk / len(SIGNALS)) <= delta / tests).where("caught > 10 * k")
+    tests = max(1, per.count() * len(SIGNALS))
+    each = per.select("stratum", "n", "bad", F.inline("tests"))
+    # Stricter cutoffs reject no fewer good documents, so those that pass are the start of their sequence.
+    certified = each.where(binomial_tail(F.col("k"), F.col("n"), risk / len(SIGNALS)) <= delta / tests)
+    gain = F.try_divide("caught", "bad") - F.try_divide("k", "n")
+    certified = certified.withColumn("gain", gain).where("gain > 0")
     # The best separation; of equal ones the mildest cutoff.
-    best = certified.groupBy("stratum", "signal").agg(F.max(F.struct((F.col("caught") - 10 * F.col("k")).alias("gain"), "cutoff"))["cutoff"].alias("cutoff"))
+    best = certified.groupBy("stratum", "signal").agg(F.max(F.struct("gain", "cutoff"))["cutoff"].alias("cutoff"))
     return best.groupBy("stratum").agg(*[F.max(F.when(F.col("signal") == s, F.col("cutoff"))).alias(f"max_{s}") for s in SIGNALS])
 
 

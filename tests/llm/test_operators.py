@@ -220,6 +220,24 @@ def test_quality_thresholds(spark):
     assert all(r.kept != r.base_failed for r in quality_rules.judge(df, labels.limit(0)).collect())
 
 
+def test_cutoffs_of_few_or_rarely_bad_labels(spark):
+    def rows(lang, good, symbols, n):
+        return spark.range(n).select(F.lit(lang).alias("lang"), F.lit(good).alias("good"), F.lit(symbols).alias("n_symbols"), F.lit(1000).alias("word_chars"),
+                                     *[F.lit(0).alias(c) for c in ("n_capitals", "n_repeat_words", "n_exclamations", "n_dup_lines")],
+                                     F.lit(100).alias("n_words"), F.lit(5).alias("n_lines"))
+
+    # 600 good labels and none rejected; a stratum with 290 bad labels caught for 30 good ones of 10,000
+    parts = [("few", True, 0, 600), ("few", False, 250, 40), ("rare", True, 0, 9970), ("rare", True, 250, 30), ("rare", False, 250, 290), ("rare", False, 0, 10)]
+    labelled = None
+    for part in parts:
+        labelled = rows(*part) if labelled is None else labelled.unionByName(rows(*part))
+    got = {r.stratum: r for r in quality_rules.cutoffs(labelled).collect()}
+    assert got["few"].max_symbols == got["rare"].max_symbols == 0.2  # the mildest of equal ones
+    assert all(r[f"max_{s}"] is None for r in got.values() for s in quality_rules.SIGNALS if s != "symbols")
+    # a cutoff that rejects more than one in a hundred good documents is not certified
+    assert quality_rules.cutoffs(rows("x", True, 250, 200).unionByName(rows("x", True, 0, 9800)).unionByName(rows("x", False, 250, 500))).count() == 0
+
+
 def test_exact_dedup(table):
     df, rows = table
     for size in (4096, 7):
