@@ -62,12 +62,9 @@ def union_by_name(spark, sf):
     parts = [(src.where(F.col("source_row") % 3 == 0), FX1_COLUMNS),
              (src.where(F.col("source_row") % 3 == 1), [c for c in FX1_COLUMNS if c != "behavior"]),
              (src.where(F.col("source_row") % 3 == 2), list(reversed(FX1_COLUMNS)))]
-    paths = []
     for i, (df, cols) in enumerate(parts):
-        p = f"{base}/file{i}"
-        io.write_csv(df.select(*cols), p)
-        paths.append(p)
-    return io.read_union_by_name(spark, paths).select(*FX1_COLUMNS)
+        io.write_csv(df.select(*cols), f"{base}/file{i}")
+    return io.read_union_by_name(spark, f"{base}/*").select(*FX1_COLUMNS)
 
 
 @query("restore_routes", with_fixtures(["fx1"], f", {_coord_sql('fx1')} SELECT source_row, route FROM qc"))

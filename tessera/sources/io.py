@@ -8,7 +8,10 @@ session's shared checkpoint folder (``tessera.session.scratch_path``).
 
 from __future__ import annotations
 
+import csv
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,7 +43,7 @@ def all_text_schema(cols: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
 
 
-def read_text_table(spark: SparkSession, path: str, cols: list[str] | None = None,
+def read_text_table(spark: SparkSession, path: str | list[str], cols: list[str] | None = None,
                     empty_as_null: bool = False, required: tuple[str, ...] = ()) -> DataFrame:
     """Header-driven all-text CSV scan.
 
@@ -58,11 +61,30 @@ def read_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.options(**CSV_READ).schema(schema).csv(path)
 
 
-def read_union_by_name(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Several CSV files whose headers differ; columns united by name
-    (missing ones NULL).  One scan per path pattern; the list is of paths,
-    not of data."""
-    frames = [read_text_table(spark, p, empty_as_null=True) for p in paths]
+def files_by_header(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Header -> files, from one distributed read of the lines; one row per file is
+    collected.  A file without any line has no header and no rows."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    first = (lines.where("start = 0").withColumn("at", F.monotonically_increasing_id())
+             .groupBy("path").agg(F.min_by("value", "at").alias("line")))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for r in first.orderBy("path").collect():
+        file = re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(r["path"]))  # a name, not a pattern
+        line = r["line"].lstrip("\ufeff")
+        # An open quote: the header goes on in the next line.
+        cols = header_columns(spark, file) if line.count('"') % 2 else next(csv.reader([line]), [])
+        if len(set(cols)) != len(cols):
+            raise ValueError(f"repeated column names in header of {file}")
+        found.setdefault(tuple(cols), []).append(file)
+    return found
+
+
+def read_union_by_name(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """CSV files (paths, folders or globs) whose headers differ; columns united by
+    name (missing ones NULL).  One scan per distinct header."""
+    frames = [read_text_table(spark, files, list(cols), empty_as_null=True) for cols, files in files_by_header(spark, paths).items()]
+    if not frames:
+        raise ValueError(f"no header in {paths}")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

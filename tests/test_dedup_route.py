@@ -77,3 +77,14 @@ def test_csv_with_another_header_is_an_error(spark, tmp_path):
     (tmp_path / "b.csv").write_text("name,id\nz,3\n")
     with pytest.raises(Exception, match="(?i)header"):
         io.read_text_table(spark, str(tmp_path), ["id", "name"]).collect()
+
+
+def test_glob_of_csv_files_united_by_name(spark, tmp_path):
+    from tessera.sources import io
+    files = {"a.csv": 'id,name,depth\n1,x,5\n2,"y\nz",\n', "b b.csv": "depth,id,name\n7,3,w\n", "c[1].csv": "name,id\nv,4\n",
+             "d.csv": "id,name,depth\n5,u,9\n", "e.csv": '"two\nlines",id\nq,6\n', "f.csv": ""}
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    df = io.read_union_by_name(spark, f"{tmp_path}/*.csv")
+    got = {tuple(r) for r in df.select("id", "name", "depth", "`two\nlines`").collect()}
+    assert got == {("1", "x", "5", None), ("2", "y\nz", None, None), ("3", "w", "7", None), ("4", "v", None, None), ("5", "u", "9", None), ("6", None, None, "q")}
