@@ -4,8 +4,8 @@ Two views of a document, each with its own logistic model: the text's content
 (statistics of its characters and words) and the page's metadata (language,
 source, stated length).  They start from labelled documents; in each round each
 view labels all unlabelled documents of the table that it is sure of, and the
-other view trains on them too; those of one label weigh together at most as much
-as the labelled ones of that label.  Each view is then calibrated on held-out labels (Platt
+other view trains on them too; their weights keep the proportion of the
+labelled ones and add up to no more than those.  Each view is then calibrated on held-out labels (Platt
 scaling) and the calibrated views are combined, again on held-out labels, into
 one score, the probability of good quality.  Every document is scored.
 
@@ -254,10 +254,13 @@ def teach(rows: list[Rows], y: np.ndarray, norms: list[tuple[np.ndarray, np.ndar
             moves = []
             for i, view in enumerate(views):
                 total = view.sums(own[i], y[train])
-                for label in (0, 1):
-                    more = given.get((i, label), {})
-                    n = sum(v[-1] for v in more.values())
-                    add(total, more, min(1.0, (y[train] == label).sum() / max(1.0, n)))
+                # In the labelled proportion: labels of one kind alone would only move the prior.
+                more = [given.get((i, label), {}) for label in (0, 1)]
+                n = [sum(v[-1] for v in m.values()) for m in more]
+                mine = [(y[train] == label).sum() for label in (0, 1)]
+                share = min(1.0, *[a / b for a, b in zip(n, mine, strict=True)]) if min(mine) else 0.0
+                for m, a, b in zip(more, n, mine, strict=True):
+                    add(total, m, share * b / max(1.0, a))
                 moves.append(view.step(total))
             if max(moves) < CLOSE:
                 break
