@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cotraining, exact_dedup, line_dedup, mixing, packing, quality_rules, secret_scan, sharding, simhash, url_filter
+from . import cotraining, exact_dedup, line_dedup, merkle, mixing, packing, periodic_runs, quality_rules, secret_scan, sharding, simhash, token_counts, url_filter
 from .common import table
 from .registry import query
 from .sql import MIXING, URLS
@@ -67,6 +67,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query("op11_token_counts")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), token_counts.vocabulary_path())
+
+
+@query("op12_merkle_manifest")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    altered = merkle.tampered_text(F.col("doc_id"), F.col("text"))
+    return merkle.digest(merkle.manifest(merkle.leaves(table(spark, sf_dir, "documents"), claimed_text=altered))[1])
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.periodic_runs(periodic_runs.planted(table(spark, sf_dir, "documents"))))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline

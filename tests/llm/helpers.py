@@ -124,5 +124,84 @@ def quality(rows):
                len(w) < 50 or 100 * len(covered) > 50 * len(w))
 
 
+def field(v):
+    return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+
+def merkle(rows, fan=8):
+    """rows: dicts of doc_id, source, lang, n_chars, text -> (doc_id, leaf, subroot, root, proof, folded, verified)."""
+    def leaf(r, text):
+        return sha("".join(field(x) for x in (r["doc_id"], r["source"], r["lang"], r["n_chars"], text)))
+
+    def climb(nodes):
+        """nodes: digests -> (last digest, per node its [(left, right)] from below)."""
+        at, chains = list(range(len(nodes))), [[] for _ in nodes]
+        while len(nodes) > 1:
+            for i, p in enumerate(at):
+                lo = p // fan * fan
+                chains[i].append(("".join(nodes[lo:p]), "".join(nodes[p + 1:lo + fan])))
+            at = [p // fan for p in at]
+            nodes = [sha("".join(nodes[i:i + fan])) for i in range(0, len(nodes), fan)]
+        return nodes[0], chains
+
+    by = defaultdict(list)
+    for r in rows:
+        low = lower(r["text"]) if r["text"] is not None else None
+        hit = r["doc_id"] is not None and crc(str(r["doc_id"]).encode()) % 3 == 0
+        own = leaf(r, r["text"])
+        by[r["lang"]].append((r["doc_id"], own, leaf(r, low) if hit else own))
+    order = sorted(by, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {}
+    for lang in order:
+        found = sorted(by[lang], key=lambda x: (x[0] is not None, x[0] or 0, x[1], x[2]))
+        trees[lang] = (found, *climb([x[1] for x in found]))
+    if not trees:
+        return
+    root, above = climb([trees[lang][1] for lang in order])
+    for lang, up in zip(order, above, strict=True):
+        found, subroot, chains = trees[lang]
+        for (i, own, claimed), chain in zip(found, chains, strict=True):
+            d = claimed
+            for left, right in chain + up:
+                d = sha(left + d + right)
+            yield i, own, subroot, root, sha("".join(a + b for a, b in chain + up)), d, d == root
+
+
+def planted(i, w):
+    h = crc(str(i).encode())
+    n, g = len(w), h // 10
+    if i is None or h % 10 or not n:
+        return w
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return w[:a] + [w[a + (k - a) % p] for k in range(a, n)]
+
+
+def runs(w, least=6, times=4):
+    """Every (start, length, period) by scanning each period in turn."""
+    found, n = {}, len(w)
+    for q in range(1, n // times + 1):
+        i = 0
+        while i + q < n:
+            s = i
+            while i + q < n and w[i] == w[i + q]:
+                i += 1
+            if i - s + q >= max(least, times * q):
+                found.setdefault((s, i - s + q), q)
+            i += 1
+    return sorted((s, n, q) for (s, n), q in found.items())
+
+
+def periodic(rows):
+    for i, t in rows:
+        w = planted(i, words(t))
+        found = runs(w)
+        gone = {k for s, n, q in found for k in range(s + q, s + n)}
+        best = max(found, key=lambda r: (r[1], -r[0], -r[2]), default=None)
+        head = (None,) * 4 if best is None else (best[0], best[1], best[2], 1000 * best[1] // best[2])
+        yield (i, len(found), *head, sha("".join(f"{s},{n},{q}\n" for s, n, q in sorted(found, key=lambda r: (r[0], r[2])))),
+               sha(" ".join(x for k, x in enumerate(w) if k not in gone)))
+
+
 def crc(data):
     return zlib.crc32(data)
