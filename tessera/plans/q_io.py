@@ -14,6 +14,7 @@ from ..operators import classify, route as rt
 from ..operators.identity import assign_source_row
 from ..session import scratch_path
 from ..sources import fixtures as fx, io
+from ..sources.csv_rows import read_csv_rows
 from ..sources.fixtures import FX1_COLUMNS, with_fixtures
 from ..streaming import incremental
 from .q_clean import DEPTH_SQL, KEYS, KQ, _coord_sql
@@ -114,6 +115,18 @@ def row_identity(spark, sf):
     return assign_source_row(spark, f"{sf}/orders.parquet").select("source_row", "o_orderkey")
 
 
+@query("csv_row_identity", """SELECT row_number() OVER (ORDER BY doc_id) AS source_row, doc_id::VARCHAR AS doc_id, coalesce(lang, '') AS lang,
+  coalesce(source, '') AS source, sha256(coalesce(text, '')) AS text_sha256 FROM documents""")
+def csv_row_identity(spark, sf):
+    """Row ids in file order of quoted CSV whose texts go over many lines; every file is read in byte ranges."""
+    path = scratch_path(spark, "documents_csv")
+    docs = fx.table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
+    io.write_csv(docs.orderBy("doc_id"), path)
+    rows = read_csv_rows(spark, path, docs.columns)
+    return rows.select("source_row", "doc_id", F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"),
+                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 @query("file_inventory")
 def file_inventory(spark, sf):
     return io.file_inventory(spark, sf, "*.parquet")

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .csv_rows import read_csv_rows
+
 CSV_READ = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "mode": "FAILFAST",
             "enforceSchema": "false",  # a file whose header differs from the schema is an error, never read by position
            
@@ -45,13 +47,13 @@ def all_text_schema(cols: list[str]) -> T.StructType:
 
 def read_text_table(spark: SparkSession, path: str | list[str], cols: list[str] | None = None,
                     empty_as_null: bool = False, required: tuple[str, ...] = ()) -> DataFrame:
-    """Header-driven all-text CSV scan.
+    """Header-driven all-text CSV scan; a file is read in byte ranges, by several tasks.
 
     ``empty_as_null=False`` (source tables): an empty field is the empty
     string, never NULL.  ``empty_as_null=True`` (archives): empty -> NULL.
     """
     cols = cols or header_columns(spark, path, required)
-    df = spark.read.options(**CSV_READ).schema(all_text_schema(cols)).csv(path)
+    df = read_csv_rows(spark, path, cols)
     if empty_as_null:
         return df.select(*[F.when(F.col(c) != "", F.col(c)).alias(c) for c in cols])
     return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in cols])
