@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.normalize import is_finite
 from ..functions.skew import DEFAULT_HOT_ROWS, join_group_stats
+from .identity import with_position
 
 # Fixed values of the environment rules.
 VARIABLES = ["thetao", "so", "chl", "no3", "o2"]          # bit i of the masks is VARIABLES[i]
@@ -135,31 +136,36 @@ def sentinel_conflicts(pixels: DataFrame, spec: GridSpec, a: str = "thetao", b:
 
 # --- nearest layer --------------------------------------------------------------------------
 
-def layer_buckets(layers: DataFrame, depth_col: str) -> DataFrame:
-    """(bucket, first, width, last, candidates): the depth range in as many equal buckets as
-    there are layers, each with the layers that can be nearest to a depth in it.
+LAYER_FAN = 64
 
-    A layer is nearest only between its neighbours' depths, so it enters the
-    buckets between those; all buckets together hold about three entries a layer.
-    The neighbours come from a window over the layer table (one row per depth).
-    """
-    d = layers.where(F.col(depth_col).isNotNull()).groupBy(F.col(depth_col).cast("double").alias("d")).agg(F.min("layer").alias("l"))
-    by_depth, everything = Window.orderBy("d"), Window.partitionBy(F.lit(1))
-    d = d.select("d", "l", F.lag("d").over(by_depth).alias("below"), F.lead("d").over(by_depth).alias("above"),
-                 F.min("d").over(everything).alias("first"), F.max("d").over(everything).alias("__max"),
-                 F.count(F.lit(1)).over(everything).alias("last"))
-    d = d.withColumn("width", F.when(F.col("__max") > F.col("first"), (F.col("__max") - F.col("first")) / F.col("last")).otherwise(1.0))
-    # One bucket to either side covers rounding at the edges.
-    lo = F.coalesce(layer_bucket(F.col("below")) - 1, F.lit(0))
-    hi = F.coalesce(layer_bucket(F.col("above")) + 1, F.col("last"))
-    d = d.withColumn("bucket", F.explode(F.sequence(F.greatest(lo, F.lit(0)), F.least(hi, F.col("last")))))
-    return d.groupBy("bucket", "first", "width", "last").agg(F.collect_list(F.struct("d", "l")).alias("candidates"))
 
+def layer_tree(layers: DataFrame, depth_cols: dict[str, str], fan: int = LAYER_FAN) -> DataFrame:
+    """(family, level, node, last_node, items): the layers of each family in depth order, cut at exact quantiles.
 
-def layer_bucket(z: Column) -> Column:
-    """Bucket of a depth, the outer buckets taking all beyond."""
-    at = F.floor(F.greatest(F.lit(0.0), F.least((z - F.col("first")) / F.col("width"), F.col("last").cast("double"))))
-    return F.when(z.isNotNull(), at.cast("int"))
+    Every ``fan`` layers in a row are a node of level 0, which also holds the edge layers of both neighbours, so the
+    layer nearest to any depth of its range is in it.  Every ``fan`` nodes in a row are a node of the next level, which
+    holds where they begin, up to one node.  Positions come from a range-partitioned sort, so no task holds all
+    layers, and no node more than ``fan`` + 2, however uneven the depths.
+    """
+    rows = None
+    for family, col in depth_cols.items():
+        d = layers.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("d")).agg(F.min("layer").alias("l"))
+        d = d.select(F.lit(family).alias("family"), "d", "l")
+        rows = d if rows is None else rows.unionByName(d)
+    placed = with_position(rows, ["family", "d"], "pos")
+    spans = placed.groupBy("family").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n"))
+    placed = placed.join(F.broadcast(spans), "family").withColumn("pos", F.col("pos") - F.col("first"))  # one row per family
+    largest = spans.agg(F.max("n")).first()[0] or 0
+    node, at, last = F.floor(F.col("pos") / fan), F.col("pos") % fan, F.floor((F.col("n") - 1) / fan)
+    held = F.array(node, F.when(at == 0, node - 1), F.when(at == fan - 1, node + 1))
+    held = F.filter(held, lambda x: (x >= 0) & (x <= last))
+    entries = placed.select("family", F.lit(0).alias("level"), F.explode(held).alias("node"), F.struct("d", "l").alias("item"))
+    width, level = fan, 1
+    while width < largest:
+        entries = entries.unionByName(placed.where(F.col("pos") % width == 0).select(
+            "family", F.lit(level).alias("level"), F.floor(F.col("pos") / (width * fan)).alias("node"), F.struct("d", "l").alias("item")))
+        width, level = width * fan, level + 1
+    return entries.groupBy("family", "level", "node").agg(F.array_sort(F.collect_list("item")).alias("items"))
 
 
 def nearest_layer(z: Column, candidates: Column) -> Column:
@@ -169,20 +175,24 @@ def nearest_layer(z: Column, candidates: Column) -> Column:
     return F.when(z.isNotNull(), best["layer"])
 
 
-def assign_layers(points: DataFrame, layers: DataFrame, z: str = "depth_final") -> DataFrame:
-    """Adds ``phy_layer`` and ``bgc_layer`` by an equi-join on the depth bucket.  The bucket
-    tables are written first, so the planner knows their bytes and broadcasts them if small."""
+def assign_layers(points: DataFrame, layers: DataFrame, z: str = "depth_final", fan: int = LAYER_FAN) -> DataFrame:
+    """Adds ``phy_layer`` and ``bgc_layer``: a depth goes down the levels of its family's tree by equi-joins.  The
+    tree is written first, so the planner knows its bytes and broadcasts it if small."""
     from ..session import scratch_path
-    spark = points.sparkSession
+    path = scratch_path(points.sparkSession, "layer-tree")
+    layer_tree(layers, {f: f"{f}_depth" for f in ("phy", "bgc")}, fan).write.parquet(path)
+    tree = points.sparkSession.read.parquet(path)
+    top = {r["family"]: r["top"] for r in tree.groupBy("family").agg(F.max("level").alias("top")).collect()}  # two rows
     out = points
     for family in ("phy", "bgc"):
-        path = scratch_path(spark, f"{family}-layers")
-        layer_buckets(layers, f"{family}_depth").write.parquet(path)
-        b = spark.read.parquet(path)
-        grid_of = F.broadcast(b.select("first", "width", "last").limit(1))  # one row
-        p = out.join(grid_of, how="left").withColumn("__b", layer_bucket(F.col(z))).drop("first", "width", "last")
-        p = p.join(b.select(F.col("bucket").alias("__bucket"), "candidates"), F.col("__b") == F.col("__bucket"), "left")
-        out = p.withColumn(f"{family}_layer", nearest_layer(F.col(z), F.col("candidates")).cast("int")).drop("__b", "__bucket", "candidates")
+        out = out.withColumn("__node", F.when(F.col(z).isNotNull(), F.lit(0)).cast("long"))
+        for level in range(top.get(family, 0), -1, -1):
+            nodes = tree.where((F.col("family") == family) & (F.col("level") == level)).select(F.col("node").alias("__held"), "items")
+            out = out.join(nodes, F.col("__node") == F.col("__held"), "left")
+            if level:  # the last child that does not begin below the depth
+                child = F.greatest(F.size(F.filter("items", lambda s: s["d"] <= F.col(z))) - 1, F.lit(0))
+                out = out.withColumn("__node", F.col("__node") * fan + child).drop("items", "__held")
+        out = out.withColumn(f"{family}_layer", nearest_layer(F.col(z), F.col("items")).cast("int")).drop("__node", "__held", "items")
     return out
 
 

@@ -139,6 +139,37 @@ def test_twenty_thousand_layers(spark):
         assert r.bgc_layer == min((abs(zs[r.source_row] - d / 2), i) for i, d in enumerate(depths))[1]
 
 
+def test_layer_tree_is_even_however_uneven_the_depths(spark):
+    import random
+    rng = random.Random(9)
+    depths = [1e12, -5.0] + [rng.choice([rng.uniform(0, 1), float(rng.randrange(100)), 10 ** rng.uniform(-3, 4)]) for _ in range(20_000)]
+    layers = spark.createDataFrame([(i, d, None) for i, d in enumerate(depths)], "layer int, phy_depth double, bgc_depth double")
+    tree = grid.layer_tree(layers, {"phy": "phy_depth"})
+    sizes = {}
+    for r in tree.collect():
+        sizes.setdefault(r.level, []).append(len(r["items"]))
+    assert len(sizes[2]) == 1 and max(sizes[0]) <= grid.LAYER_FAN + 2 and max(map(max, sizes.values())) <= grid.LAYER_FAN + 2
+    n = len(set(depths))
+    assert len(sizes[0]) == -(-n // grid.LAYER_FAN)
+    zs = [-1e9, 1e11, 1e13, 4.9e11, 5.1e11, 0.5] + [rng.uniform(-10, 6000) for _ in range(60)] + rng.sample(depths, 40)
+    pts = spark.createDataFrame([*enumerate(zs), (1000, None)], "source_row long, depth_final double")
+    got = {r.source_row: (r.phy_layer, r.bgc_layer) for r in grid.assign_layers(pts, layers).collect()}
+    assert got.pop(1000) == (None, None)
+    for i, z in enumerate(zs):
+        assert got[i] == (min((abs(z - d), k) for k, d in enumerate(depths))[1], None)
+
+
+def test_small_fans(spark):
+    layers = spark.createDataFrame([(i, float(i * i), float(-i)) for i in range(30)], "layer int, phy_depth double, bgc_depth double")
+    zs = [x / 2 for x in range(-70, 1900, 7)]
+    pts = spark.createDataFrame(list(enumerate(zs)), "source_row long, depth_final double")
+    for fan in (2, 3, 29, 30):
+        for r in grid.assign_layers(pts, layers, fan=fan).collect():
+            z = zs[r.source_row]
+            assert r.phy_layer == min((abs(z - i * i), i) for i in range(30))[1]
+            assert r.bgc_layer == min((abs(z + i), i) for i in range(30))[1]
+
+
 def test_rasters_of_two_sizes(spark):
     pixels = spark.createDataFrame([(v, y, 1, r, c, 5.0) for v in grid.VARIABLES for y, n in ((2000, 2), (2001, 3)) for r in range(n) for c in range(n)],
                                    "variable string, year int, layer int, row int, col int, value double")
