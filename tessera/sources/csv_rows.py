@@ -106,9 +106,12 @@ def csv_ranges(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return ranges.join(files, "path").select("path", "start", parity.alias("parity"), "before", "file_row")
 
 
-def read_csv_rows(spark: SparkSession, paths: str | list[str], cols: list[str], base: int = 1, row_id: str = "source_row",
+def read_csv_rows(spark: SparkSession, paths: str | list[str], cols: list[str], base: int = 1, row_id: str | None = "source_row",
                   sep: str = ",") -> DataFrame:
-    """(row_id, *cols) of all records, all text (an empty field is NULL), numbered from ``base`` in file order."""
+    """(row_id, *cols) of all records, all text (an empty field is NULL), numbered from ``base`` in file order.
+    ``row_id`` None: the columns alone; a name that the file has is refused."""
+    if row_id in cols:
+        raise ValueError(f"the file has a column {row_id}")
     staged = scratch_path(spark, "csv-ranges")
     csv_ranges(spark, paths).write.parquet(staged)
     ranges = spark.read.parquet(staged).withColumnsRenamed({"path": "r_path", "start": "r_start", "parity": "r_parity"})
@@ -133,4 +136,5 @@ def read_csv_rows(spark: SparkSession, paths: str | list[str], cols: list[str],
     wrong = F.raise_error(F.concat(F.lit("another header in "), F.col("path"))).cast("boolean")
     data = records.where(F.when(~first, True).when(header, False).otherwise(wrong))
     number = F.col("file_row") + F.col("record") - 2 + base
-    return data.select(number.cast("long").alias(row_id), *[F.col(f"row.{n}").alias(c) for n, c in zip(names, cols, strict=True)])
+    ids = [number.cast("long").alias(row_id)] if row_id else []
+    return data.select(*ids, *[F.col(f"row.{n}").alias(c) for n, c in zip(names, cols, strict=True)])

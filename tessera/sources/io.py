@@ -53,7 +53,7 @@ def read_text_table(spark: SparkSession, path: str | list[str], cols: list[str]
     string, never NULL.  ``empty_as_null=True`` (archives): empty -> NULL.
     """
     cols = cols or header_columns(spark, path, required)
-    df = read_csv_rows(spark, path, cols)
+    df = read_csv_rows(spark, path, cols, row_id=None)
     if empty_as_null:
         return df.select(*[F.when(F.col(c) != "", F.col(c)).alias(c) for c in cols])
     return df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in cols])
