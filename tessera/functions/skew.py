@@ -37,19 +37,23 @@ def _key_hash(keys: list[Column]) -> Column:
 
 def join_group_stats(rows: DataFrame, groups: DataFrame, keys: list[str], size_col: str,
                      row_id_col: str, how: str = "inner",
-                     hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                     hot_rows: int = DEFAULT_HOT_ROWS, sizes: DataFrame | None = None) -> DataFrame:
     """Attach the columns of ``groups`` (one row per key) to ``rows``.
 
     ``size_col`` names the group size column of ``groups``, from which the
     hot keys follow without another pass over ``rows``.  A left join counts
     the rows instead, since keys without a group may be hot there.
+    ``sizes`` (keys and ``size_col``), if given, is a narrow table that says how many
+    rows a key has; ``groups`` then needs no size and stands in the plan once.
     ``row_id_col`` is any column that spreads a group's rows evenly (a row id).
     Key columns appear once in the result, taken from ``rows``.
     """
     # Keys meet by an 8-byte hash.  A collision can only make a cold key look
     # hot, which salts it needlessly but never changes the result.
     h = _key_hash([F.col(k) for k in keys]).alias("__h")
-    if how == "inner":
+    if sizes is not None:
+        sizes = sizes.where(F.col(size_col) >= hot_rows).groupBy(h).agg(F.max(size_col).alias("__n"))
+    elif how == "inner":
         sizes = groups.where(F.col(size_col) >= hot_rows).groupBy(h).agg(F.max(size_col).alias("__n"))
     else:
         sizes = rows.groupBy(h).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= hot_rows)

@@ -127,6 +127,88 @@ def test_infinite_vertex_is_invalid_and_harms_no_other(spark):
     assert _decide(spark, e, [(0.5, 0.5)]) == [(True, False)]
 
 
+def _ring(vertices, feature=1, species="s"):
+    ring = [*vertices, vertices[0]]
+    return [(species, feature, i, *map(float, (*a, *b))) for i, (a, b) in enumerate(zip(ring, ring[1:], strict=False))]
+
+
+def _edges(spark, rows):
+    return spark.createDataFrame(rows, "species_key string, feature int, seq int, x1 double, y1 double, x2 double, y2 double")
+
+
+def test_partly_shared_edges_are_noded(spark):
+    inside, boundary, outside = (True, False), (False, True), (False, False)
+    got = _decide(spark, _boxes(spark, [(0, 0, 1, 2), (1, 0, 2, 1)]), [(1, 0.5), (1, 1.5), (1, 1), (1, 0), (1.5, 1), (2.5, 0.5)])
+    assert got == [inside, boundary, boundary, boundary, boundary, outside]
+    # Three boxes round a corner: inside only where all sides are covered.
+    around = [(0, 0, 1, 2), (1, 0, 2, 1), (1, 1, 3, 2)]
+    assert _decide(spark, _boxes(spark, around), [(1, 1), (1.5, 1), (2.5, 1), (2, 1)]) == [inside, inside, boundary, boundary]
+    # Slanted supporting line, cut at (1, 1) and (2, 2); a gap between two shared stretches.
+    rows = _ring([(0, 0), (4, 4), (0, 4)]) + _ring([(0, 0), (1, 0), (1, 1)], 2) + _ring([(2, 2), (3, 2), (3, 3)], 3)
+    assert _decide(spark, _edges(spark, rows), [(0.5, 0.5), (1.5, 1.5), (2.5, 2.5), (3.5, 3.5), (2, 2)]) == [inside, boundary, inside, boundary, boundary]
+
+
+def test_rings_that_cross_themselves(spark):
+    rings = {"box": [(0, 0), (2, 0), (2, 2), (0, 2)], "bow": [(0, 0), (2, 2), (2, 0), (0, 2)], "touch": [(0, 0), (4, 0), (2, 2), (2, 0)],
+             "spike": [(0, 0), (2, 0), (3, 0), (2, 0), (2, 2)], "eight": [(0, 0), (1, 1), (2, 0), (2, 2), (1, 1), (0, 2)], "thin": [(0, 0), (9, 0.001), (9, 0)]}
+    edges = _edges(spark, [e for name, v in rings.items() for e in _ring(v, species=name)] + _ring([(0, 0), (1e200, 0), (1e200, 1e200)], species="huge"))
+    assert {r.species_key for r in polygon.ring_checks(edges).collect() if not r.simple} == {"bow", "touch", "spike", "eight"}
+    status = {r.species_key: r.buffer_status for r in polygon.polygon_status(edges).collect()}
+    assert status == {"box": "ready", "thin": "ready", "huge": "geometry_error"} | dict.fromkeys(["bow", "touch", "spike", "eight"], "invalid_geometry")
+
+
+def test_large_rings_by_tiles(spark):
+    """Rings of many uneven edges, against every pair of edges; heavy tiles are cut."""
+    import math
+    import random
+    rng = random.Random(11)
+    rings = []
+    for k in range(6):
+        n = 300
+        angles = sorted(rng.random() ** (3 if k % 2 else 1) * 2 * math.pi for _ in range(n))
+        v = [(r * math.cos(a) * 10 ** (k - 2), r * math.sin(a)) for a in angles for r in [2 + rng.random()]]
+        if k in (2, 3, 5):
+            v[40], v[41 + k] = v[41 + k], v[40]
+        rings.append(v)
+
+    def crossing(v):
+        e = list(zip(v, v[1:] + v[:1], strict=True))
+        turn = lambda a, b, c: (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+        return any(turn(*p, q[0]) * turn(*p, q[1]) < 0 and turn(*q, p[0]) * turn(*q, p[1]) < 0 for i, p in enumerate(e) for q in e[i + 1:])
+
+    edges = _edges(spark, [e for k, v in enumerate(rings) for e in _ring(v, feature=k)])
+    want = {k for k, v in enumerate(rings) if crossing(v)}
+    assert want and len(want) < len(rings)
+    for most in (64, 4):
+        assert {r.feature for r in polygon.crossed_rings(edges, most, hot_rows=100).collect()} == want
+
+
+def test_cover_agrees_with_edges(spark):
+    """Random unions of triangles and boxes: every point against a ray cast over all edges."""
+    import random
+    rng = random.Random(12)
+    for h in (0.5, 7.0):
+        shapes = [[(rng.uniform(-5, 5), rng.uniform(-5, 5)) for _ in range(3)] for _ in range(4)]
+        rows = [e for f, v in enumerate(shapes) for e in _ring(v, f)]
+        points = [(rng.uniform(-6, 6), rng.uniform(-6, 6)) for _ in range(400)]
+
+        def within(v, x, y):
+            ring = list(zip(v, v[1:] + v[:1], strict=True))
+            return sum((a[1] > y) != (b[1] > y) and x < (b[0] - a[0]) * (y - a[1]) / (b[1] - a[1]) + a[0] for a, b in ring) % 2 == 1
+
+        p = spark.createDataFrame([(i, "s", x, y) for i, (x, y) in enumerate(points)], "source_row long, species_key string, lon double, lat double")
+        got = {r.source_row: r.buffer_inside for r in polygon.polygon_decide(p, _edges(spark, rows), band=h, hot_rows=50).collect()}
+        assert got == {i: any(within(v, x, y) for v in shapes) for i, (x, y) in enumerate(points)}
+
+
+def test_points_in_pure_tiles_meet_no_edge(spark):
+    edges = _boxes(spark, [(0.5, 0.5, 20.5, 20.5)])
+    cover = polygon.tile_cover(polygon.edge_rows(edges, 1.0), 1.0)
+    rows = {r["row"]: (sorted(map(tuple, r.mixed)), sorted(map(tuple, r.inside))) for r in cover.collect()}
+    assert rows[10] == ([(0, 0), (20, 20)], [(1, 19)]) or rows[10][0] == [(0, 0), (20, 20)] and (1, 19) in [(max(a, 1), min(b, 19)) for a, b in rows[10][1]]
+    assert (0, 20) in rows[0][0] and (0, 20) in rows[20][0] and set(rows) == set(range(21))
+
+
 def test_twenty_thousand_layers(spark):
     import random
     rng = random.Random(8)
