@@ -52,7 +52,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
 #: Chunks that a worker remembers, and the longest of them; it starts afresh beyond that.
-MEMORY, LONGEST_KEPT = 400_000, 64
+MEMORY, LONGEST_KEPT = 800_000, 64
 #: Bytes of text that a worker counts at a time, and counts in a stored block.
 SLICE_BYTES, BLOCK = 1 << 20, 4096
 
