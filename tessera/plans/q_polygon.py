@@ -1,8 +1,9 @@
 """Queries of build step 7: ring checks, point-in-polygon decisions,
 species counts, the five-way spatial route and predicate comparison.
 
-Points are the FX1 rows with valid coordinates; polygons are FX5 boxes (the
-oracle uses the closed-form box test, independent of the ray cast)."""
+Points are the FX1 rows with valid coordinates; polygons are FX5 boxes, alone,
+overlapping or sharing part of an edge, and faulty rings.  The oracle tests the
+four quarters round a point against the boxes, independent of edges."""
 
 from __future__ import annotations
 
@@ -32,17 +33,19 @@ def decisions_plan(spark, sf):
 POLY_SQL = f"""{_coord_sql('fx1')},
   pts AS (SELECT source_row, lower(trim(scientificname)) AS species_key, longitude_numeric AS lon,
     latitude_numeric AS lat FROM qc WHERE route = 'accepted'),
-  boxes AS (SELECT species_key, feature, min(least(x1, x2)) AS xmin, max(greatest(x1, x2)) AS xmax,
-    min(least(y1, y2)) AS ymin, max(greatest(y1, y2)) AS ymax FROM fx5 GROUP BY 1, 2),
-  poly_species AS (SELECT DISTINCT species_key FROM fx5),
-  pf AS (SELECT p.source_row, bool_or(lon > xmin AND lon < xmax AND lat > ymin AND lat < ymax) AS inside,
-    bool_or((lon BETWEEN xmin AND xmax AND (lat = ymin OR lat = ymax))
-         OR (lat BETWEEN ymin AND ymax AND (lon = xmin OR lon = xmax))) AS on_edge
-    FROM pts p JOIN boxes b ON p.species_key = b.species_key GROUP BY 1),
-  decisions AS (SELECT p.source_row, p.species_key,
-    CASE WHEN s.species_key IS NULL THEN 'missing_buffer' ELSE 'ready' END AS buffer_status,
-    s.species_key IS NOT NULL AND coalesce(pf.inside, false) AS buffer_inside,
-    s.species_key IS NOT NULL AND NOT coalesce(pf.inside, false) AND coalesce(pf.on_edge, false) AS buffer_boundary
+  rings AS (SELECT species_key, feature, count(*) AS edges, list(struct_pack(a := {{'x': x1, 'y': y1}}, b := {{'x': x2, 'y': y2}}) ORDER BY seq) AS es,
+    min(least(x1, x2)) AS xmin, max(greatest(x1, x2)) AS xmax, min(least(y1, y2)) AS ymin, max(greatest(y1, y2)) AS ymax FROM fx5 GROUP BY 1, 2),
+  -- a ring is a box if its edges follow each other, each along one axis
+  boxes AS (SELECT *, len(list_filter(list_zip(es, list_concat(es[2:], es[:1])), lambda p: p[1].b = p[2].a)) = edges AS chained,
+    len(list_filter(es, lambda e: e.a.x <> e.b.x AND e.a.y <> e.b.y)) = 0 AS straight FROM rings),
+  poly_species AS (SELECT species_key, if(bool_and(chained AND straight), 'ready', 'invalid_geometry') AS buffer_status FROM boxes GROUP BY 1),
+  -- a point is inside the union if boxes cover all four quarters round it, on the union if some closed box holds it
+  pf AS (SELECT p.source_row, bool_or(e AND n) AND bool_or(e AND s) AND bool_or(w AND n) AND bool_or(w AND s) AS inside, bool_or((e OR w) AND (n OR s)) AS held
+    FROM (SELECT p.source_row, lon >= xmin AND lon < xmax AS e, lon > xmin AND lon <= xmax AS w, lat >= ymin AND lat < ymax AS n, lat > ymin AND lat <= ymax AS s
+      FROM pts p JOIN boxes USING (species_key)) p GROUP BY 1),
+  decisions AS (SELECT p.source_row, p.species_key, coalesce(s.buffer_status, 'missing_buffer') AS buffer_status,
+    coalesce(s.buffer_status = 'ready' AND pf.inside, false) AS buffer_inside,
+    coalesce(s.buffer_status = 'ready' AND NOT pf.inside AND pf.held, false) AS buffer_boundary
     FROM pts p LEFT JOIN poly_species s ON p.species_key = s.species_key LEFT JOIN pf ON pf.source_row = p.source_row),
   sp AS (SELECT species_key, count(*) FILTER (WHERE buffer_inside) AS spatial_records FROM decisions GROUP BY 1),
   placed AS (SELECT *, if(buffer_status <> 'ready', 'unknown',
@@ -54,11 +57,19 @@ POLY_SQL = f"""{_coord_sql('fx1')},
     JOIN ways w ON w.place = p.place AND coalesce(w.enough = (sp.spatial_records >= 15), true))"""
 
 
-@query("ring_checks", with_fixtures(["fx5"], """
-SELECT species_key, feature, count(*) AS edges,
-  bool_and(isfinite(x1) AND isfinite(y1) AND isfinite(x2) AND isfinite(y2)) AS finite,
-  true AS closed, count(*) >= 3 AND bool_and(isfinite(x1) AND isfinite(y1) AND isfinite(x2) AND isfinite(y2)) AS valid
-FROM fx5 GROUP BY 1, 2"""))
+@query("ring_checks", with_fixtures(["fx5"], """,
+  turns AS (SELECT a.species_key, a.feature,
+      sign((a.x2 - a.x1) * (b.y1 - a.y1) - (a.y2 - a.y1) * (b.x1 - a.x1)) * sign((a.x2 - a.x1) * (b.y2 - a.y1) - (a.y2 - a.y1) * (b.x2 - a.x1)) AS over_a,
+      sign((b.x2 - b.x1) * (a.y1 - b.y1) - (b.y2 - b.y1) * (a.x1 - b.x1)) * sign((b.x2 - b.x1) * (a.y2 - b.y1) - (b.y2 - b.y1) * (a.x2 - b.x1)) AS over_b
+    FROM fx5 a JOIN fx5 b ON a.species_key = b.species_key AND a.feature = b.feature AND a.seq < b.seq),
+  bad AS (SELECT DISTINCT species_key, feature FROM turns WHERE over_a < 0 AND over_b < 0),
+  loose AS (SELECT DISTINCT species_key, feature FROM (
+      SELECT species_key, feature, x1 AS x, y1 AS y, 1 AS d FROM fx5 UNION ALL SELECT species_key, feature, x2, y2, -1 FROM fx5) v
+    GROUP BY species_key, feature, x, y HAVING sum(d) <> 0),
+  rings AS (SELECT species_key, feature, count(*) AS edges, bool_and(isfinite(x1 + y1 + x2 + y2)) AS finite FROM fx5 GROUP BY 1, 2)
+SELECT r.species_key, r.feature, r.edges, r.finite, l.species_key IS NULL AS closed, b.species_key IS NULL AS simple,
+  r.edges > 2 AND r.finite AND l.species_key IS NULL AND b.species_key IS NULL AS valid
+FROM rings r LEFT JOIN loose l USING (species_key, feature) LEFT JOIN bad b USING (species_key, feature)"""))
 def ring_checks(spark, sf):
     return polygon.ring_checks(fx.load(spark, sf, "fx5"))
 

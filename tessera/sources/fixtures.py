@@ -119,21 +119,26 @@ SELECT 'notes.tif' AS file_name, variable AS folder FROM (SELECT DISTINCT variab
 
 _FX5_X = "(c_custkey * 37) % 360 - 180"
 _FX5_Y = "(c_custkey * 11) % 180 - 90"
-_FX5_EDGE = f"""
-  cast({_FX5_X} + case when p_partkey in (0, 3) then -2 else 62 end + {{dx}} as double) AS x1,
-  cast({_FX5_Y} + case when p_partkey in (0, 1) then 0 else 3 end as double) AS y1,
-  cast({_FX5_X} + case when p_partkey in (2, 3) then -2 else 62 end + {{dx}} as double) AS x2,
-  cast({_FX5_Y} + case when p_partkey in (0, 3) then 0 else 3 end as double) AS y2
-"""
-_FX5 = f"""
-SELECT lower(trim(c_name)) AS species_key, 1 AS feature, cast(p_partkey as int) AS seq,
-  {_FX5_EDGE.format(dx=0)}
-FROM customer JOIN part ON p_partkey < 4 WHERE c_custkey % 9 <> 0
-UNION ALL
-SELECT lower(trim(c_name)) AS species_key, 2 AS feature, cast(p_partkey as int) AS seq,
-  {_FX5_EDGE.format(dx=40)}
-FROM customer JOIN part ON p_partkey < 4 WHERE c_custkey % 9 <> 0 AND c_custkey % 4 = 0
-"""
+_FX5_BOX = [((-2, 0), (62, 0)), ((62, 0), (62, 3)), ((62, 3), (-2, 3)), ((-2, 3), (-2, 0))]
+_FX5_BOW = [((-2, 0), (62, 3)), ((62, 3), (62, 0)), ((62, 0), (-2, 3)), ((-2, 3), (-2, 0))]
+
+
+def _fx5_ring(feature: int, ring: list, where: str, dx: int = 0, dy: int = 0) -> list[str]:
+    """One SELECT per edge of a ring that lies at the species' corner, moved by (dx, dy)."""
+    return [f"""SELECT lower(trim(c_name)) AS species_key, {feature} AS feature, {i} AS seq,
+  cast({_FX5_X} + {x1 + dx} as double) AS x1, cast({_FX5_Y} + {y1 + dy} as double) AS y1,
+  cast({_FX5_X} + {x2 + dx} as double) AS x2, cast({_FX5_Y} + {y2 + dy} as double) AS y2
+FROM customer WHERE {where}""" for i, ((x1, y1), (x2, y2)) in enumerate(ring)]
+
+
+# Boxes; a second one overlapping the first; a third that shares part of the first's northern edge;
+# of the species without a box some have a ring that crosses itself, some one that is open.
+_FX5 = "\nUNION ALL\n".join(
+    _fx5_ring(1, _FX5_BOX, "c_custkey % 9 <> 0")
+    + _fx5_ring(2, _FX5_BOX, "c_custkey % 9 <> 0 AND c_custkey % 4 = 0", dx=40)
+    + _fx5_ring(3, _FX5_BOX, "c_custkey % 9 <> 0 AND c_custkey % 4 = 1", dx=22, dy=3)
+    + _fx5_ring(1, _FX5_BOW, "c_custkey % 18 = 0")
+    + _fx5_ring(1, _FX5_BOX[:3], "c_custkey % 54 = 27"))
 
 _FX6 = """
 SELECT source_row, id, upper(scientificname) AS scientificname, sex, lifestage, countryCode,
