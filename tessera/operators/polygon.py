@@ -29,6 +29,8 @@ Edges, cover and status are written once and read by every later step.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -99,25 +101,26 @@ def _meet() -> Column:
             | (on(f1, e1, e2) & ~same(f1, e2)) | (on(f2, e1, e2) & ~same(f2, e1)))
 
 
-def crossed_rings(edges: DataFrame, most: int = TILE_EDGES, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """(species_key, feature) of rings two of whose edges meet other than in the vertex between them.
+def ring_sizes(edges: DataFrame) -> DataFrame:
+    """Per (species, feature): edges, finite, turn (1 counter-clockwise, -1 clockwise, null for an area of zero or none that
+    is a number) and extent."""
+    fin = is_finite("x1") & is_finite("y1") & is_finite("x2") & is_finite("y2")
+    area = F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1"))
+    side = F.greatest(F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2")), F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2")))
+    return edges.groupBy("species_key", "feature").agg(
+        F.count(F.lit(1)).alias("edges"), F.bool_and(F.coalesce(fin, F.lit(False))).alias("finite"),
+        F.when(is_finite(area) & (area != 0), F.signum(area)).alias("turn"),
+        F.min(F.least("x1", "x2")).alias("x0"), F.min(F.least("y1", "y2")).alias("y0"), side.alias("side"))
 
-    The tiles of a ring follow its extent and number of edges.  Tiles with more than ``most`` edges are cut, a few
-    rounds long; edges of a simple ring come apart, so those left together in tiny tiles are few, or do cross.
-    """
+
+def _tiled(e: DataFrame, rings: DataFrame, most: int) -> DataFrame:
+    """Edges of large rings by tile; a tile with more than ``most`` edges is cut, a few rounds long.  Edges of a simple ring
+    come apart, so those left together in tiny tiles are few, or do cross."""
     ring = ["species_key", "feature"]
-    e = edges.where(is_finite("x1") & is_finite("y1") & is_finite("x2") & is_finite("y2"))
-    e = e.where((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2"))).select(*ring, "seq", "x1", "y1", "x2", "y2")
-    side = F.greatest(F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2")), F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2")))
-    extent = e.groupBy(*ring).agg(F.min(F.least("x1", "x2")).alias("x0"), F.min(F.least("y1", "y2")).alias("y0"), side.alias("side"),
-                                  F.count(F.lit(1)).alias("n"))
-    # A small ring is one tile, a large one has about as many tiles as edges.
-    cells = F.when(F.col("n") <= 16, F.lit(1.0)).otherwise(F.ceil(F.sqrt("n")).cast("double"))
-    extent = extent.withColumn("w", F.col("side") / cells * 1.01)
-    placed = _tiles(join_group_stats(e, extent, ring, "n", "seq", hot_rows=hot_rows).drop("n", "side"))
+    extent = rings.select(*ring, "x0", "y0", (F.col("side") / F.ceil(F.sqrt("edges")) * 1.01).alias("w"))  # about as many tiles as edges
     tile = [*ring, "w", "i", "j"]
-    done, level = None, _staged(placed, "ring-tiles")
-    for turn in range(TILE_ROUNDS):
+    done, level = None, _staged(_tiles(e.join(extent, ring)), "ring-tiles")
+    for _ in range(TILE_ROUNDS):
         heavy = level.groupBy(*tile).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).drop("n")
         heavy = _staged(heavy, "ring-heavy")
         if heavy.isEmpty():
@@ -129,66 +132,80 @@ def crossed_rings(edges: DataFrame, most: int = TILE_EDGES, hot_rows: int = DEFA
         # Only tiles within the heavy ones; the others hold these edges in tiles that stay.
         held = heavy.select(*ring, (F.col("w") / TILE_CUT).alias("w"), F.col("i").alias("p_i"), F.col("j").alias("p_j"))
         level = _staged(finer.select("*", *parent).join(held, [*ring, "w", "p_i", "p_j"], "left_semi").drop("p_i", "p_j"), "ring-tiles")
-    done = level if done is None else done.unionByName(level)
-    first = done.select(*tile, F.col("seq").alias("eseq"), *[F.col(c).alias(f"e{c}") for c in ("x1", "y1", "x2", "y2")])
-    second = done.select(*tile, F.col("seq").alias("fseq"), *[F.col(c).alias(f"f{c}") for c in ("x1", "y1", "x2", "y2")])
-    return first.join(second, tile).where((F.col("eseq") < F.col("fseq")) & _meet()).select(*ring).distinct()
+    return level if done is None else done.unionByName(level)
+
+
+def crossed_rings(edges: DataFrame, rings: DataFrame, most: int = TILE_EDGES) -> DataFrame:
+    """(species_key, feature) of rings two of whose edges meet other than in the vertex between them; ``rings`` is
+    the staged :func:`ring_sizes`.  A ring of up to ``most`` edges is one tile."""
+    ring = ["species_key", "feature"]
+    e = edges.where(is_finite("x1") & is_finite("y1") & is_finite("x2") & is_finite("y2"))
+    e = e.where((F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2"))).select(*ring, "seq", "x1", "y1", "x2", "y2")
+    large = rings.where(F.col("finite") & (F.col("edges") > most))
 
+    def pairs(edges: DataFrame, tile: list[str]) -> DataFrame:
+        first = edges.select(*tile, F.col("seq").alias("eseq"), *[F.col(c).alias(f"e{c}") for c in ("x1", "y1", "x2", "y2")])
+        second = edges.select(*tile, F.col("seq").alias("fseq"), *[F.col(c).alias(f"f{c}") for c in ("x1", "y1", "x2", "y2")])
+        return first.join(second, tile).where((F.col("eseq") < F.col("fseq")) & _meet()).select(*ring)
 
-def ring_checks(edges: DataFrame) -> DataFrame:
-    """Per (species, feature): edge count, finite coordinates, closed ring, simple ring, valid.
+    if large.isEmpty():
+        return pairs(e, ring).distinct()
+    few = e.join(large.select(*ring), ring, "left_anti")
+    return pairs(few, ring).unionByName(pairs(_tiled(e, large, most), [*ring, "w", "i", "j"])).distinct()
+
+
+def ring_checks(edges: DataFrame, rings: DataFrame | None = None) -> DataFrame:
+    """Per (species, feature): edge count, finite coordinates, closed ring, simple ring, valid (and ``turn``, see
+    :func:`ring_sizes`, whose staged result may be given).
 
     Closure is tested without ordering: in a closed ring every vertex is the
     start of as many edges as it is the end of.
     """
-    fin = is_finite("x1") & is_finite("y1") & is_finite("x2") & is_finite("y2")
-    base = edges.groupBy("species_key", "feature").agg(
-        F.count(F.lit(1)).alias("edges"), F.bool_and(F.coalesce(fin, F.lit(False))).alias("finite"))
-    starts = edges.select("species_key", "feature", F.col("x1").alias("x"), F.col("y1").alias("y"), F.lit(1).alias("d"))
-    ends = edges.select("species_key", "feature", F.col("x2").alias("x"), F.col("y2").alias("y"), F.lit(-1).alias("d"))
-    bal = (starts.unionByName(ends).groupBy("species_key", "feature", "x", "y").agg(F.sum("d").alias("b"))
-           .groupBy("species_key", "feature").agg(F.count_if(F.col("b") != 0).alias("unbalanced_vertices")))
-    crossed = crossed_rings(edges).withColumn("__crossed", F.lit(True))
-    out = base.join(bal, ["species_key", "feature"]).join(crossed, ["species_key", "feature"], "left")
-    simple = F.col("__crossed").isNull()
-    return out.select("species_key", "feature", "edges", "finite", (F.col("unbalanced_vertices") == 0).alias("closed"), simple.alias("simple"),
-                      ((F.col("edges") >= 3) & F.col("finite") & (F.col("unbalanced_vertices") == 0) & simple).alias("valid"))
-
-
-def ring_turns(edges: DataFrame) -> DataFrame:
-    """Per (species, feature): 1 if the ring runs counter-clockwise, -1 if clockwise, else null (an area of zero, or none that is a number)."""
-    area = F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1"))
-    turn = F.signum(area)
-    return edges.groupBy("species_key", "feature").agg(F.when(is_finite(area) & (turn != 0), turn).alias("__turn"))
-
-
-def polygon_status(edges: DataFrame) -> DataFrame:
+    rings = rings if rings is not None else _staged(ring_sizes(edges), "rings")
+    ring = ["species_key", "feature"]
+    ends = F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y"), F.lit(d).alias("d")) for x, y, d in (("x1", "y1", 1), ("x2", "y2", -1))])
+    vertices = edges.select(*ring, F.inline(ends)).groupBy(*ring, "x", "y").agg(F.sum("d").alias("b")).where(F.col("b") != 0)
+    # The findings on a ring meet in one group.
+    found = vertices.select(*ring, F.lit(True).alias("open"), F.lit(None).cast("boolean").alias("crossed"))
+    found = found.unionByName(crossed_rings(edges, rings).select(*ring, F.lit(None).cast("boolean").alias("open"), F.lit(True).alias("crossed")))
+    found = found.groupBy(*ring).agg(F.bool_or("open").alias("open"), F.bool_or("crossed").alias("crossed"))
+    out = rings.join(found, ring, "left")
+    closed, simple = F.col("open").isNull(), F.col("crossed").isNull()
+    return out.select(*ring, "edges", "finite", closed.alias("closed"), simple.alias("simple"),
+                      ((F.col("edges") >= 3) & F.col("finite") & closed & simple).alias("valid"), "turn")
+
+
+def polygon_status(edges: DataFrame, rings: DataFrame | None = None) -> DataFrame:
     """Per species: ``invalid_geometry`` (some feature fails the ring checks), ``geometry_error`` (sound rings without
     an area, whose sides can't be told), else ``ready``."""
-    checks = ring_checks(edges).join(ring_turns(edges), ["species_key", "feature"])
-    per = checks.groupBy("species_key").agg(F.bool_and("valid").alias("__ok"), F.bool_and(F.col("__turn").isNotNull()).alias("__sided"),
-                                            F.count(F.lit(1)).alias("features"))
+    per = ring_checks(edges, rings).groupBy("species_key").agg(
+        F.bool_and("valid").alias("__ok"), F.bool_and(F.col("turn").isNotNull()).alias("__sided"), F.count(F.lit(1)).alias("features"))
     status = F.when(~F.col("__ok"), "invalid_geometry").when(~F.col("__sided"), "geometry_error").otherwise("ready")
     return per.select("species_key", "features", status.alias("buffer_status"))
 
 
 # --- union --------------------------------------------------------------------------------
 
-def boundary_intervals(edges: DataFrame) -> DataFrame:
+def boundary_intervals(edges: DataFrame, rings: DataFrame) -> DataFrame:
     """Adds ``vertical`` and ``outer``: the closed intervals of the edge, in x (in y if vertical), that are boundary of the
     union; null: all of it."""
     steep = F.col("x1") == F.col("x2")
     slope = (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1"))
     t1, t2 = F.when(steep, F.col("y1")).otherwise(F.col("x1")), F.when(steep, F.col("y2")).otherwise(F.col("x2"))
     # With every ring turned the same way round, the two sides of a line show as the two directions along it.
-    seg = edges.join(ring_turns(edges), ["species_key", "feature"]).withColumns({
+    seg = edges.join(rings.select("species_key", "feature", "turn"), ["species_key", "feature"]).withColumns({
         "vertical": steep, "slope": F.when(~steep, F.round(slope, 12)),
         "icept": F.when(steep, F.col("x1")).otherwise(F.round(F.col("y1") - slope * F.col("x1"), 9)),
-        "t1": F.least(t1, t2), "t2": F.greatest(t1, t2), "side": F.col("__turn") * F.when(t1 < t2, 1).otherwise(-1)}).drop("__turn")
+        "t1": F.least(t1, t2), "t2": F.greatest(t1, t2), "side": F.col("turn") * F.when(t1 < t2, 1).otherwise(-1)}).drop("turn")
     line = ["species_key", "vertical", "slope", "icept"]
     both = seg.groupBy(*line).agg(F.min("side").alias("s1"), F.max("side").alias("s2")).where(F.col("s1") < F.col("s2")).drop("s1", "s2")
-    same_line = [seg[c].eqNullSafe(both[c]) for c in line]
-    shared = seg.join(both, same_line, "left_semi")
+    both = both.select(*[F.col(c).alias(f"b_{c}") for c in line])
+    same_line = [F.col(c).eqNullSafe(F.col(f"b_{c}")) for c in line]
+    # Few lines have features on both of their sides; the rest of the work is on these.
+    shared = _staged(seg.join(both, same_line, "left_semi").select(*line, "feature", "seq", "t1", "t2", "side"), "polygon-shared")
+    out = seg.select(*edges.columns, "vertical")
+    if shared.isEmpty():
+        return out.withColumn("outer", F.lit(None).cast("array<struct<a:double,b:double>>"))
     # The sweep: features that begin and end on either side at each end of an edge.
     ends = shared.select(*line, "side", F.explode(F.array(F.struct(F.col("t1").alias("t"), F.lit(1).alias("d")),
                                                           F.struct(F.col("t2").alias("t"), F.lit(-1).alias("d")))).alias("at"))
@@ -200,8 +217,8 @@ def boundary_intervals(edges: DataFrame) -> DataFrame:
     runs = steps.where("covered").groupBy(*line, "run").agg(F.min("t").alias("a"), F.max("b").alias("b"))
 
     def spread(df: DataFrame, lo: str, hi: str) -> DataFrame:
-        """By stretches of one degree, so that a line with many edges is no single group."""
-        return df.withColumn("part", F.explode(F.sequence(F.floor(lo), F.floor(hi))))
+        """By stretches of ten degrees, so that a line with many edges is no single group."""
+        return df.withColumn("part", F.explode(F.sequence(F.floor(F.col(lo) / 10), F.floor(F.col(hi) / 10))))
 
     e = spread(shared.select(*line, "feature", "seq", "t1", "t2"), "t1", "t2")
     r = spread(runs.select(*[F.col(c).alias(f"r_{c}") for c in line], "a", "b"), "a", "b").withColumnRenamed("part", "r_part")
@@ -212,7 +229,7 @@ def boundary_intervals(edges: DataFrame) -> DataFrame:
     stops = F.concat(F.transform("runs", lambda x: x["a"]), F.array("t2"))
     gaps = F.filter(F.arrays_zip(starts.alias("a"), stops.alias("b")), lambda x: x["a"] < x["b"])
     outer = cut.select("species_key", "feature", "seq", gaps.alias("outer"))
-    return seg.select(*edges.columns, "vertical").join(outer, ["species_key", "feature", "seq"], "left")
+    return out.join(outer, ["species_key", "feature", "seq"], "left")
 
 
 # --- cover --------------------------------------------------------------------------------
@@ -250,16 +267,32 @@ def tile_cover(rows: DataFrame, h: float) -> DataFrame:
 
 # --- decisions ----------------------------------------------------------------------------
 
-def polygon_decide(points: DataFrame, edges: DataFrame, band: float = BAND_DEGREES,
-                   hot_rows: int = DEFAULT_HOT_ROWS, row_id: str = "source_row") -> DataFrame:
-    """Decisions per point: source_row, species_key, buffer_status,
-    buffer_inside, buffer_boundary (both false unless the status is ready)."""
-    status = _staged(polygon_status(edges).select("species_key", "buffer_status"), "polygon-status")
+@dataclass(frozen=True)
+class Prepared:
+    """What the decisions need of an edge table, each written: status per species, edges by latitude row with their
+    boundary intervals, and the tile cover."""
+    status: DataFrame
+    rows: DataFrame
+    cover: DataFrame
+    band: float
+
+
+def prepare(edges: DataFrame, band: float = BAND_DEGREES) -> Prepared:
+    """Check, node and tile the polygons once for any number of point tables."""
+    rings = _staged(ring_sizes(edges), "rings")
+    status = _staged(polygon_status(edges, rings).select("species_key", "buffer_status"), "polygon-status")
     # Only species with sound rings are unfolded: one bad vertex concerns its species alone.
     sound = edges.join(status.where(F.col("buffer_status") == "ready").select("species_key"), "species_key", "left_semi")
-    rows = _staged(edge_rows(boundary_intervals(sound.select("species_key", "feature", "seq", "x1", "y1", "x2", "y2")), band), "polygon-edges")
-    cover = _staged(tile_cover(rows, band), "polygon-cover")
+    rows = _staged(edge_rows(boundary_intervals(sound.select("species_key", "feature", "seq", "x1", "y1", "x2", "y2"), rings), band), "polygon-edges")
+    return Prepared(status, rows, _staged(tile_cover(rows, band), "polygon-cover"), band)
 
+
+def polygon_decide(points: DataFrame, edges: DataFrame | None, band: float = BAND_DEGREES,
+                   hot_rows: int = DEFAULT_HOT_ROWS, row_id: str = "source_row", prepared: Prepared | None = None) -> DataFrame:
+    """Decisions per point: source_row, species_key, buffer_status,
+    buffer_inside, buffer_boundary (both false unless the status is ready)."""
+    ready = prepared or prepare(edges, band)
+    status, rows, cover, band = ready.status, ready.rows, ready.cover, ready.band
     p = points.select(row_id, "species_key", "lon", "lat", _row(F.col("lat"), band).alias("row"))
     p = p.join(status, "species_key", "left").join(cover, ["species_key", "row"], "left")
     tile = F.floor(F.col("lon") / F.lit(band))

