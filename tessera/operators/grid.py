@@ -5,11 +5,10 @@ Rasters arrive as tables: ``pixels(variable, year, layer, row, col, value)``
 described by its origin and cell size (``GridSpec``); width and height are
 read from the pixel table.
 
-Sampling is relational: each point gets its cell ``(row, col)`` from the
-inverse affine transform, then one equi-join on (variable, year, layer, row,
-col) fetches the values.  Points are first counted per cell; the join is the
-salted group join, so a cell that holds a large share of all points is split
-over several tasks.
+Sampling is relational: pixels lie in tiles, arrays of cells keyed by (family,
+year, layer, square of the earth) with one cell more to every side.  A point
+joins the tiles of its two layers and reads its values and 3×3 windows by
+index, each raster by its own transform, size and nodata value.
 """
 
 from __future__ import annotations
@@ -20,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.normalize import is_finite
-from ..functions.skew import DEFAULT_HOT_ROWS, join_group_stats
 from .identity import with_position
 
 # Fixed values of the environment rules.
@@ -203,38 +201,144 @@ def cell_of(spec: GridSpec, lon: Column, lat: Column) -> tuple[Column, Column]:
             F.floor((lon - F.lit(spec.c)) / F.lit(spec.a)).cast("long"))
 
 
-def sample_long(points: DataFrame, pixels: DataFrame, spec: GridSpec, mode: str = "independent",
-                variables=VARIABLES, hot_rows: int = DEFAULT_HOT_ROWS, lon="lon", lat="lat") -> DataFrame:
-    """One row per (point, variable): layer, cell, inside flag and value.
+#: Cells along a side of a tile.
+TILE_CELLS = 16
+_HEADER = ["width", "height", "c", "a", "f", "e", "nodata"]
+
+
+def with_spec(headers: DataFrame, spec: GridSpec) -> DataFrame:
+    """Headers that share one transform and nodata value."""
+    return headers.withColumns({k: F.lit(getattr(spec, k)).cast("double") for k in ("c", "a", "f", "e", "nodata")})
+
+
+@dataclass(frozen=True)
+class Rasters:
+    """Rasters as written tables: the headers and pixel tiles of each (family, year, layer), one column per variable,
+    the largest header of each variable, and the side of a tile in degrees."""
+    headers: DataFrame
+    tiles: DataFrame
+    largest: DataFrame
+    side: float
+
+
+def prepare_rasters(pixels: DataFrame, headers: DataFrame, cells: int = TILE_CELLS) -> Rasters:
+    """Pixels as tiles: each holds the cells that meet one square of the earth, and one cell more to every side, so a
+    point finds its value and its 3x3 window in one row, whatever the rasters' transforms (``headers``: variable, year,
+    layer, width, height, c, a, f, e, nodata).  A tile is bounded by its side, ``cells`` cells of the coarsest raster."""
+    from ..session import scratch_path
+    spark = pixels.sparkSession
+
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    raster = ["variable", "year", "layer"]
+    headers = staged(headers.select(*raster, *_HEADER), "raster-headers")
+    coarsest = headers.agg(F.max(F.greatest(F.abs("a"), F.abs("e")))).first()[0]
+    side = cells * (coarsest or 1.0)
+    family = variable_family(F.col("variable"))
+    header = F.struct(*_HEADER)
+    wide = headers.groupBy(family.alias("family"), "year", "layer").agg(
+        *[F.first(F.when(F.col("variable") == v, header), ignorenulls=True).alias(f"h_{v}") for v in VARIABLES])
+    largest = headers.agg(*[F.max_by(F.when(F.col("variable") == v, header), F.when(F.col("variable") == v, F.col("width") * F.col("height"))).alias(f"l_{v}")
+                            for v in VARIABLES])
+    x, y = F.col("c") + F.col("col") * F.col("a"), F.col("f") + F.col("row") * F.col("e")
+    size_x, size_y = F.abs("a"), F.abs("e")
+
+    def squares(at: Column, step: str, size: Column) -> Column:
+        low = F.least(at, at + F.col(step)) - size
+        return F.explode(F.sequence(F.floor(low / side), F.floor((low + 3 * size) / side)))
+
+    px = pixels.select(*raster, "row", "col", "value").join(headers, raster)
+    px = px.withColumn("gx", squares(x, "a", size_x)).withColumn("gy", squares(y, "e", size_y))
+    cell = F.struct((F.col("row").cast("long") * F.col("width") + F.col("col")).alias("at"), F.col("value").alias("value"))
+    tiles = px.groupBy(family.alias("family"), "year", "layer", "gx", "gy").agg(
+        *[F.collect_list(F.when(F.col("variable") == v, cell)).alias(f"t_{v}") for v in VARIABLES])
+    return Rasters(staged(wide, "raster-heads"), staged(tiles, "raster-tiles"), staged(largest, "raster-largest"), side)
+
+
+class _Cell:
+    """Expressions on one variable of a point row that carries its header and tile."""
+
+    def __init__(self, header: Column, largest: Column, tile: Column, lon: str, lat: str):
+        known = F.coalesce(header, largest)
+        self.width, self.height, self.nodata = known["width"], known["height"], known["nodata"]
+        self.row = F.floor((F.col(lat) - known["f"]) / known["e"]).cast("long")
+        self.col = F.floor((F.col(lon) - known["c"]) / known["a"]).cast("long")
+        self.inside = F.coalesce((self.row >= 0) & (self.row < self.height) & (self.col >= 0) & (self.col < self.width), F.lit(False))
+        self.tile = tile
+
+    def at(self, drow: int = 0, dcol: int = 0) -> Column:
+        """The value of the cell or of a neighbour; null where the raster is missing."""
+        place = F.array_position(self.tile["at"], (self.row + drow) * self.width + self.col + dcol)
+        return F.get(self.tile["value"], (place - 1).cast("int"))
+
+    def value(self) -> Column:
+        return F.when(self.inside, self.at()).otherwise(F.coalesce(self.nodata, F.lit(0.0)))
+
+
+def _with_tiles(points: DataFrame, rasters: Rasters, joins: dict[str, tuple[str, str]], lon: str, lat: str) -> DataFrame:
+    """Points with the headers and tiles of each join: prefix -> (family, layer column).  Both are joins on (year, layer)
+    and, for tiles, the square of the point; Spark broadcasts small tables and splits skewed squares."""
+    p = points.withColumns({"__gx": F.floor(F.col(lon) / rasters.side), "__gy": F.floor(F.col(lat) / rasters.side)})
+    p = p.join(F.broadcast(rasters.largest))  # one row
+    for prefix, (family, layer) in joins.items():
+        heads = rasters.headers.where(F.col("family") == family)
+        heads = heads.select(F.col("year").alias("__y"), F.col("layer").alias("__l"), *[F.col(f"h_{v}").alias(f"{prefix}h_{v}") for v in VARIABLES])
+        p = p.join(heads, (F.col("year_final") == F.col("__y")) & (F.col(layer) == F.col("__l")), "left").drop("__y", "__l")
+        tiles = rasters.tiles.where(F.col("family") == family)
+        tiles = tiles.select(F.col("year").alias("__y"), F.col("layer").alias("__l"), F.col("gx").alias("__tx"), F.col("gy").alias("__ty"),
+                             *[F.col(f"t_{v}").alias(f"{prefix}t_{v}") for v in VARIABLES])
+        p = p.join(tiles, (F.col("year_final") == F.col("__y")) & (F.col(layer) == F.col("__l")) & (F.col("__gx") == F.col("__tx"))
+                   & (F.col("__gy") == F.col("__ty")), "left").drop("__y", "__l", "__tx", "__ty")
+    return p
+
+
+def _cell(variable: str, prefix: str, lon: str, lat: str) -> _Cell:
+    return _Cell(F.col(f"{prefix}h_{variable}"), F.col(f"l_{variable}"), F.col(f"{prefix}t_{variable}"), lon, lat)
+
+
+def _joins(mode: str) -> dict[str, tuple[str, str]]:
+    bgc = "phy_layer" if mode == "shared_phy" else "bgc_layer"
+    return {"p": ("phy", "phy_layer"), "b": ("bgc", bgc)}
+
+
+def sample_tiles(points: DataFrame, rasters: Rasters, mode: str = "independent", lon: str = "lon", lat: str = "lat",
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per point: source_row, both layers, ``keep``, the value of every variable and the masks of variables
+    outside their raster and of invalid values.
 
     mode ``independent``: physical variables use ``phy_layer``, the others
     ``bgc_layer``; mode ``shared_phy``: every variable uses ``phy_layer``.
-    Out-of-bounds cells take the grid's nodata value, or 0 when none is declared.
+    Out-of-bounds cells take the raster's nodata value, or 0 when none is declared.  A point whose raster is missing
+    is judged by the variable's largest grid and gets a NULL value.
     """
-    sizes = raster_headers(pixels).select("variable", "year", "layer", "width", "height")
-    var_ix = F.array_position(F.array(*[F.lit(v) for v in VARIABLES]), F.col("variable")).cast("int") - 1
-    p = points.withColumn("variable", F.explode(F.array(*[F.lit(v) for v in variables])))
-    lay = F.col("phy_layer") if mode == "shared_phy" else F.when(
-        F.col("variable").isin(PHY_VARIABLES), F.col("phy_layer")).otherwise(F.col("bgc_layer"))
-    r, c = cell_of(spec, F.col(lon), F.col(lat))
-    p = p.withColumns({"layer": lay, "row": r, "col": c, "bit": var_ix})
-    # Each raster has its own size (one row per raster, broadcast).  A point whose raster is
-    # missing is judged by the variable's largest grid and gets a NULL value.
-    p = p.withColumnRenamed("year_final", "year").join(F.broadcast(sizes), ["variable", "year", "layer"], "left")
-    largest = sizes.groupBy("variable").agg(F.max("width").alias("__w"), F.max("height").alias("__h"))
-    p = p.join(F.broadcast(largest), "variable", "left")
-    height, width = F.coalesce("height", "__h"), F.coalesce("width", "__w")
-    inside = (F.col("row") >= 0) & (F.col("row") < height) & (F.col("col") >= 0) & (F.col("col") < width)
-    p = p.withColumn("inside", F.coalesce(inside, F.lit(False))).drop("__w", "__h")
-    keys = ["variable", "year", "layer", "row", "col"]
-    pts = p
-    counts = pts.where("inside").groupBy(*keys).agg(F.count(F.lit(1)).alias("__points"))
-    px = pixels.select(*keys, F.col("value").alias("__value"))
-    cells = counts.join(px, keys)          # both sides: one row per cell
-    j = join_group_stats(pts, cells, keys, "__points", "source_row", how="left", hot_rows=hot_rows)
-    fallback = F.lit(spec.nodata if spec.nodata is not None else 0.0).cast("double")
-    return j.withColumn("value", F.when(F.col("inside"), F.col("__value")).otherwise(fallback)).drop(
-        "__value", "__points", "width", "height")
+    p = _with_tiles(points, rasters, _joins(mode), lon, lat)
+    cells = {v: _cell(v, "p" if v in PHY_VARIABLES else "b", lon, lat) for v in VARIABLES}
+    p = p.select("source_row", "phy_layer", "bgc_layer", *keep, *[c.value().alias(v) for v, c in cells.items()],
+                 *[c.inside.alias(f"__in_{v}") for v, c in cells.items()])
+
+    def mask(flag) -> Column:
+        return sum((F.when(flag(v), F.lit(1 << i)).otherwise(0) for i, v in enumerate(VARIABLES)), F.lit(0)).cast("int")
+
+    return p.select("source_row", "phy_layer", "bgc_layer", *keep, *VARIABLES, mask(lambda v: ~F.col(f"__in_{v}")).alias("environment_outside_mask"),
+                    mask(lambda v: (F.col(v) == -1) | ~F.coalesce(is_finite(F.col(v)), F.lit(False))).alias("environment_invalid_mask"))
+
+
+def sample_long(points: DataFrame, pixels: DataFrame, spec: GridSpec, mode: str = "independent",
+                variables=VARIABLES, lon="lon", lat="lat", rasters: Rasters | None = None) -> DataFrame:
+    """One row per (point, variable): layer, cell, inside flag and value; the rows of a point are made after its values
+    are read."""
+    rasters = rasters or prepare_rasters(pixels, with_spec(raster_headers(pixels), spec))
+    p = _with_tiles(points, rasters, _joins(mode), lon, lat)
+    items = []
+    for v in variables:
+        cell = _cell(v, "p" if v in PHY_VARIABLES else "b", lon, lat)
+        layer = F.col("phy_layer") if mode == "shared_phy" or v in PHY_VARIABLES else F.col("bgc_layer")
+        items.append(F.struct(F.lit(v).alias("variable"), layer.alias("layer"), cell.row.alias("row"), cell.col.alias("col"),
+                              F.lit(VARIABLES.index(v)).alias("bit"), cell.inside.alias("inside"), cell.value().cast("double").alias("value")))
+    return p.select(*[F.col(c).alias("year" if c == "year_final" else c) for c in points.columns], F.inline(F.array(*items)))
 
 
 def sample_wide(long: DataFrame, variables=VARIABLES) -> DataFrame:
@@ -249,19 +353,20 @@ def sample_wide(long: DataFrame, variables=VARIABLES) -> DataFrame:
         bits_out.cast("int").alias("environment_outside_mask"), bits_bad.cast("int").alias("environment_invalid_mask"))
 
 
-def neighbour_matches(long: DataFrame, pixels: DataFrame, stored: str = "value") -> DataFrame:
-    """3×3 neighbourhood cells (complete windows only) whose value equals the
-    stored one: (source_row, variable, layer, drow, dcol)."""
-    sizes = raster_headers(pixels).groupBy("variable").agg(F.max("width").alias("w"), F.max("height").alias("h"))
-    p = long.where("inside").join(F.broadcast(sizes), "variable")
-    p = p.where((F.col("row") >= 1) & (F.col("row") <= F.col("h") - 2) & (F.col("col") >= 1) & (F.col("col") <= F.col("w") - 2))
-    off = F.explode(F.array(*[F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc"))
-                              for dr in (-1, 0, 1) for dc in (-1, 0, 1)]))
-    p = p.select("source_row", "variable", "year", "layer", "row", "col", F.col(stored).alias("__stored"),
-                 off.alias("o"))
-    p = p.select("source_row", "variable", "year", "layer", (F.col("row") + F.col("o.dr")).alias("row"),
-                 (F.col("col") + F.col("o.dc")).alias("col"), F.col("o.dr").alias("drow"),
-                 F.col("o.dc").alias("dcol"), "__stored")
-    keys = ["variable", "year", "layer", "row", "col"]
-    j = p.join(pixels.select(*keys, "value"), keys)
-    return j.where(F.col("value") == F.col("__stored")).select("source_row", "variable", "layer", "drow", "dcol")
+def neighbour_matches(points: DataFrame, rasters: Rasters, variables=("chl", "no3", "o2"), lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """3×3 neighbourhood cells (complete windows only), on the physical and on the independent layer of each variable, whose
+    value equals the independently sampled one: (source_row, variable, layer, drow, dcol).  The window is read off the
+    point's tile; only cells that match become rows."""
+    p = _with_tiles(points, rasters, {"b": ("bgc", "bgc_layer"), "s": ("bgc", "phy_layer")}, lon, lat)
+    found = []
+    for v in variables:
+        own = _cell(v, "b", lon, lat)
+        for prefix, layer in (("b", "bgc_layer"), ("s", "phy_layer")):
+            cell = _cell(v, prefix, lon, lat)
+            whole = (cell.row >= 1) & (cell.row <= cell.height - 2) & (cell.col >= 1) & (cell.col <= cell.width - 2)
+            if prefix == "s":
+                whole &= F.col("phy_layer") != F.col("bgc_layer")
+            window = F.array(*[F.struct(F.lit(v).alias("variable"), F.col(layer).alias("layer"), F.lit(dr).alias("drow"), F.lit(dc).alias("dcol"),
+                                        (cell.at(dr, dc) == own.at()).alias("same")) for dr in (-1, 0, 1) for dc in (-1, 0, 1)])
+            found.append(F.when(whole & own.inside, F.filter(window, lambda x: x["same"])).otherwise(F.filter(window, lambda x: F.lit(False))))
+    return p.select("source_row", F.inline(F.concat(*found))).drop("same")

@@ -36,12 +36,20 @@ def layered_points(spark, sf, pts=None):
     return grid.assign_layers(pts, fx.load(spark, sf, "fx3"))
 
 
-def sample_plan(spark, sf, mode="independent", pts=None):
-    return grid.sample_long(layered_points(spark, sf, pts), fx.load(spark, sf, "fx4"), SPEC, mode)
+_RASTERS: dict[tuple, grid.Rasters] = {}
 
 
-def wide_plan(spark, sf, pts=None):
-    return grid.sample_wide(sample_plan(spark, sf, pts=pts))
+def rasters(spark, sf):
+    """The pixels as tiles, written once per session and scale, as the fixtures are."""
+    key = (spark.sparkContext.applicationId, id(spark), sf)
+    if key not in _RASTERS:
+        px = fx.load(spark, sf, "fx4")
+        _RASTERS[key] = grid.prepare_rasters(px, grid.with_spec(grid.raster_headers(px), SPEC))
+    return _RASTERS[key]
+
+
+def wide_plan(spark, sf, pts=None, keep=()):
+    return grid.sample_tiles(layered_points(spark, sf, pts), rasters(spark, sf), keep=keep)
 
 
 ENV_SQL = f"""{DEPTH_SQL}, {YEAR_SQL}, {_coord_sql('fx1')},
@@ -223,9 +231,7 @@ FROM j JOIN cnt c ON j.species_key IS NOT DISTINCT FROM c.species_key"""))
 def environment_route(spark, sf):
     from ..functions.skew import join_group_stats
     from ..operators.route import route
-    pts = env_points(spark, sf)
-    w = wide_plan(spark, sf, pts)
-    j = w.select("source_row", "environment_invalid_mask").join(pts.select("source_row", "species_key"), "source_row")
+    j = wide_plan(spark, sf, keep=("species_key",)).select("source_row", "environment_invalid_mask", "species_key")
     cnt = j.groupBy("species_key").agg(F.count(F.lit(1)).alias("input_records"),
                                        F.count_if(F.col("environment_invalid_mask") == 0).alias("species_environment_valid_records"))
     r = join_group_stats(j, cnt, ["species_key"], "input_records", "source_row")
@@ -245,10 +251,10 @@ MODES_SQL = f"""{ENV_SQL}, {_sampled_sql('independent', 'ind')}, {_sampled_sql('
 
 
 def modes_plan(spark, sf):
-    pts = layered_points(spark, sf)
-    px = fx.load(spark, sf, "fx4")
-    ind = grid.sample_long(pts, px, SPEC, "independent").select("source_row", "variable", F.col("value").alias("iv"))
-    shr = grid.sample_long(pts, px, SPEC, "shared_phy").select("source_row", "variable", F.col("value").alias("sv"))
+    """Each point's values by both conventions side by side."""
+    pts, tiles = layered_points(spark, sf), rasters(spark, sf)
+    ind = grid.sample_long(pts, None, SPEC, "independent", rasters=tiles).select("source_row", "variable", F.col("value").alias("iv"))
+    shr = grid.sample_long(pts, None, SPEC, "shared_phy", rasters=tiles).select("source_row", "variable", F.col("value").alias("sv"))
     j = ind.join(shr, ["source_row", "variable"])
     iv, sv = F.col("iv"), F.col("sv")
     return j.select("source_row", "variable", sv.alias("shared_value"), iv.alias("independent_value"),
@@ -303,11 +309,7 @@ WHERE x.vcode = w.vcode AND x.year = w.year AND x.layer = w.layer AND x.row = w.
 def neighbour_matches(spark, sf):
     """Neighbourhood check on both the physical and the independent layer of
     the biogeochemical variables, against the independently sampled value."""
-    pts = layered_points(spark, sf)
-    px = fx.load(spark, sf, "fx4")
-    stored = grid.sample_long(pts, px, SPEC, "independent", variables=["chl", "no3", "o2"])
-    both = stored.withColumn("layer", F.explode(F.array_distinct(F.array("phy_layer", "bgc_layer"))))
-    return grid.neighbour_matches(both, px)
+    return grid.neighbour_matches(layered_points(spark, sf), rasters(spark, sf))
 
 
 # --- samples --------------------------------------------------------------------------------------

@@ -46,7 +46,7 @@ def test_grid_sample_outside_keeps_zero(spark):
     pts = spark.createDataFrame([(1, 1.5, -0.5, 2000, 1, 1), (2, 5.0, -0.5, 2000, 1, 1)],
                                 "source_row long, lon double, lat double, year_final int, phy_layer int, bgc_layer int")
     spec = grid.GridSpec(c=0.0, a=1.0, f=0.0, e=-1.0)
-    w = {r.source_row: r for r in grid.sample_wide(grid.sample_long(pts, pixels, spec, hot_rows=1)).collect()}
+    w = {r.source_row: r for r in grid.sample_wide(grid.sample_long(pts, pixels, spec)).collect()}
     assert w[1].thetao == 1.0 and w[1].environment_outside_mask == 0
     assert w[2].thetao == 0.0 and w[2].environment_outside_mask == 31 and w[2].environment_invalid_mask == 0
 
@@ -180,7 +180,7 @@ def test_large_rings_by_tiles(spark):
     want = {k for k, v in enumerate(rings) if crossing(v)}
     assert want and len(want) < len(rings)
     for most in (64, 4):
-        assert {r.feature for r in polygon.crossed_rings(edges, most, hot_rows=100).collect()} == want
+        assert {r.feature for r in polygon.crossed_rings(edges, polygon.ring_sizes(edges), most).collect()} == want
 
 
 def test_cover_agrees_with_edges(spark):
@@ -261,3 +261,49 @@ def test_rasters_of_two_sizes(spark):
     assert (w[1].thetao, w[1].environment_outside_mask, w[1].environment_invalid_mask) == (0.0, 31, 0)
     assert (w[2].thetao, w[2].environment_outside_mask) == (5.0, 0)
     assert (w[3].thetao, w[3].environment_outside_mask, w[3].environment_invalid_mask) == (None, 0, 31)
+
+
+def test_tiles_of_rasters_with_their_own_transforms(spark):
+    """Values, masks and 3x3 windows against plain arrays; rasters of other sizes, transforms and nodata values."""
+    import math
+    import random
+    rng = random.Random(13)
+    specs = {}
+    for i, v in enumerate(grid.VARIABLES):
+        for layer in (1, 2):
+            specs[v, layer] = (rng.randrange(3, 60), rng.randrange(3, 60), -10.0 - i, rng.choice([0.5, 1.0, 1.25]), 8.0 + layer, rng.choice([-0.5, -1.5]),
+                               rng.choice([None, -9.0]))
+    value = {(v, la, r, c): rng.choice([None, -1.0, 0.0, 1.0, 2.0]) for (v, la), (w, h, *_) in specs.items() for r in range(h) for c in range(w)}
+    pixels = spark.createDataFrame([(v, 2000, la, r, c, x) for (v, la, r, c), x in value.items()], "variable string, year int, layer int, row int, col int, value double")
+    headers = spark.createDataFrame([(v, 2000, la, *x) for (v, la), x in specs.items()],
+                                    "variable string, year int, layer int, width int, height int, c double, a double, f double, e double, nodata double")
+    pts = [(i, rng.uniform(-14, 30), rng.uniform(-40, 12), 2000, rng.choice([1, 2]), rng.choice([1, 2])) for i in range(300)]
+    points = spark.createDataFrame(pts, "source_row long, lon double, lat double, year_final int, phy_layer int, bgc_layer int")
+
+    def cell(v, layer, x, y):
+        w, h, c, a, f, e, nodata = specs[v, layer]
+        r, k = math.floor((y - f) / e), math.floor((x - c) / a)
+        inside = 0 <= r < h and 0 <= k < w
+        return r, k, inside, value[v, layer, r, k] if inside else (0.0 if nodata is None else nodata)
+
+    for cells in (4, 16):
+        rasters = grid.prepare_rasters(pixels, headers, cells)
+        got = {r.source_row: r for r in grid.sample_tiles(points, rasters).collect()}
+        near = {tuple(r) for r in grid.neighbour_matches(points, rasters).collect()}
+        want = set()
+        for i, x, y, _, phy, bgc in pts:
+            out = bad = 0
+            for bit, v in enumerate(grid.VARIABLES):
+                layer = phy if v in grid.PHY_VARIABLES else bgc
+                _, _, inside, val = cell(v, layer, x, y)
+                assert got[i][v] == val
+                out |= (not inside) << bit
+                bad |= (val is None or val == -1) << bit
+                if v not in grid.PHY_VARIABLES and inside:
+                    for la in {phy, bgc}:
+                        r, k, *_ = cell(v, la, x, y)
+                        w, h = specs[v, la][:2]
+                        if 1 <= r <= h - 2 and 1 <= k <= w - 2:
+                            want |= {(i, v, la, dr, dc) for dr in (-1, 0, 1) for dc in (-1, 0, 1) if val is not None and value[v, la, r + dr, k + dc] == val}
+            assert (got[i].environment_outside_mask, got[i].environment_invalid_mask) == (out, bad)
+        assert near == want and near
