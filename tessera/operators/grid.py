@@ -255,19 +255,19 @@ def prepare_rasters(pixels: DataFrame, headers: DataFrame, cells: int = TILE_CEL
     cell = F.struct((F.col("row").cast("long") * F.col("width") + F.col("col")).alias("at"), F.col("value").alias("value"))
     tiles = px.groupBy(family.alias("family"), "year", "layer", "gx", "gy").agg(
         *[F.collect_list(F.when(F.col("variable") == v, cell)).alias(f"t_{v}") for v in VARIABLES])
+    # Two arrays side by side: looking up a place does not copy the cells.
+    tiles = tiles.withColumns({f"t_{v}": F.struct(F.col(f"t_{v}.at").alias("at"), F.col(f"t_{v}.value").alias("value")) for v in VARIABLES})
     return Rasters(staged(wide, "raster-heads"), staged(tiles, "raster-tiles"), staged(largest, "raster-largest"), side)
 
 
 class _Cell:
-    """Expressions on one variable of a point row that carries its header and tile."""
+    """Expressions on one variable of a point row whose cell has been located (see :func:`_located`)."""
 
-    def __init__(self, header: Column, largest: Column, tile: Column, lon: str, lat: str):
-        known = F.coalesce(header, largest)
-        self.width, self.height, self.nodata = known["width"], known["height"], known["nodata"]
-        self.row = F.floor((F.col(lat) - known["f"]) / known["e"]).cast("long")
-        self.col = F.floor((F.col(lon) - known["c"]) / known["a"]).cast("long")
-        self.inside = F.coalesce((self.row >= 0) & (self.row < self.height) & (self.col >= 0) & (self.col < self.width), F.lit(False))
-        self.tile = tile
+    def __init__(self, variable: str, prefix: str):
+        name = f"{prefix}c_{variable}"
+        self.row, self.col, self.width, self.height, self.nodata, self.inside = (
+            F.col(f"{name}.{x}") for x in ("row", "col", "width", "height", "nodata", "inside"))
+        self.tile = F.col(f"{prefix}t_{variable}")
 
     def at(self, drow: int = 0, dcol: int = 0) -> Column:
         """The value of the cell or of a neighbour; null where the raster is missing."""
@@ -278,6 +278,20 @@ class _Cell:
         return F.when(self.inside, self.at()).otherwise(F.coalesce(self.nodata, F.lit(0.0)))
 
 
+def _located(p: DataFrame, prefix: str, lon: str, lat: str) -> DataFrame:
+    """Replaces the headers of a join by the point's cell in each raster."""
+    known = {v: F.coalesce(F.col(f"{prefix}h_{v}"), F.col(f"l_{v}")) for v in VARIABLES}
+    p = p.withColumns({f"{prefix}h_{v}": k for v, k in known.items()})
+    cells = {}
+    for v in VARIABLES:
+        h = F.col(f"{prefix}h_{v}")
+        row, col = F.floor((F.col(lat) - h["f"]) / h["e"]).cast("long"), F.floor((F.col(lon) - h["c"]) / h["a"]).cast("long")
+        inside = F.coalesce((row >= 0) & (row < h["height"]) & (col >= 0) & (col < h["width"]), F.lit(False))
+        cells[f"{prefix}c_{v}"] = F.struct(row.alias("row"), col.alias("col"), h["width"].alias("width"), h["height"].alias("height"),
+                                           h["nodata"].alias("nodata"), inside.alias("inside"))
+    return p.withColumns(cells).drop(*[f"{prefix}h_{v}" for v in VARIABLES])
+
+
 def _with_tiles(points: DataFrame, rasters: Rasters, joins: dict[str, tuple[str, str]], lon: str, lat: str) -> DataFrame:
     """Points with the headers and tiles of each join: prefix -> (family, layer column).  Both are joins on (year, layer)
     and, for tiles, the square of the point; Spark broadcasts small tables and splits skewed squares."""
@@ -292,13 +306,10 @@ def _with_tiles(points: DataFrame, rasters: Rasters, joins: dict[str, tuple[str,
                              *[F.col(f"t_{v}").alias(f"{prefix}t_{v}") for v in VARIABLES])
         p = p.join(tiles, (F.col("year_final") == F.col("__y")) & (F.col(layer) == F.col("__l")) & (F.col("__gx") == F.col("__tx"))
                    & (F.col("__gy") == F.col("__ty")), "left").drop("__y", "__l", "__tx", "__ty")
+        p = _located(p, prefix, lon, lat)
     return p
 
 
-def _cell(variable: str, prefix: str, lon: str, lat: str) -> _Cell:
-    return _Cell(F.col(f"{prefix}h_{variable}"), F.col(f"l_{variable}"), F.col(f"{prefix}t_{variable}"), lon, lat)
-
-
 def _joins(mode: str) -> dict[str, tuple[str, str]]:
     bgc = "phy_layer" if mode == "shared_phy" else "bgc_layer"
     return {"p": ("phy", "phy_layer"), "b": ("bgc", bgc)}
@@ -315,7 +326,7 @@ def sample_tiles(points: DataFrame, rasters: Rasters, mode: str = "independent",
     is judged by the variable's largest grid and gets a NULL value.
     """
     p = _with_tiles(points, rasters, _joins(mode), lon, lat)
-    cells = {v: _cell(v, "p" if v in PHY_VARIABLES else "b", lon, lat) for v in VARIABLES}
+    cells = {v: _Cell(v, "p" if v in PHY_VARIABLES else "b") for v in VARIABLES}
     p = p.select("source_row", "phy_layer", "bgc_layer", *keep, *[c.value().alias(v) for v, c in cells.items()],
                  *[c.inside.alias(f"__in_{v}") for v, c in cells.items()])
 
@@ -334,7 +345,7 @@ def sample_long(points: DataFrame, pixels: DataFrame, spec: GridSpec, mode: str
     p = _with_tiles(points, rasters, _joins(mode), lon, lat)
     items = []
     for v in variables:
-        cell = _cell(v, "p" if v in PHY_VARIABLES else "b", lon, lat)
+        cell = _Cell(v, "p" if v in PHY_VARIABLES else "b")
         layer = F.col("phy_layer") if mode == "shared_phy" or v in PHY_VARIABLES else F.col("bgc_layer")
         items.append(F.struct(F.lit(v).alias("variable"), layer.alias("layer"), cell.row.alias("row"), cell.col.alias("col"),
                               F.lit(VARIABLES.index(v)).alias("bit"), cell.inside.alias("inside"), cell.value().cast("double").alias("value")))
@@ -360,9 +371,9 @@ def neighbour_matches(points: DataFrame, rasters: Rasters, variables=("chl", "no
     p = _with_tiles(points, rasters, {"b": ("bgc", "bgc_layer"), "s": ("bgc", "phy_layer")}, lon, lat)
     found = []
     for v in variables:
-        own = _cell(v, "b", lon, lat)
+        own = _Cell(v, "b")
         for prefix, layer in (("b", "bgc_layer"), ("s", "phy_layer")):
-            cell = _cell(v, prefix, lon, lat)
+            cell = _Cell(v, prefix)
             whole = (cell.row >= 1) & (cell.row <= cell.height - 2) & (cell.col >= 1) & (cell.col <= cell.width - 2)
             if prefix == "s":
                 whole &= F.col("phy_layer") != F.col("bgc_layer")
