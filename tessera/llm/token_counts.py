@@ -51,7 +51,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
-#: Chunks that a worker remembers, and the longest of them; it starts afresh beyond that.
+#: Chunks that a worker remembers, in two halves of which the older one is let go, and the longest of them.
 MEMORY, LONGEST_KEPT = 800_000, 64
 #: Bytes of text that a worker counts at a time, and counts in a stored block.
 SLICE_BYTES, BLOCK = 1 << 20, 4096
@@ -117,6 +117,7 @@ class PrefixCounter:
         self.pieces: dict[bytes, list[int]] = {}
         self.stems: dict[bytes, tuple[list, list]] = {}
         self.memory: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
         # A word and marks are two pieces, if no special token can hide in them.
         self.simple = None if any(_SIMPLE.search(x).group() == x for x in specials if _SIMPLE.search(x)) else _SIMPLE.fullmatch
 
@@ -257,9 +258,9 @@ class PrefixCounter:
 
     def batch(self, texts: list[str]) -> list[np.ndarray]:
         """For each text its counts at the prefixes of 1, 2, ... code points."""
-        memory = self.memory
-        if len(memory) > MEMORY:
-            memory.clear()
+        if len(self.memory) > MEMORY // 2:  # the chunks of late stay known for a while
+            self.earlier, self.memory = self.memory, {}
+        memory, earlier = self.memory, self.earlier
         found: list[bytes] = []
         per_text = []
         for text in texts:
@@ -268,7 +269,7 @@ class PrefixCounter:
             for c in chunks:
                 got = memory.get(c)
                 if got is None:
-                    got = self._chunk(c)
+                    got = earlier.get(c) or self._chunk(c)
                     if len(c) <= LONGEST_KEPT:
                         memory[c] = got
                 found.append(got)
@@ -284,6 +285,16 @@ class PrefixCounter:
         return [counts[a:b] - x for a, b, x in zip(char_end[:-1], char_end[1:], base, strict=True)]
 
 
+def counter_of(path: str) -> PrefixCounter:
+    """The worker's counter, made once per process: a worker serves many tasks, and what it remembers serves them all.
+    It is kept on the tokenizers module, since this one travels by value and is new in each task."""
+    import tokenizers
+    kept = tokenizers.__dict__.setdefault("_tessera_prefix_counters", {})
+    if path not in kept:
+        kept[path] = PrefixCounter(path)
+    return kept[path]
+
+
 def _by_size(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts): up to ``most`` bytes, or one longer text."""
     sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
@@ -308,7 +319,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, id_col: str = "
 
     @F.arrow_udf("struct<n_tokens:long,cut_chars:long>")
     def ask(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        counter = PrefixCounter(path)
+        counter = counter_of(path)
         for texts in parts:
             yield pa.array([{"n_tokens": int(c[-1]) if len(c) else 0, "cut_chars": fitting(c, limit)}
                             for _, some in _by_size(texts) for c in counter.batch(some)], kind)
@@ -338,7 +349,7 @@ def prefix_table(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         return out
 
     def store(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PrefixCounter(path)
+        counter = counter_of(path)
         for batch in parts:
             ids, texts = batch.column("doc_id"), batch.column("t")
             for a, some in _by_size(texts):  # small batches out: counts take more room than text
