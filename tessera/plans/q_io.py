@@ -7,10 +7,13 @@ what was stored."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import classify, route as rt
+from ..operators import classify, reconcile, route as rt
 from ..operators.identity import assign_source_row
 from ..session import scratch_path
 from ..sources import fixtures as fx, io
@@ -18,6 +21,7 @@ from ..sources.csv_rows import read_csv_rows
 from ..sources.fixtures import FX1_COLUMNS, with_fixtures
 from ..streaming import incremental
 from .q_clean import DEPTH_SQL, KEYS, KQ, _coord_sql
+from .q_reconcile import sig_names, sig_sql
 from .registry import query
 
 
@@ -137,19 +141,71 @@ def file_fingerprint(spark, sf):
     return io.file_fingerprints(spark, sf, "*.parquet")
 
 
-@query("fingerprint_mismatch")
+# Files of 64 documents each; a stored listing of some, and a later state of others, in which some texts changed.
+FILE_RANGE = 1 << 14
+_HEX = "sha256(content[{r} * i + 1 : {r} * (i + 1)])".format(r=FILE_RANGE)
+_FILES_SQL = f"""WITH docs AS (SELECT doc_id, doc_id // 64 AS part, coalesce(text, '') AS text FROM documents),
+  lines AS (SELECT doc_id, part, false AS later, text FROM docs WHERE part % 7 <> 3
+    UNION ALL SELECT doc_id, part, true, CASE WHEN part % 5 = 1 AND doc_id % 64 = 63 THEN text || '.' ELSE text END FROM docs WHERE part % 11 <> 5),
+  files AS (SELECT part, later, encode(string_agg(text, chr(10) ORDER BY doc_id) || chr(10)) AS content FROM lines GROUP BY 1, 2),
+  pieces AS (SELECT part, later, i, {_HEX} AS digest FROM
+    (SELECT *, unnest(range(0, greatest(1, (octet_length(content) + {FILE_RANGE - 1}) // {FILE_RANGE}))) AS i FROM files)),
+  digests AS (SELECT part, later, count(*) AS ranges,
+    CASE WHEN count(*) = 1 THEN min(digest) ELSE sha256(string_agg(digest, '' ORDER BY i)) END AS sha256 FROM pieces GROUP BY 1, 2)"""
+
+
+def _write_text_files(spark, sf, later: bool) -> str:
+    """One text file per 64 neighbouring documents, its lines in the order of their ids."""
+    docs = fx.table(spark, sf, "documents").select("doc_id", F.floor(F.col("doc_id") / 64).alias("part"),
+                                                   F.coalesce("text", F.lit("")).alias("text"))
+    if later:
+        text = F.when((F.col("part") % 5 == 1) & (F.col("doc_id") % 64 == 63), F.concat("text", F.lit("."))).otherwise(F.col("text"))
+        docs = docs.where(F.col("part") % 11 != 5).withColumn("text", text)
+    else:
+        docs = docs.where(F.col("part") % 7 != 3)
+    path = scratch_path(spark, "text_files")
+    (docs.repartition("part").sortWithinPartitions("part", "doc_id").select("part", F.col("text").alias("value"))
+     .write.partitionBy("part").text(path))
+    return path
+
+
+def _part_digests(spark, path):
+    """Digests by the part in the folder's name; the files' own names differ from write to write."""
+    return (io.file_digests(spark, path, "*.txt", FILE_RANGE)
+            .withColumn("part", F.regexp_extract("path", r"part=(\d+)/", 1).cast("long")))
+
+
+@query("file_range_digest", f"{_FILES_SQL} SELECT part, ranges, sha256 FROM digests WHERE later")
+def file_range_digest(spark, sf):
+    """Digests of files of several byte ranges each."""
+    return _part_digests(spark, _write_text_files(spark, sf, later=True)).select("part", "ranges", "sha256")
+
+
+@query("fingerprint_mismatch", f"""{_FILES_SQL} SELECT part, a.sha256 AS stored_sha256, b.sha256 AS sha256,
+  CASE WHEN b.part IS NULL THEN 'missing' WHEN a.part IS NULL THEN 'new' WHEN a.sha256 = b.sha256 THEN 'ok' ELSE 'changed' END AS status
+FROM (FROM digests WHERE NOT later) a FULL JOIN (FROM digests WHERE later) b USING (part)""")
 def fingerprint_mismatch(spark, sf):
-    """Store the inventory, recompute it, and list every file with its status."""
-    path = scratch_path(spark, "inventory")
-    io.write_parquet(io.file_fingerprints(spark, sf, "*.parquet"), path)
-    stored = spark.read.parquet(path).select("file_name", F.col("sha256").alias("stored_sha256"),
-                                             F.col("bytes").alias("stored_bytes"))
-    now = io.file_fingerprints(spark, sf, "*.parquet").select("file_name", "sha256", "bytes")
-    j = stored.join(now, "file_name", "full")
-    status = (F.when(F.col("sha256").isNull(), "missing").when(F.col("stored_sha256").isNull(), "new")
-              .when((F.col("sha256") != F.col("stored_sha256")) | (F.col("bytes") != F.col("stored_bytes")), "changed")
-              .otherwise("ok"))
-    return j.select("file_name", "stored_sha256", "sha256", status.alias("status"))
+    """A stored listing against the files' later state: every file with its status."""
+    listing = scratch_path(spark, "inventory")
+    io.write_parquet(_part_digests(spark, _write_text_files(spark, sf, later=False)), listing)
+    now = _part_digests(spark, _write_text_files(spark, sf, later=True))
+    return io.file_changes(spark.read.parquet(listing), now, "part")
+
+
+#: Tables and a whole-number column whose bounds their footers state.
+FOOTER_COLUMNS = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey",
+                  "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id", "pages": "page_id"}
+
+
+@query("footer_counts", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows, min({c})::BIGINT AS smallest, max({c})::BIGINT AS largest FROM {t}"
+    for t, c in FOOTER_COLUMNS.items()))
+def footer_counts(spark, sf):
+    """Rows and key bounds of the tables, from Parquet footers only."""
+    parts = [io.footer_stats(spark, f"{sf}/{t}.parquet", [c])
+             .select(F.lit(t).alias("table_name"), "rows", F.col(f"min_{c}").cast("long").alias("smallest"), F.col(f"max_{c}").cast("long").alias("largest"))
+             for t, c in FOOTER_COLUMNS.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("table_fingerprint")
@@ -196,6 +252,27 @@ def incremental_multiset(spark, sf):
     return spark.read.parquet(out)
 
 
+def _signature_arrivals(spark, sf, run):
+    """FX1 in four arrivals, the later ones smaller; ``run`` after the second and the fourth."""
+    src = fx.load(spark, sf, "fx1")
+    landing = scratch_path(spark, "signature_landing")
+    for k in range(4):
+        src.where(F.least(F.lit(3), F.floor(F.col("source_row") % 16 / 4)) == k).write.mode("append").parquet(landing)
+        if k in (1, 3):
+            run(landing, src.schema)
+
+
+@query("incremental_signatures", with_fixtures(["fx1"], f""" SELECT {', '.join(sig_names('relaxed'))}, count(*) AS n
+FROM (SELECT {', '.join(sig_sql('relaxed'))} FROM fx1) t GROUP BY ALL"""))
+def incremental_signatures(spark, sf):
+    """Signature multiset of arriving parts; each run writes the signatures that it met."""
+    out, ck = scratch_path(spark, "signatures_out"), scratch_path(spark, "signatures_ckpt")
+    keys = sig_names("relaxed")
+    _signature_arrivals(spark, sf, lambda src, schema: incremental.incremental_changes(
+        spark, src, schema, out, ck, lambda d: d.select(*reconcile.signature_columns(KEYS, "relaxed")), keys))
+    return incremental.current_totals(spark, out, keys)
+
+
 @query("stage_write_metrics", with_fixtures(["fx1", "fx2"], f""", {DEPTH_SQL}
 SELECT count(*) AS input_rows, count(*) FILTER (WHERE route = 'accepted') AS accepted_rows,
   count(*) FILTER (WHERE route = 'review') AS review_rows, count(*) FILTER (WHERE route = 'excluded') AS excluded_rows,

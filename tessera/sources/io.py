@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .csv_rows import read_csv_rows
+from .digests import RANGE_BYTES, file_changes, file_digests  # noqa: F401
 
 CSV_READ = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "mode": "FAILFAST",
             "enforceSchema": "false",  # a file whose header differs from the schema is an error, never read by position
@@ -123,13 +124,32 @@ def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFr
                      F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
 
 
-def file_fingerprints(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """SHA-256, size and mtime per file.  Each file is one row, so this is
-    for files that fit in a row (inputs are part files); for whole tables
-    use :func:`table_fingerprint`."""
-    df = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return df.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), F.col("length").alias("bytes"),
-                     F.col("modificationTime").alias("modified"), F.sha2(F.col("content"), 256).alias("sha256"))
+def file_fingerprints(spark: SparkSession, path: str, pattern: str = "*", range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """SHA-256, size and mtime per file, read in byte ranges (see :mod:`.digests`)."""
+    return file_digests(spark, path, pattern, range_bytes).select("file_name", "bytes", "modified", "sha256")
+
+
+#: Types whose smallest and largest value a Parquet footer states exactly.
+FOOTER_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType)
+
+
+def footer_stats(spark: SparkSession, path: str | list[str], columns: list[str] = ()) -> DataFrame:
+    """One row: ``rows`` and, per named column, ``min_<column>`` and ``max_<column>``, from the
+    footers of Parquet files alone (no column is read).
+
+    The count is pushed into the Parquet source, which only its newer reader does;
+    the frame belongs to a session of its own, so the caller's settings stay.  Files
+    of a folder must have one schema; a column without a footer bound (text, floats) is refused.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    df = own.read.parquet(*([path] if isinstance(path, str) else path))
+    unbounded = [c for c in columns if not isinstance(df.schema[c].dataType, FOOTER_TYPES)]
+    if unbounded:
+        raise ValueError(f"no exact footer bounds for {unbounded}")
+    bounds = [f(c).alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))]
+    return df.agg(F.count(F.lit(1)).alias("rows"), *bounds)
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
