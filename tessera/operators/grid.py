@@ -352,6 +352,15 @@ def sample_long(points: DataFrame, pixels: DataFrame, spec: GridSpec, mode: str
     return p.select(*[F.col(c).alias("year" if c == "year_final" else c) for c in points.columns], F.inline(F.array(*items)))
 
 
+def convention_matches(values: DataFrame) -> DataFrame:
+    """Per (source_row, variable): whether the two conventions' values differ (only then does a match tell them apart)
+    and which of them the stored value equals.  A NULL matches nothing."""
+    shared, own, stored = F.col("shared_value"), F.col("independent_value"), F.col("stored")
+    no = F.lit(False)
+    return values.select("source_row", "variable", shared, own, stored, F.coalesce(shared != own, no).alias("discriminating"),
+                         F.coalesce(shared == stored, no).alias("shared_match"), F.coalesce(own == stored, no).alias("independent_match"))
+
+
 def sample_wide(long: DataFrame, variables=VARIABLES) -> DataFrame:
     """Pivot per-variable values back to one row per point with the masks."""
     aggs = [F.max(F.when(F.col("variable") == v, F.col("value"))).alias(v) for v in variables]

@@ -15,7 +15,7 @@ from .q_clean import DEPTH_SQL, YEAR_SQL, _coord_sql
 from .registry import query
 
 SPEC = grid.GridSpec()
-YEARS, LAYERS = (1995, 2001), (1, 50)
+YEARS = (1995, 2001)
 VARS = grid.VARIABLES
 _FILE_RE = grid.FILE_PATTERN
 
@@ -63,7 +63,8 @@ ENV_SQL = f"""{DEPTH_SQL}, {YEAR_SQL}, {_coord_sql('fx1')},
   lay AS (SELECT c.source_row, min(c.layer) FILTER (WHERE c.dp = n.mdp) AS phy_layer,
     min(c.layer) FILTER (WHERE c.db = n.mdb) AS bgc_layer FROM cand c JOIN np n ON c.source_row = n.source_row GROUP BY 1),
   pts AS (SELECT p.*, l.phy_layer, l.bgc_layer FROM env_points p JOIN lay l ON p.source_row = l.source_row),
-  sizes AS (SELECT variable, max(col) + 1 AS width, max(row) + 1 AS height FROM fx4 GROUP BY 1),
+  grids AS (SELECT variable, year, layer, max(col) + 1 AS width, max(row) + 1 AS height FROM fx4 GROUP BY 1, 2, 3),
+  largest AS (SELECT variable, max(width) AS width, max(height) AS height FROM grids GROUP BY 1),
   vars(variable, bit) AS (VALUES {', '.join(f"('{v}', {i})" for i, v in enumerate(VARS))})"""
 
 
@@ -72,9 +73,11 @@ def _sampled_sql(mode, name):
              "CASE WHEN v.variable IN ('thetao', 'so') THEN p.phy_layer ELSE p.bgc_layer END")
     return f"""{name}_pv AS (SELECT p.source_row, p.species_key, p.phy_layer, p.bgc_layer, v.variable, v.bit,
     p.year_final AS year, {layer} AS layer,
-    floor((p.lat - ({SPEC.f})) / ({SPEC.e}))::BIGINT AS row, floor((p.lon - ({SPEC.c})) / ({SPEC.a}))::BIGINT AS col,
-    s.width, s.height FROM pts p CROSS JOIN vars v LEFT JOIN sizes s ON s.variable = v.variable),
-  {name}_pv2 AS (SELECT *, coalesce(row >= 0 AND row < height AND col >= 0 AND col < width, false) AS inside FROM {name}_pv),
+    floor((p.lat - ({SPEC.f})) / ({SPEC.e}))::BIGINT AS row, floor((p.lon - ({SPEC.c})) / ({SPEC.a}))::BIGINT AS col
+    FROM pts p CROSS JOIN vars v),
+  {name}_pv2 AS (SELECT q.*, coalesce(row >= 0 AND row < coalesce(g.height, s.height) AND col >= 0 AND col < coalesce(g.width, s.width), false) AS inside
+    FROM {name}_pv q LEFT JOIN grids g ON g.variable = q.variable AND g.year = q.year AND g.layer = q.layer
+    LEFT JOIN largest s ON s.variable = q.variable),
   {name} AS (SELECT q.*, CASE WHEN inside THEN x.value ELSE 0.0 END AS value FROM {name}_pv2 q LEFT JOIN fx4 x
     ON x.variable = q.variable AND x.year = q.year AND x.layer = q.layer AND x.row = q.row AND x.col = q.col)"""
 
@@ -112,13 +115,13 @@ def raster_catalog(spark, sf):
     return catalog_plan(spark, sf)
 
 
-@query("missing_grid_keys", with_fixtures(["fx4_files"], f""", {CATALOG_SQL},
-  exp AS (SELECT f.folder AS variable, y.range::INTEGER AS year, l.range::INTEGER AS layer
-    FROM (SELECT DISTINCT folder FROM fx4_files) f, range({YEARS[0]}, {YEARS[1] + 1}) y, range({LAYERS[0]}, {LAYERS[1] + 1}) l)
+@query("missing_grid_keys", with_fixtures(["fx3", "fx4_files"], f""", {CATALOG_SQL},
+  exp AS (SELECT f.folder AS variable, y.range::INTEGER AS year, l.layer FROM (SELECT DISTINCT folder FROM fx4_files) f, range({YEARS[0]}, {YEARS[1] + 1}) y, fx3 l)
 SELECT * FROM exp e WHERE NOT EXISTS (SELECT 1 FROM catalog2 c WHERE c.recognized AND c.variable = e.variable
   AND c.year = e.year AND c.layer = e.layer)"""))
 def missing_grid_keys(spark, sf):
-    return grid.missing_grid_keys(catalog_plan(spark, sf), YEARS, LAYERS)
+    layers = fx.load(spark, sf, "fx3").agg(F.min("layer"), F.max("layer")).first()
+    return grid.missing_grid_keys(catalog_plan(spark, sf), YEARS, tuple(layers))
 
 
 @query("varying_depths", with_fixtures(["fx4_files"], f""", {CATALOG_SQL}
@@ -128,6 +131,13 @@ def varying_depths(spark, sf):
     return grid.varying_depths(catalog_plan(spark, sf))
 
 
+@query("duplicate_grid_keys", with_fixtures(["fx4_files"], f""", {CATALOG_SQL}
+SELECT variable, year, layer, count(*) AS files FROM catalog2 WHERE recognized GROUP BY 1, 2, 3 HAVING count(*) > 1"""))
+def duplicate_grid_keys(spark, sf):
+    """Rasters that several files claim to hold."""
+    return grid.duplicate_keys(catalog_plan(spark, sf))
+
+
 HEAD_SQL = """headers AS (SELECT variable, year, layer, max(col) + 1 AS width, max(row) + 1 AS height,
     count(*) AS cells, count(*) FILTER (WHERE value IS NULL) AS nodata_cells FROM fx4 GROUP BY 1, 2, 3)"""
 
@@ -242,26 +252,24 @@ def environment_route(spark, sf):
 
 # --- two depth conventions ------------------------------------------------------------------------
 
+# The stored values: a third by the shared layer, the others by their own, some with another number.
 MODES_SQL = f"""{ENV_SQL}, {_sampled_sql('independent', 'ind')}, {_sampled_sql('shared_phy', 'shr')},
-  detail AS (SELECT i.source_row, i.variable, s.value AS shared_value, i.value AS independent_value, i.value AS stored,
-    (s.value IS NOT NULL AND i.value IS NOT NULL AND s.value <> i.value) AS discriminating,
-    coalesce(s.value IS NOT NULL AND i.value = s.value, false) AS shared_match,
-    coalesce(i.value IS NOT NULL AND i.value = i.value, false) AS independent_match
-    FROM ind i JOIN shr s ON i.source_row = s.source_row AND i.variable = s.variable)"""
+  both_ways AS (SELECT i.source_row, i.variable, s.value AS shared_value, i.value AS independent_value,
+    CASE WHEN i.source_row % 31 = 0 THEN i.value + 100 WHEN i.source_row % 3 = 0 THEN s.value ELSE i.value END AS stored
+    FROM ind i JOIN shr s ON i.source_row = s.source_row AND i.variable = s.variable),
+  detail AS (SELECT *, coalesce(shared_value <> independent_value, false) AS discriminating,
+    coalesce(shared_value = stored, false) AS shared_match, coalesce(independent_value = stored, false) AS independent_match FROM both_ways)"""
 
 
 def modes_plan(spark, sf):
-    """Each point's values by both conventions side by side."""
+    """Each point's values by both conventions against the values stored earlier."""
     pts, tiles = layered_points(spark, sf), rasters(spark, sf)
-    ind = grid.sample_long(pts, None, SPEC, "independent", rasters=tiles).select("source_row", "variable", F.col("value").alias("iv"))
-    shr = grid.sample_long(pts, None, SPEC, "shared_phy", rasters=tiles).select("source_row", "variable", F.col("value").alias("sv"))
-    j = ind.join(shr, ["source_row", "variable"])
-    iv, sv = F.col("iv"), F.col("sv")
-    return j.select("source_row", "variable", sv.alias("shared_value"), iv.alias("independent_value"),
-                    iv.alias("stored"),
-                    (sv.isNotNull() & iv.isNotNull() & (sv != iv)).alias("discriminating"),
-                    F.coalesce(sv.isNotNull() & (iv == sv), F.lit(False)).alias("shared_match"),
-                    F.coalesce(iv.isNotNull() & (iv == iv), F.lit(False)).alias("independent_match"))
+    ind = grid.sample_long(pts, None, SPEC, "independent", rasters=tiles).select("source_row", "variable", F.col("value").alias("independent_value"))
+    shr = grid.sample_long(pts, None, SPEC, "shared_phy", rasters=tiles).select("source_row", "variable", F.col("value").alias("shared_value"))
+    row = F.col("source_row")
+    stored = (F.when(row % 31 == 0, F.col("independent_value") + 100).when(row % 3 == 0, F.col("shared_value"))
+              .otherwise(F.col("independent_value")))
+    return grid.convention_matches(ind.join(shr, ["source_row", "variable"]).withColumn("stored", stored))
 
 
 @query("mode_comparison_detail", with_fixtures(ALL_FX, f", {MODES_SQL} SELECT * FROM detail"))
@@ -289,15 +297,18 @@ _VLIST = "['thetao', 'so', 'chl', 'no3', 'o2']"
 # reliable for this many joins on the derived variable names.
 NEIGHBOUR_SQL = f""", {ENV_SQL},
   pxi AS (SELECT list_position({_VLIST}, variable) AS vcode, year, layer, row, col, value FROM fx4),
-  sizes_i AS (SELECT vcode, max(col) + 1 AS width, max(row) + 1 AS height FROM pxi GROUP BY 1),
+  grids_i AS (SELECT vcode, year, layer, max(col) + 1 AS width, max(row) + 1 AS height FROM pxi GROUP BY 1, 2, 3),
+  largest_i AS (SELECT vcode, max(width) AS width, max(height) AS height FROM grids_i GROUP BY 1),
   cells AS (SELECT p.source_row, v.vcode, p.year_final AS year, p.phy_layer, p.bgc_layer,
     floor((p.lat - ({SPEC.f})) / ({SPEC.e}))::BIGINT AS row, floor((p.lon - ({SPEC.c})) / ({SPEC.a}))::BIGINT AS col
     FROM pts p, (SELECT unnest([3, 4, 5]) AS vcode) v),
-  stored AS (SELECT c.*, x.value AS stored FROM cells c JOIN sizes_i s ON s.vcode = c.vcode
-    LEFT JOIN pxi x ON x.vcode = c.vcode AND x.year = c.year AND x.layer = c.bgc_layer AND x.row = c.row AND x.col = c.col
-    WHERE c.row >= 1 AND c.row <= s.height - 2 AND c.col >= 1 AND c.col <= s.width - 2),
-  lays AS (SELECT source_row, vcode, year, phy_layer AS layer, row, col, stored FROM stored
+  stored AS (SELECT c.*, x.value AS stored FROM cells c
+    JOIN pxi x ON x.vcode = c.vcode AND x.year = c.year AND x.layer = c.bgc_layer AND x.row = c.row AND x.col = c.col),
+  both_layers AS (SELECT source_row, vcode, year, phy_layer AS layer, row, col, stored FROM stored
     UNION ALL SELECT source_row, vcode, year, bgc_layer AS layer, row, col, stored FROM stored),
+  lays AS (SELECT b.* FROM both_layers b JOIN largest_i s ON s.vcode = b.vcode
+    LEFT JOIN grids_i g ON g.vcode = b.vcode AND g.year = b.year AND g.layer = b.layer
+    WHERE row >= 1 AND row <= coalesce(g.height, s.height) - 2 AND col >= 1 AND col <= coalesce(g.width, s.width) - 2),
   offs AS (SELECT a.dr, b.dc FROM (SELECT unnest([-1, 0, 1]) AS dr) a, (SELECT unnest([-1, 0, 1]) AS dc) b)
 SELECT DISTINCT w.source_row, {_VLIST}[w.vcode] AS variable, w.layer, o.dr AS drow, o.dc AS dcol
 FROM lays w, offs o, pxi x

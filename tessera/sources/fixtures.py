@@ -82,38 +82,40 @@ SELECT c_custkey + 1 + 1000000 AS row_no, {_FX2_NAME} AS sci_name, {_FX2_UP} AS
 FROM customer WHERE c_custkey % 5 <> 4 AND c_custkey % 17 = 0
 """
 
-_FX3 = """
-SELECT cast(p_partkey as int) AS layer,
-  cast(p_partkey * p_partkey * 2 as double) AS phy_depth,
-  cast(p_partkey * p_partkey * 2 + (p_partkey % 3) * 8 as double) AS bgc_depth
-FROM part WHERE p_partkey between 1 and 50
-"""
+# Layers from all parts, 57 neighbouring ones each; their depths are uneven and in no order.
+_LAYER = "cast(floor({key} / 57.0) as int) + 1"
+_LAYER_DEPTH = "((layer * 1871) % 6007)"
 
-_FX4 = """
-SELECT case d.p_partkey when 0 then 'thetao' when 1 then 'so' when 2 then 'chl'
-         when 3 then 'no3' else 'o2' end AS variable,
-  cast(1995 + c.p_partkey as int) AS year,
-  cast(a.p_partkey as int) AS layer,
-  cast(floor(b.p_partkey / 10.0) as int) AS row,
-  cast(b.p_partkey % 10 as int) AS col,
-  case when (a.p_partkey + b.p_partkey * 3 + c.p_partkey) % 97 = 0 then null
-       else cast((b.p_partkey * 7 + a.p_partkey + c.p_partkey + d.p_partkey * 11) % 40 - 1 as double)
-  end AS value
-FROM part a JOIN part b ON b.p_partkey < 80 JOIN part c ON c.p_partkey < 7
-  JOIN part d ON d.p_partkey < 5
-WHERE a.p_partkey between 1 and 50
+_FX3 = f"""
+SELECT layer, cast({_LAYER_DEPTH} as double) AS phy_depth, cast({_LAYER_DEPTH} + (layer % 3) * 8 as double) AS bgc_depth
+FROM (SELECT DISTINCT {_LAYER.format(key='p_partkey')} AS layer FROM part) k
 """
 
-# Raster file names of the catalog operators: one per (variable, year, layer) of
-# FX4 minus the keys with (year * 50 + layer) % 61 = 0, plus one unrecognised
-# name per variable.
-_FX4_FILES = """
+# Pixels from all line items: every cell that has some, in each variable.  Every 17th layer lacks
+# the last column, so its rasters are narrower.
+_FX4_VARIABLES = ("thetao", "so", "chl", "no3", "o2")
+_FX4_CELLS = f"""SELECT cast(year(l_shipdate) as int) AS year, {_LAYER.format(key='l_partkey')} AS layer,
+    cast(l_suppkey % 8 as int) AS row, cast(l_orderkey % 10 as int) AS col, sum(l_orderkey * 3 + l_linenumber) AS total
+  FROM lineitem GROUP BY 1, 2, 3, 4"""
+_FX4 = " UNION ALL ".join(f"""
+SELECT '{v}' AS variable, year, layer, row, col,
+  case when (total + layer) % 97 = 0 then null else cast((total + {i * 11}) % 40 - 1 as double) end AS value
+FROM ({_FX4_CELLS}) c WHERE layer % 17 <> 3 OR col < 9""" for i, v in enumerate(_FX4_VARIABLES))
+
+# Raster file names of the catalog operators: one per (variable, year, layer) of FX4 minus the keys
+# with (year * 50 + layer) % 61 = 0; some state another depth than the layer's other years, some
+# rasters have a second file, and there is one unrecognised name per variable.
+_FX4_FILES = f"""
 SELECT variable || '_' || cast(year as string) || '_L' || cast(layer as string) || '_'
-       || cast(cast(layer * layer * 2 as bigint) as string) || 'm.tif' AS file_name,
+       || cast(cast({_LAYER_DEPTH} + case when (year * 50 + layer) % 59 = 7 then 1 else 0 end as bigint) as string) || 'm.tif' AS file_name,
        variable AS folder
 FROM (SELECT DISTINCT variable, year, layer FROM fx4) k
 WHERE (year * 50 + layer) % 61 <> 0
 UNION ALL
+SELECT variable || '_' || cast(year as string) || '_L' || cast(layer as string) || '_'
+       || cast(cast({_LAYER_DEPTH} as bigint) as string) || '.0m.tif' AS file_name, variable AS folder
+FROM (SELECT DISTINCT variable, year, layer FROM fx4) k WHERE (year * 50 + layer) % 23 = 5
+UNION ALL
 SELECT 'notes.tif' AS file_name, variable AS folder FROM (SELECT DISTINCT variable FROM fx4) v
 """
 
@@ -252,7 +254,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     production input -- instead of the fixture's CASE expressions.
     """
     from ..session import materialize
-    register_tables(spark, sf_dir, ("orders", "customer", "part"))
+    register_tables(spark, sf_dir, ("orders", "customer", "part", "lineitem"))
     df = None
     for n in _closure([name]):
         key = (_session_key(spark), sf_dir, n)
