@@ -1,13 +1,17 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-Documents arrive in batches of descending id.  A batch's line hashes are
-merge-anti-joined with the owners in the runs so far: keys not seen before
-enter with their keeper (the largest document of the batch that holds them, and
-so the largest of all), keys seen before enter as a count only.  Both form the
-batch's own run, sorted by hash.  When a level holds ``fan_in`` runs they are
-compacted into one run of the next level, so a key is rewritten at most once
-per level and few runs are open at any time.  After the last batch the runs
-give every key's number of documents and keeper.
+Documents arrive in batches; a document, by the hash of its id, lies wholly in
+one.  A batch's line hashes are merge-anti-joined with the owners in the runs so
+far: keys not seen before enter as owners, keys seen before enter as a count and
+their largest document.  Both form the batch's own run, sorted by hash.  When a
+level holds ``fan_in`` runs they are compacted into one run of the next level, so
+a key is rewritten at most once per level and few runs are open at any time.
+After the last batch the runs give every key's number of documents and keeper,
+the largest of them.
+
+The number of batches follows from the number of lines (``LINES_PER_BATCH``),
+within ``LEAST_BATCHES`` and ``SLOTS``; lines are written by slot, so a batch reads
+its own files only.  Ids may be of any type that has an order.
 
 Hashes have 128 bits.  A hot line is one row per task before the shuffle
 (map-side combining), and one row in the runs.  Only DataFrame functions are
@@ -23,10 +27,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .common import WS, ascii_lower, stage_table, text_of
 
 LEAST_CHARS, LEAST_DOCS = 20, 3
-BATCHES, FAN_IN = 4, 2
+LEAST_BATCHES, SLOTS, FAN_IN = 4, 16, 2
+LINES_PER_BATCH = 1_000_000_000
 
 
 def line_key(line: Column) -> Column:
@@ -35,12 +41,19 @@ def line_key(line: Column) -> Column:
 
 
 def hashed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS) -> DataFrame:
-    """(doc_id, row_hash, pos, key) for every line whose key is long enough."""
+    """(doc_id, row_hash, pos, key, slot) for every line whose key is long enough."""
     text = text_of(text_col)
     keyed = F.transform(F.split(ascii_lower(text), "\n", -1),
                         lambda x: F.when(F.char_length(line_key(x)) >= least_chars, F.unhex(F.md5(line_key(x)))))
     return (docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("row_hash"), F.posexplode(keyed).alias("pos", "key"))
-            .where(F.col("key").isNotNull()))
+            .where(F.col("key").isNotNull()).withColumn("slot", F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("int")))
+
+
+def staged_lines(lines: DataFrame) -> DataFrame:
+    """The lines written by slot: a filter on slots reads their files alone."""
+    path = scratch_path(lines.sparkSession, "lines")
+    lines.write.partitionBy("slot").parquet(path)
+    return lines.sparkSession.read.schema(lines.schema).parquet(path)
 
 
 def run_of(lines: DataFrame) -> DataFrame:
@@ -65,8 +78,7 @@ class Runs:
         if self.all():
             owners = self._union(self.all()).where("owner").select("key").hint("merge")
             new = batch.join(owners, "key", "left_anti")
-            seen = batch.join(owners, "key", "left_semi").select("key", "n", F.lit(None).cast(batch.schema["last"].dataType).alias("keeper"),
-                                                                 F.lit(False).alias("owner"))
+            seen = batch.join(owners, "key", "left_semi").select("key", "n", F.col("last").alias("keeper"), F.lit(False).alias("owner"))
         run = new.select("key", "n", F.col("last").alias("keeper"), F.lit(True).alias("owner"))
         self._push(0, run if seen is None else run.unionByName(seen))
 
@@ -91,24 +103,19 @@ class Runs:
             F.sum("n").alias("n"), F.max("keeper").alias("keeper"), F.max("owner").alias("owner"))
 
 
-def frequent_lines(lines: DataFrame, batches: int = BATCHES, least_docs: int = LEAST_DOCS, fan_in: int = FAN_IN) -> DataFrame:
-    """(key, keeper) of the keys found in at least ``least_docs`` documents.  ``lines`` should be a staged table."""
-    low, high = lines.agg(F.min("doc_id"), F.max("doc_id")).first()
+def frequent_lines(lines: DataFrame, batches: int | None = None, least_docs: int = LEAST_DOCS, fan_in: int = FAN_IN) -> DataFrame:
+    """(key, keeper) of the keys found in at least ``least_docs`` documents.  ``lines`` should be staged by slot."""
+    batches = min(SLOTS, batches or max(LEAST_BATCHES, -(-lines.count() // LINES_PER_BATCH)))
     runs = Runs(fan_in)
-    if low is None:
-        runs.add(run_of(lines))
-    else:
-        step = (high - low) // batches + 1
-        for i in reversed(range(batches)):
-            here = F.col("doc_id").between(low + i * step, low + (i + 1) * step - 1)
-            runs.add(run_of(lines.where(here if i else here | F.col("doc_id").isNull())))
+    for i in range(batches):
+        runs.add(run_of(lines.where(F.col("slot").isin(list(range(i, SLOTS, batches))))))
     return runs.merged().where(F.col("n") >= least_docs).select("key", "keeper")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_chars: int = LEAST_CHARS,
-          least_docs: int = LEAST_DOCS, batches: int = BATCHES) -> DataFrame:
+          least_docs: int = LEAST_DOCS, batches: int | None = None) -> DataFrame:
     """One row per input row: doc_id, n_lines, n_dropped, kept_text."""
-    lines = stage_table(hashed_lines(docs, id_col, text_col, least_chars), "lines")
+    lines = staged_lines(hashed_lines(docs, id_col, text_col, least_chars))
     drop = stage_table(frequent_lines(lines, batches, least_docs).toDF("d_key", "keeper"), "frequent-lines")
     # A hot line is a large partition of this join, which AQE splits.
     gone = (lines.join(drop, (F.col("key") == F.col("d_key")) & ~F.col("doc_id").eqNullSafe(F.col("keeper")))
