@@ -1,16 +1,19 @@
 """Quality rules with risk-controlled thresholds.
 
 Base statistics of each text feed a few signals (symbol share, repeats, ...).
-For every stratum (language), signal and cutoff of a fixed grid, the labelled
-good documents are a holdout: of n good ones the cutoff rejects k.  The cutoffs of
-a signal are tested from the mildest to the strictest up to the first that fails
-(fixed sequence: no correction among them): one passes if the exact binomial tail
-P[Bin(n, risk) <= k] is at most DELTA / (strata x signals), where the risk per
-signal is RISK / number of signals.  With probability 1 - DELTA the certified
-cutoffs together reject at most RISK of the good documents of each stratum.  Among
-certified cutoffs the one that separates best is used: the largest share of the bad
-documents less the share of the good ones, if above zero, however rare bad
-documents are; a stratum with too few labels gets none and keeps its documents.
+A rule of one level rejects a text if any signal is above its cutoff of that
+level; the levels tighten all signals together, from the mildest to the
+strictest.  For every stratum (language) and level the labelled good documents
+are a holdout: of n good ones the rule rejects k.  The levels of a stratum are
+tested from the mildest on, up to the first that fails (fixed sequence: no
+correction among them): one passes if the exact binomial tail
+P[Bin(n, RISK) <= k] is at most DELTA / strata.  With probability 1 - DELTA the
+rule of every stratum rejects at most RISK of its good documents.  About
+ln(strata / DELTA) / RISK good labels (86 for four strata) are enough for a rule that
+rejects none of them.  Among certified levels the one that separates best is used: the
+largest share of the bad documents less the share of the good ones, if above
+zero, however rare bad documents are; of equal ones the mildest.  A stratum with
+too few labels gets no rule and keeps its documents.
 
 All labelled documents are used.  Only DataFrame functions are used.
 
@@ -96,24 +99,36 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return F.when((n > 0) & (k < n * p), F.exp(first) * total).otherwise(F.lit(1.0))
 
 
+LEVELS = len(SIGNALS["symbols"][2])
+
+
+def above_level(level: int) -> Column:
+    """Whether any signal is above its cutoff; level 0 is the mildest."""
+    over = None
+    for name, (_, _, grid) in SIGNALS.items():
+        hit = signal(name) > grid[LEVELS - 1 - level]
+        over = hit if over is None else over | hit
+    return over
+
+
 def cutoffs(labelled: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """(stratum, <signal>...): the certified cutoff per signal, null if none.
+    """(stratum, level, max_<signal>...): the cutoffs of each stratum that has a certified level.
     ``labelled``: lang, good (boolean) and the statistics, of documents that pass the base rule."""
-    # One row per stratum: counts of good and bad documents above each cutoff.
-    above = [F.struct(F.lit(name).alias("signal"), F.lit(c).alias("cutoff"), F.sum(F.when(F.col("good") & (signal(name) > c), 1).otherwise(0)).alias("k"),
-                      F.sum(F.when(~F.col("good") & (signal(name) > c), 1).otherwise(0)).alias("caught"))
-             for name, (_, _, grid) in SIGNALS.items() for c in grid]
-    per = labelled.groupBy(F.col("lang").alias("stratum")).agg(F.sum(F.col("good").cast("long")).alias("n"), F.count(F.when(~F.col("good"), 1)).alias("bad"), F.array(*above).alias("tests"))
+    rows = labelled.select("lang", "good", *[above_level(i).alias(f"above{i}") for i in range(LEVELS)])
+    # One row per stratum: counts of good and bad documents above each level.
+    tests = [F.struct(F.lit(i).alias("level"), F.count_if(F.col("good") & F.col(f"above{i}")).alias("k"),
+                      F.count_if(~F.col("good") & F.col(f"above{i}")).alias("caught")) for i in range(LEVELS)]
+    per = rows.groupBy(F.col("lang").alias("stratum")).agg(F.count_if("good").alias("n"), F.count_if(~F.col("good")).alias("bad"), F.array(*tests).alias("tests"))
     per = stage_table(per, "cutoff-counts")
-    tests = max(1, per.count() * len(SIGNALS))
+    strata = max(1, per.count())
     each = per.select("stratum", "n", "bad", F.inline("tests"))
-    # Stricter cutoffs reject no fewer good documents, so those that pass are the start of their sequence.
-    certified = each.where(binomial_tail(F.col("k"), F.col("n"), risk / len(SIGNALS)) <= delta / tests)
+    # A stricter level rejects no fewer good documents, so the levels that pass are the start of their sequence.
+    certified = each.where(binomial_tail(F.col("k"), F.col("n"), risk) <= delta / strata)
     gain = F.try_divide("caught", "bad") - F.try_divide("k", "n")
     certified = certified.withColumn("gain", gain).where("gain > 0")
-    # The best separation; of equal ones the mildest cutoff.
-    best = certified.groupBy("stratum", "signal").agg(F.max(F.struct("gain", "cutoff"))["cutoff"].alias("cutoff"))
-    return best.groupBy("stratum").agg(*[F.max(F.when(F.col("signal") == s, F.col("cutoff"))).alias(f"max_{s}") for s in SIGNALS])
+    best = certified.groupBy("stratum").agg(F.max(F.struct("gain", -F.col("level")))["col2"].alias("level")).withColumn("level", -F.col("level"))
+    return best.select("stratum", "level", *[F.get(F.array(*[F.lit(c) for c in reversed(grid)]), F.col("level")).alias(f"max_{name}")
+                                             for name, (_, _, grid) in SIGNALS.items()])
 
 
 def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, delta: float = DELTA) -> DataFrame:
