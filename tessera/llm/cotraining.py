@@ -3,15 +3,19 @@
 Two views of a document, each with its own logistic model: the text's content
 (statistics of its characters and words) and the page's metadata (language,
 source, stated length).  They start from labelled documents; in each round each
-view labels all unlabelled documents of the table that it is sure of, and the
-other view trains on them too; their weights keep the proportion of the
-labelled ones and add up to no more than those.  Each view is then calibrated on held-out labels (Platt
-scaling) and the calibrated views are combined, again on held-out labels, into
-one score, the probability of good quality.  Every document is scored.
+view labels the unlabelled documents of the table that it ranks highest as good
+and highest as bad (``TAKEN`` of all of them more in every round, in the proportion of the labels; the
+cuts are quantiles over the whole table, so a view that is never nearly certain
+teaches as well), and the other view trains on them too.  A pseudo-label counts by
+how far its teacher's probability exceeds the label's share, so a view that knows
+little teaches little, and all of them together by no more than the labelled
+documents.  Held-out labels calibrate each view (Platt scaling)
+and combine the calibrated views into one score, the probability of good quality.
+Every document is scored.
 
 A document is rejected if the score, its calibrated probability of good quality, is
-below one half.  The model carries the held-out counts of both errors: good
-documents rejected and bad ones that pass.
+below one half.  The model carries the held-out counts of both errors, good documents
+rejected and bad ones that pass, each half judged by calibration on the other half.
 
 At most ``MAX_LABELLED`` labelled documents, chosen by a hash of the id, are
 collected (a documented bound, a few MB on the driver).  The unlabelled ones stay in
@@ -46,7 +50,8 @@ from .common import fresh, stage_table, text_of
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_LABELLED = 8_000
-ROUNDS, SURE, STEPS, CLOSE = 3, 0.95, 20, 1e-3
+ROUNDS, TAKEN, SURE, STEPS, CLOSE = 3, 0.3, 0.95, 20, 1e-3
+RANK_ACCURACY = 10_000  # of the quantiles: one ten-thousandth of the table
 THRESHOLD = 0.5
 TEXT_WIDTH = 14  # numbers in the text view
 
@@ -138,10 +143,10 @@ class View:
     def calibrated(self, rows: Rows) -> np.ndarray:
         return _logit(self.logit(rows)[:, None], self.platt)
 
-    def sums(self, rows: Rows, y: np.ndarray) -> dict[tuple, np.ndarray]:
-        """Per tuple of key values: Hessian, gradient and number of rows."""
+    def sums(self, rows: Rows, y: np.ndarray, weight: np.ndarray | float = 1.0) -> dict[tuple, np.ndarray]:
+        """Per tuple of key values: Hessian and gradient, weighted, and number of rows."""
         p = _prob(self.logit(rows))
-        g, h = p - y, p * (1 - p)
+        g, h = weight * (p - y), weight * p * (1 - p)
         v = np.column_stack([(rows.numbers - self.mean) / self.scale, np.ones(len(y))])
         if not rows.keys:
             return {(): np.concatenate([((v * h[:, None]).T @ v).ravel(), v.T @ g, [len(y)]])}
@@ -224,18 +229,45 @@ def add(into: dict[tuple, np.ndarray], more: dict[tuple, np.ndarray], weight: fl
         into[key] = into[key] + weight * v if key in into else weight * v
 
 
-def exchange(teachers: list[View], views: list[View], rows: list[Rows], out: Exchange) -> None:
-    """Add the sums over ``rows``: each view learns the labels of which the other view's teacher is sure."""
+#: Per teacher: the calibrated logits up to which it says bad and from which it says good, and the share of good labels; None if
+#: it tells nothing apart.
+Limits = list[tuple[float, float, float] | None]
+
+
+def limits_of(logits: list[np.ndarray], shares: tuple[float, float]) -> Limits:
+    """Cuts by rank: ``shares`` of the documents are taken as (bad, good)."""
+    cuts = [np.quantile(z, [shares[0], 1 - shares[1]], method="inverted_cdf") if len(z) else (0.0, 0.0) for z in logits]
+    return [(float(low), float(high), shares[1] / sum(shares)) if low < high else None for low, high in cuts]
+
+
+def exchange(teachers: list[View], views: list[View], rows: list[Rows], out: Exchange, limits: Limits | None = None) -> None:
+    """Add the sums over ``rows``: each view learns the labels that the other view's teacher gives, by ``limits`` or
+    (without) where it is at least ``SURE``, each weighted by how far the teacher's probability lies from the label's share
+    (0) towards certainty (1): a view that knows little teaches little."""
+    absolute = float(np.log(SURE / (1 - SURE)))
     for i in (0, 1):
-        p = _prob(teachers[1 - i].calibrated(rows[1 - i]))
-        for label, sure in ((1, p), (0, 1 - p)):
-            at = np.flatnonzero(sure >= SURE)
+        limit = limits[1 - i] if limits else (-absolute, absolute, 0.5)
+        if limit is None:
+            continue
+        z = teachers[1 - i].calibrated(rows[1 - i])
+        for label, taken in ((1, z >= limit[1]), (0, z <= limit[0])):
+            at = np.flatnonzero(taken)
             if len(at):
-                add(out.setdefault((i, label), {}), views[i].sums(rows[i].take(at), np.full(len(at), label)))
+                share = limit[2] if label else 1 - limit[2]
+                weight = np.clip((_prob(z[at] if label else -z[at]) - share) / max(1e-9, 1 - share), 0, 1)
+                add(out.setdefault((i, label), {}), views[i].sums(rows[i].take(at), np.full(len(at), label), weight))
+
 
+def combined(logits: np.ndarray, y: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Calibration of each view's logits (a column each), and the combination of the calibrated ones."""
+    platts = [fit(logits[:, [i]], y) for i in range(logits.shape[1])]
+    return platts, fit(np.column_stack([_logit(logits[:, [i]], platt) for i, platt in enumerate(platts)]), y)
 
-def teach(rows: list[Rows], y: np.ndarray, norms: list[tuple[np.ndarray, np.ndarray]], pool: Callable[[list[View], list[View]], Exchange], rounds: int) -> Model:
-    """``rows`` and ``y`` (1 good, 0 bad) are the labelled documents in hash order: the last of every four is held out."""
+
+def teach(rows: list[Rows], y: np.ndarray, norms: list[tuple[np.ndarray, np.ndarray]], pool: Callable[[list[View], list[View], Limits], Exchange],
+          ranks: Callable[[list[View], tuple[float, float]], Limits], rounds: int) -> Model:
+    """``rows`` and ``y`` (1 good, 0 bad) are the labelled documents in hash order: the last of every four is held out
+    for calibration and for the counts of errors."""
     if len(set(y.tolist())) < 2:
         return Model()
     held = np.arange(len(y)) % 4 == 3
@@ -243,14 +275,17 @@ def teach(rows: list[Rows], y: np.ndarray, norms: list[tuple[np.ndarray, np.ndar
         train = test = np.arange(len(y))  # too few labels to hold any out
     else:
         train, test = np.flatnonzero(~held), np.flatnonzero(held)
+    good_share = float(y[train].mean())
     own, out = [r.take(train) for r in rows], [r.take(test) for r in rows]
     views = [View(mean, scale, np.zeros(len(mean) + 1), [{} for _ in r.keys]) for (mean, scale), r in zip(norms, rows, strict=True)]
     for turn in range(rounds + 1):
         teachers = copy.deepcopy(views)
+        taken = min(0.9, TAKEN * turn)
+        limits = ranks(teachers, (taken * (1 - good_share), taken * good_share)) if turn else [None, None]
+        if turn and limits == [None, None]:
+            break  # no view tells any documents apart
         for _ in range(STEPS):
-            given = pool(teachers, views) if turn else {}
-            if turn and not given:
-                break  # no view is sure of any document
+            given = pool(teachers, views, limits) if turn else {}
             moves = []
             for i, view in enumerate(views):
                 total = view.sums(own[i], y[train])
@@ -258,7 +293,8 @@ def teach(rows: list[Rows], y: np.ndarray, norms: list[tuple[np.ndarray, np.ndar
                 more = [given.get((i, label), {}) for label in (0, 1)]
                 n = [sum(v[-1] for v in m.values()) for m in more]
                 mine = [(y[train] == label).sum() for label in (0, 1)]
-                share = min(1.0, *[a / b for a, b in zip(n, mine, strict=True)]) if min(mine) else 0.0
+                # A label that the exchange lacks (a teacher with ties, a small pool) does not silence the other one.
+                share = min([1.0] + [a / b for a, b in zip(n, mine, strict=True) if a and b])
                 for m, a, b in zip(more, n, mine, strict=True):
                     add(total, m, share * b / max(1.0, a))
                 moves.append(view.step(total))
@@ -267,9 +303,17 @@ def teach(rows: list[Rows], y: np.ndarray, norms: list[tuple[np.ndarray, np.ndar
         for i, view in enumerate(views):
             view.platt = fit(view.logit(out[i])[:, None], y[test])
     model = Model(views)
-    z = np.column_stack([view.calibrated(r) for view, r in zip(views, out, strict=True)])
-    model.combine = fit(z, y[test])
-    good, stays = y[test] == 1, _prob(_logit(z, model.combine)) >= model.threshold
+    raw = np.column_stack([view.logit(r) for view, r in zip(views, out, strict=True)])
+    model.combine = combined(raw, y[test])[1]
+    # Errors are counted on each half of the held-out labels by calibration on the other half.
+    half = np.arange(len(test)) % 2 == 1
+    stays = np.zeros(len(test), dtype=bool)
+    for part in (half, ~half):
+        rest = ~part if len(set(y[test][~part].tolist())) == 2 else np.ones(len(test), dtype=bool)  # too few labels to part them
+        platts, combine = combined(raw[rest], y[test][rest])
+        z = np.column_stack([_logit(raw[part][:, [i]], platt) for i, platt in enumerate(platts)])
+        stays[part] = _prob(_logit(z, combine)) >= model.threshold
+    good = y[test] == 1
     model.held_out = (int(good.sum()), int((good & ~stays).sum()), int((~good).sum()), int((~good & stays).sum()))
     return model
 
@@ -280,12 +324,15 @@ def cotrain(text: np.ndarray | Rows, meta: np.ndarray | Rows, y: np.ndarray, rou
     known, rest = np.flatnonzero(y >= 0), np.flatnonzero(y < 0)
     left = [r.take(rest) for r in rows]
 
-    def pool(teachers: list[View], views: list[View]) -> Exchange:
+    def pool(teachers: list[View], views: list[View], limits: Limits) -> Exchange:
         out: Exchange = {}
-        exchange(teachers, views, left, out)
+        exchange(teachers, views, left, out, limits)
         return out
 
-    return teach([r.take(known) for r in rows], y[known], [(r.numbers.mean(axis=0), r.numbers.std(axis=0) + 1e-6) for r in rows], pool, rounds)
+    def ranks(teachers: list[View], shares: tuple[float, float]) -> Limits:
+        return limits_of([t.calibrated(r) for t, r in zip(teachers, left, strict=True)], shares)
+
+    return teach([r.take(known) for r in rows], y[known], [(r.numbers.mean(axis=0), r.numbers.std(axis=0) + 1e-6) for r in rows], pool, ranks, rounds)
 
 
 def _meta_columns(docs: DataFrame) -> list:
@@ -301,12 +348,26 @@ def _staged(x: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) ->
     return [Rows(x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), TEXT_WIDTH)), meta_view(lang, source, n_chars)]
 
 
-def pool_sums(pool: DataFrame, teachers: list[View], views: list[View]) -> Exchange:
+def pool_limits(pool: DataFrame, teachers: list[View], shares: tuple[float, float]) -> Limits:
+    """The cuts of :func:`limits_of` over all rows of ``pool``: quantiles that Spark merges, in one job."""
+    @F.arrow_udf("struct<z0:double,z1:double>")
+    def logits(parts: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for part in parts:
+            z = [t.calibrated(r) for t, r in zip(teachers, _staged(*part), strict=True)]
+            yield pa.StructArray.from_arrays([pa.array(x, pa.float64()) for x in z], ["z0", "z1"])
+
+    z = pool.select(logits("x", "_lang", "_source", "_n_chars").alias("z"))
+    at = [shares[0], 1 - shares[1]]
+    cuts = z.agg(*[F.percentile_approx(f"z.z{i}", at, RANK_ACCURACY) for i in (0, 1)]).first()
+    return [(c[0], c[1], shares[1] / sum(shares)) if c and c[0] < c[1] else None for c in cuts]
+
+
+def pool_sums(pool: DataFrame, teachers: list[View], views: list[View], limits: Limits | None = None) -> Exchange:
     """The sums of :func:`exchange` over all rows of ``pool`` (x, _lang, _source, _n_chars), in one job."""
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: Exchange = {}
         for b in batches:
-            exchange(teachers, views, _staged(*b.columns), out)
+            exchange(teachers, views, _staged(*b.columns), out, limits)
         for (i, label), per in out.items():
             for key, v in per.items():
                 lang, source = key or (None, None)
@@ -347,7 +408,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     mean, scale = norm[:len(x)], norm[len(x):] + 1e-6
     rows = _staged(*[picked.column(c).combine_chunks() for c in ("x", "_lang", "_source", "_n_chars")])
     norms = [(mean[:TEXT_WIDTH], scale[:TEXT_WIDTH]), (mean[TEXT_WIDTH:], scale[TEXT_WIDTH:])]
-    return teach(rows, np.asarray(picked.column("y")), norms, lambda teachers, views: pool_sums(pool, teachers, views), rounds)
+    return teach(rows, np.asarray(picked.column("y")), norms, lambda teachers, views, limits: pool_sums(pool, teachers, views, limits),
+                 lambda teachers, shares: pool_limits(pool, teachers, shares), rounds)
 
 
 def _scored(docs: DataFrame, model: Model, text_col: str, into: str) -> DataFrame:
