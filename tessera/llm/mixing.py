@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WS, bucket_count, count_words, fresh, stage_table, text_of
+from .common import bucket_count, count_words, fresh, stage_table, text_of
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -121,8 +121,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself, with the columns of ``docs``: a document as often as the
-    mix takes it (not at all for 0 words), and the cut document's first words.
-    A document without words takes part in every whole epoch."""
+    mix takes it, always whole.  A source's cut document is in once more if the
+    mix takes at least half of its words in the last epoch, so a source misses its
+    target by at most half a document (rows alike share one fate).  A document
+    without words takes part in every whole epoch."""
     cut = stage_table(cuts(_sized(docs, id_col, text_col, source_col)), "mix-cuts")
     names = docs.columns
     inner = {c: fresh("_cut_" + c, names) for c in cut.columns}
@@ -132,15 +134,12 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     doc_id, end_id = F.col(id_col), F.col(inner["end_id"])
     lower = F.coalesce(doc_id < end_id, doc_id.isNull() & end_id.isNotNull())
     before = F.coalesce((F.col(key) < F.col(inner["end_key"])) | (at & lower), F.lit(False))
-    here = F.coalesce(at & doc_id.eqNullSafe(end_id) & (F.col(inner["rest"]) > 0), F.lit(False))
-    whole = F.col(inner["epochs"]) + before.cast("long")
-    # Pieces end after each word, so the first n pieces are the first n words with their white space.
-    pieces = F.split(F.col(text_col), f"(?<=[^{WS}])(?=[{WS}])", -1)
-    cut_text = F.array_join(F.slice(pieces, F.lit(1), F.greatest(F.col(inner["rest"]), F.lit(1)).cast("int")), "")
-    last = whole + here.cast("long")
+    here = F.coalesce(at & doc_id.eqNullSafe(end_id), F.lit(False))
+    rest = F.col(inner["rest"])
+    half = F.when(here, (rest > 0) & (2 * rest >= count_words(text_of(text_col)))).otherwise(F.lit(False))
+    copies = F.col(inner["epochs"]) + (before | half).cast("long")
     out = (docs.withColumn(key, mix_key(F.col(id_col), text_of(text_col)))
            .join(cut, F.col(source_col).eqNullSafe(F.col(inner["cut_source"])))
-           .where(last > 0)
-           .withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), last))))
-    text = F.when(F.col(copy) > whole, cut_text).otherwise(F.col(text_col))
-    return out.select([text.alias(c) if c == text_col else F.col(c) for c in names])
+           .where(copies > 0)
+           .withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), copies))))
+    return out.select(names)

@@ -10,9 +10,6 @@ from .common import table
 from .registry import query
 from .sql import MIXING, URLS
 
-#: Hosts of listed pages for op3 hold one of these.
-SPAM_HOST_WORDS = ("casino", "cheap-pills", "free-bets", "spam")
-
 
 @query("op1_secret_scan")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,7 +24,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_url_filter", URLS)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    listed = pages.select("url").where(url_filter.host_of(F.col("url")).rlike("|".join(SPAM_HOST_WORDS)))
+    listed = url_filter.listing(pages, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return url_filter.judge(pages, listed)
 
 

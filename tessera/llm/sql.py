@@ -10,7 +10,29 @@ keyed AS (
   SELECT *, CASE WHEN host <> '' THEN regexp_replace(regexp_replace(host, ':[0-9]*$', ''), '^www\.', '')
                  || regexp_replace(regexp_replace(path, '/+', '/', 'g'), '/$', '') END AS k
   FROM parts),
-spam AS (SELECT DISTINCT k FROM keyed WHERE k IS NOT NULL AND regexp_matches(host, 'casino|cheap-pills|free-bets|spam')),
+words(word) AS (VALUES
+  -- ads and trackers
+  ('ads'), ('adserver'), ('adservice'), ('clickbait'), ('popunder'), ('telemetry'), ('tracker'), ('trackers'), ('tracking'),
+  -- adult
+  ('adult'), ('adults'), ('escort'), ('escorts'), ('nsfw'), ('porn'), ('porno'), ('xxx'),
+  -- fraud and malware
+  ('malware'), ('phishing'), ('scam'), ('scams'), ('spam'), ('spyware'), ('warez'),
+  -- gambling
+  ('bet'), ('bets'), ('betting'), ('casino'), ('casinos'), ('gamble'), ('gambling'), ('jackpot'), ('poker'), ('roulette'), ('slots'),
+  -- pills
+  ('cialis'), ('pill'), ('pills'), ('steroids'), ('viagra')),
+titled AS (
+  SELECT page_id, replace(replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1),
+           '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&') AS title
+  FROM pages),
+marked AS (
+  SELECT substring(text, 1, 60) AS opening, coalesce(toxic, 0) = 1 AS toxic
+  FROM documents JOIN labels USING (doc_id) WHERE length(substring(text, 1, 60)) >= 20),
+bad_pages AS (
+  SELECT page_id FROM titled WHERE title IN (SELECT opening FROM marked WHERE toxic EXCEPT SELECT opening FROM marked WHERE NOT toxic)
+  UNION
+  SELECT page_id FROM (SELECT page_id, unnest(regexp_split_to_array(host, '[.:-]')) AS word FROM parts) w JOIN words USING (word)),
+spam AS (SELECT DISTINCT k FROM keyed JOIN bad_pages USING (page_id) WHERE k IS NOT NULL),
 rules(rule, host_end, path_start, said) AS (VALUES
   ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'), ('www.example.com/en/', 'www.example.com', '/en/', 'allow'),
   ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')),

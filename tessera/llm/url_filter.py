@@ -11,10 +11,16 @@ broadcast (its size follows from the list's count, which is checked first);
 above, pages are joined to their blocks by shuffle, with the same result.  A
 hot URL or host is one key of that join, which AQE splits.
 
+:func:`judge` takes any table of listed URLs.  :func:`listing` makes one from
+two sources that know nothing of the rules: hosts with a label word of a
+:data:`CATEGORIES` entry, and reports of toxic documents, whatever their host.
+
 Only DataFrame functions are used.  Defined cases: a null url or one without
 ``://`` has empty host and path, fits no rule and is not listed; repeated rows
 give repeated result rows; an empty list or table gives the rules' verdicts or
-an empty result; further columns are ignored.
+an empty result; further columns are ignored.  For the list, a null html has no
+title, a null text opens nothing, a null label reports nothing, and an opening
+that any labelled document shares without being reported lists no page.
 """
 
 from __future__ import annotations
@@ -26,6 +32,18 @@ from .common import ascii_lower, stage_table
 
 #: Fixed rules of the contract: (rule, verdict).
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
+#: Words that put a host on the list when they are a whole word of one of its labels (``free-bets.example.com``).
+CATEGORIES = {
+    "ads and trackers": ("ads", "adserver", "adservice", "clickbait", "popunder", "telemetry", "tracker", "trackers", "tracking"),
+    "adult": ("adult", "adults", "escort", "escorts", "nsfw", "porn", "porno", "xxx"),
+    "fraud and malware": ("malware", "phishing", "scam", "scams", "spam", "spyware", "warez"),
+    "gambling": ("bet", "bets", "betting", "casino", "casinos", "gamble", "gambling", "jackpot", "poker", "roulette", "slots"),
+    "pills": ("cialis", "pill", "pills", "steroids", "viagra"),
+}
+#: A report names a page by the opening of its text, which is the page's title.
+OPENING_CHARS, SHORTEST_OPENING = 60, 20
+#: Character references in titles, in the order in which they are read.
+REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 BLOCK_LONGS = 8
 BITS_PER_URL = 16
 MAX_FILTER_BYTES = 8 << 20
@@ -47,6 +65,30 @@ def canonical(host: Column, path: Column) -> Column:
     return F.when(h != "", F.concat(h, p))
 
 
+def title_of(html: Column) -> Column:
+    title = F.regexp_extract(F.coalesce(html, F.lit("")), "<title>([^<]*)</title>", 1)
+    for written, meant in REFERENCES:
+        title = F.replace(title, F.lit(written), F.lit(meant))
+    return title
+
+
+def reported_openings(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """(opening): how texts begin of which every labelled one is toxic."""
+    said = labels.select(F.col("doc_id").alias("_id"), F.coalesce(F.col("toxic") == 1, F.lit(False)).alias("toxic"))
+    opening = documents.select(F.col("doc_id").alias("_doc"), F.substring("text", 1, OPENING_CHARS).alias("opening"))
+    found = opening.where(F.char_length("opening") >= SHORTEST_OPENING).join(said, F.col("_doc") == F.col("_id"))
+    return found.groupBy("opening").agg(F.bool_and("toxic").alias("toxic")).where("toxic").select("opening")
+
+
+def listing(pages: DataFrame, documents: DataFrame, labels: DataFrame, categories=CATEGORIES) -> DataFrame:
+    """(url): pages on a host of a listed category, and pages titled by the opening of a reported text."""
+    words = F.array(*[F.lit(w) for group in categories.values() for w in group])
+    by_host = F.arrays_overlap(F.split(host_of(F.col("url")), "[.:-]"), words)
+    rows = pages.select("url", by_host.alias("by_host"), title_of(F.col("html")).alias("title"))
+    by_text = rows.join(reported_openings(documents, labels), F.col("title") == F.col("opening"), "left_semi")
+    return rows.where("by_host").select("url").unionByName(by_text.select("url"))
+
+
 def rule_for(host: Column, path: Column, rules=RULES) -> Column:
     """The longest rule that fits, or null.  A short list: it becomes one CASE."""
     out = None

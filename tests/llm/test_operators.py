@@ -172,16 +172,30 @@ def test_mixing(table):
 
 
 def test_mixed_documents(spark, docs):
+    """Whole documents only; the cut one is in if the mix takes at least half of its words."""
     for df in (docs, H.awkward(spark)):
         out = mixing.mixed_documents(df)
         assert out.columns == df.columns
-        taken = Counter()
-        for r in out.collect():
-            taken[r.doc_id] += len(H.words(r.text))
+        rows = [(r.doc_id, r.text) for r in out.collect()]
+        assert set(rows) <= {(r.doc_id, r.text) for r in df.collect()}
+        got = Counter((i, len(H.words(t))) for i, t in rows if H.words(t))
         want = Counter()
         for r in mixing.mix(df).collect():
-            want[r.doc_id] += r.taken
-        assert +taken == +want
+            if r["size"]:
+                want[r.doc_id, r["size"]] += r.taken // r["size"] + (r.taken % r["size"] > 0 and 2 * (r.taken % r["size"]) >= r["size"])
+        assert got == +want
+
+
+def test_mixed_documents_stay_near_their_targets(spark):
+    """One very long document in a source: in whole or not at all, whichever comes nearer."""
+    sizes = {"a": [3] * 40 + [5000], "b": [7] * 30, "c": [11] * 20 + [900]}
+    rows = [(1000 * ord(s) + i, "w " * n, s) for s, each in sizes.items() for i, n in enumerate(each)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    target = {r.source: r.target for r in mixing.mix(df).join(df, "doc_id").select("source", "target").distinct().collect()}
+    words = Counter()
+    for r in mixing.mixed_documents(df).collect():
+        words[r.source] += len(H.words(r.text))
+    assert all(abs(words[s] - t) <= max(sizes[s]) / 2 + 1 for s, t in target.items())
 
 
 def test_quality_statistics(table):
@@ -393,6 +407,35 @@ def test_url_filter(spark):
     assert url_filter.judge(pages.limit(0), listed).count() == 0
 
 
+def test_url_listing(spark):
+    """Pages of reported texts are listed whatever their host says, other pages of that host are not;
+    a category counts as a whole word of a host label."""
+    opening = 'It is "a < b" & what follows is long enough to be cut at the sixtieth character'
+    title = opening[:60].replace("&", "&amp;").replace("<", "&lt;").replace('"', "&quot;")
+    shared, other = "Shared by a clean document too", "Another title that is long enough"
+    html = "<html><title>{}</title><body>x</body></html>"
+    pages = spark.createDataFrame([
+        (1, "http://plain.example.org/1", html.format(title), "x"), (2, "http://plain.example.org/2", html.format(other), "x"),
+        (3, "https://adult-x.example.org/", None, "x"), (4, "http://m.ads-track.example.org/a", "", "x"),
+        (5, "http://antispam.example.org/a", "", "x"), (6, "http://portocasino.example.org/a", "", "x"), (7, None, html.format(title), "x"),
+        (8, "http://shared.example.org/", html.format(shared), "x"), (9, "http://short.example.org/", html.format("Short"), "x"),
+        (10, "http://www.plain.example.org//1/?again", None, "x")], "page_id long, url string, html string, toxic string")
+    documents = spark.createDataFrame([(1, opening), (2, shared), (3, shared), (4, "Short"), (5, None), (None, opening), (6, other)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 1), (3, 0), (4, 1), (5, 1), (6, None), (None, 0)], "doc_id long, toxic int")
+    listed = url_filter.listing(pages, documents, labels)
+    assert sorted(str(r.url) for r in listed.collect()) == ["None", "http://m.ads-track.example.org/a", "http://plain.example.org/1", "https://adult-x.example.org/"]
+    got = {r.page_id: r.verdict for r in url_filter.judge(pages, listed, rules=()).collect()}
+    assert [i for i, v in sorted(got.items()) if v == "block"] == [1, 3, 4, 10]
+    assert url_filter.listing(pages.limit(0), documents, labels).count() == 0
+    assert url_filter.listing(pages, documents.limit(0), labels).count() == 2
+
+
+def test_listed_is_no_property_of_the_host(spark):
+    """In the given pages some listed pages share their host with pages that are not listed."""
+    got = QUERIES["op3_url_filter"](spark, "/root/testdata/sf0.01").groupBy("host").agg(F.bool_or("listed").alias("a"), F.bool_and("listed").alias("b"))
+    assert got.where("a and not b").count() > 0 and got.where("b").count() > 0
+
+
 def test_bloom_filter(spark):
     """No listed key is missed, and few others pass."""
     keys = spark.range(5000).select(F.concat(F.lit("h/"), "id").alias("listed_key"))
