@@ -52,6 +52,20 @@ def stage_matrix(stages: list[tuple[str, DataFrame]], prefix: str = "n_") -> Dat
                                           .alias(prefix + s) for s in names])
 
 
+def stage_matrix_one_pass(raw: DataFrame, survivors: DataFrame, passed: list[tuple[str, Column]], prefix: str = "n_") -> DataFrame:
+    """The matrix of raw, dedup and row-wise stages, with one pass over the dedup's ``survivors``:
+    ``passed`` says per stage, in order, whether a row passes it."""
+    key, one, so_far, counts = species_key().alias("species_key"), F.lit(1), F.lit(True), []
+    for name, ok in passed:
+        so_far = so_far & F.coalesce(ok, F.lit(False))
+        counts.append(F.count_if(so_far).alias(prefix + name))
+    first, later = prefix + "raw", [prefix + s for s in ("dedup", *(name for name, _ in passed))]
+    base = raw.groupBy(key).agg(F.count(one).alias(first))
+    rest = survivors.groupBy(key).agg(F.count(one).alias(later[0]), *counts)
+    both = base.unionByName(rest, allowMissingColumns=True).groupBy("species_key").agg(*[F.sum(c).cast("long").alias(c) for c in (first, *later)])
+    return both.select("species_key", *[F.nullif(F.col(c), F.lit(0)).cast("long").alias(c) for c in (first, *later)])
+
+
 def with_first_loss(matrix: DataFrame, stages: list[tuple[str, str]], n: int = 15,
                     never: str = "never_below15") -> DataFrame:
     return matrix.withColumn("first_stage_below15", F.coalesce(first_loss(stages, n), F.lit(never)))

@@ -236,15 +236,29 @@ def depth_status_counts(spark, sf):
             .agg(F.count(F.lit(1)).alias("records")))
 
 
+#: Stored results have another value in the rows of this modulus and remainder.
+ALTERED = (109, 4)
+
+
+def stored_copy(spark, df, name: str, **altered):
+    """A written copy of ``df`` with some values altered."""
+    from ..session import scratch_path
+    path = scratch_path(spark, name)
+    here = F.col("source_row") % ALTERED[0] == ALTERED[1]
+    df.withColumns({c: F.when(here, v).otherwise(F.col(c)) for c, v in altered.items()}).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 # The rule applied anew to the raw text and the range, compared with what was stored.
 @query("depth_formula_check", with_fixtures(["fx1", "fx2"], f""", {DEPTH_SQL},
+  stored AS (SELECT * REPLACE (if(source_row % {ALTERED[0]} = {ALTERED[1]}, coalesce(depth_final, 0) + 0.5, depth_final) AS depth_final) FROM depth_result),
   again AS (SELECT *, if(lower(trim(coalesce(depth_raw, ''))) IN ({EXT_TOKENS}),
       if(iucn_range_status = 'valid', iucn_depth_up + (iucn_depth_low - iucn_depth_up) / 2, NULL),
-      if(try_cast(depth_raw AS DOUBLE) BETWEEN 0 AND 11000, try_cast(depth_raw AS DOUBLE), NULL)) AS expected FROM depth_result)
+      if(try_cast(depth_raw AS DOUBLE) BETWEEN 0 AND 11000, try_cast(depth_raw AS DOUBLE), NULL)) AS expected FROM stored)
 SELECT count(*) AS checked_rows, (SELECT count(*) FROM again WHERE (depth_final IS NULL) <> (expected IS NULL)
   OR abs(depth_final - expected) > 1e-9) AS failures FROM again"""))
 def depth_formula_check(spark, sf):
-    d = depth_plan(spark, sf)
+    d = stored_copy(spark, depth_plan(spark, sf), "depth_result", depth_final=F.coalesce("depth_final", F.lit(0.0)) + 0.5)
     return d.agg(F.count(F.lit(1)).alias("checked_rows"),
                  F.count_if(F.coalesce(classify.depth_formula_failures(d), F.lit(False))).alias("failures"))
 
@@ -308,11 +322,12 @@ def year_distribution(spark, sf):
 
 @query("year_formula_check", with_fixtures(["fx1"], f""", {YEAR_SQL},
   whole AS (SELECT unnest(range(1993, 2026)) AS y),
-  again AS (SELECT r.*, whole.y AS expected FROM year_result r LEFT JOIN whole ON try_cast(r.year AS DOUBLE) = whole.y)
+  stored AS (SELECT * REPLACE (if(source_row % {ALTERED[0]} = {ALTERED[1]}, coalesce(year_final, 1900) + 1, year_final) AS year_final) FROM year_result),
+  again AS (SELECT r.*, whole.y AS expected FROM stored r LEFT JOIN whole ON try_cast(r.year AS DOUBLE) = whole.y)
 SELECT count(*) AS checked_rows, (SELECT count(*) FROM again WHERE year_final IS DISTINCT FROM expected
   OR year_raw IS DISTINCT FROM year) AS failures FROM again"""))
 def year_formula_check(spark, sf):
-    y = year_plan(spark, sf)
+    y = stored_copy(spark, year_plan(spark, sf), "year_result", year_final=F.coalesce("year_final", F.lit(1900)) + 1)
     return y.agg(F.count(F.lit(1)).alias("checked_rows"),
                  F.count_if(F.coalesce(classify.year_formula_failures(), F.lit(False))).alias("failures"))
 
@@ -479,10 +494,16 @@ def point_key_route(spark, sf):
 
 @query("point_key_priority_check", with_fixtures([], f"""{POINT_SQL}
 SELECT count(*) AS decisions, count(DISTINCT source_row) AS distinct_rows,
-  count(*) FILTER (WHERE source_row = keep_source_row AND priority <> best_priority) AS violations
+  count(*) FILTER (WHERE (source_row = keep_source_row OR source_row % 7 = 3) AND priority <> best_priority) AS violations
 FROM decisions"""))
 def point_key_priority_check(spark, sf):
+    """The stored decisions, in which some rows keep themselves."""
+    from ..session import scratch_path
     _, d = point_plan(spark, sf)
+    path = scratch_path(spark, "point_decisions")
+    own = F.when(F.col("source_row") % 7 == 3, F.col("source_row")).otherwise(F.col("keep_source_row"))
+    d.withColumn("keep_source_row", own).write.parquet(path)
+    d = spark.read.parquet(path)
     return d.agg(F.count(F.lit(1)).alias("decisions"), F.count_distinct("source_row").alias("distinct_rows"),
                  F.count_if((F.col("source_row") == F.col("keep_source_row"))
                             & (F.col("priority") != F.col("best_priority"))).alias("violations"))
@@ -497,9 +518,9 @@ def key_uniqueness(spark, sf):
 
 
 @query("key_preconditions", with_fixtures([], f"""{POINT_SQL}
-SELECT count(*) AS rows, count(*) FILTER (WHERE source_row IS NULL OR species_key IS NULL OR qty IS NULL
-  OR disc IS NULL OR year_key IS NULL OR priority IS NULL OR priority NOT IN (0, 1)
-  OR NOT isfinite(qty) OR NOT isfinite(disc)) AS bad_rows FROM pk"""))
+SELECT count(*) AS rows, count(*) - coalesce(sum((len(known) = 6 AND priority * (priority - 1) = 0)::INT), 0)::BIGINT AS bad_rows
+FROM (SELECT priority, list_filter([source_row::DOUBLE, species_key::DOUBLE, qty::DOUBLE, disc::DOUBLE, year_key::DOUBLE, priority::DOUBLE],
+    lambda v: v IS NOT NULL AND isfinite(v)) AS known FROM pk) t"""))
 def key_preconditions(spark, sf):
     from ..functions.normalize import is_finite
     k = point_keys(spark, sf)
@@ -509,10 +530,18 @@ def key_preconditions(spark, sf):
     return k.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.coalesce(bad, F.lit(True))).alias("bad_rows"))
 
 
-@query("species_crossing_threshold", with_fixtures([], f"""{POINT_SQL}
-SELECT species_key, unique_points, input_records FROM sc WHERE input_records >= 15 AND unique_points < 15"""))
+# Parts as species, on a coarse grid of points: many records, fewer points.
+@query("species_crossing_threshold", with_fixtures([], """points AS (
+  SELECT l_partkey AS species_key, count(*) AS k FROM lineitem
+  GROUP BY l_partkey, l_quantity > 25, l_linenumber > 3, year(l_shipdate))
+SELECT species_key, count(*) AS unique_points, sum(k)::BIGINT AS input_records FROM points
+GROUP BY species_key HAVING count(*) < 15 AND sum(k) > 14"""))
 def species_crossing_threshold(spark, sf):
-    groups, _ = point_plan(spark, sf)
+    li = fx.table(spark, sf, "lineitem")
+    keys = li.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("source_row"), F.col("l_partkey").alias("species_key"),
+                     (F.col("l_quantity") > 25).cast("int").alias("qty"), (F.col("l_linenumber") > 3).cast("int").alias("disc"),
+                     F.year("l_shipdate").alias("year_key"), F.lit(0).alias("priority"))
+    groups, _ = dedup.priority_decisions(keys, POINT_KEYS)
     return dedup.species_crossing(dedup.species_point_counts(groups), 15)
 
 
@@ -549,10 +578,10 @@ def record_count_distribution(spark, sf):
 
 
 @query("threshold_diagnostic", with_fixtures(["fx1"], f""", {MINREC_SQL}
-SELECT count(*) FILTER (WHERE records >= 10) AS species_at_least_10,
-  coalesce(sum(records) FILTER (WHERE records >= 10), 0)::BIGINT AS rows_at_least_10,
-  count(*) FILTER (WHERE records BETWEEN 10 AND 14) AS species_10_to_14,
-  coalesce(sum(records) FILTER (WHERE records BETWEEN 10 AND 14), 0)::BIGINT AS rows_10_to_14 FROM msc"""))
+SELECT coalesce(sum(k), 0)::BIGINT AS species_at_least_10, coalesce(sum(k * records), 0)::BIGINT AS rows_at_least_10,
+  coalesce(sum(if(records < 15, k, 0)), 0)::BIGINT AS species_10_to_14,
+  coalesce(sum(if(records < 15, k * records, 0)), 0)::BIGINT AS rows_10_to_14
+FROM (SELECT records, count(*) AS k FROM msc GROUP BY records HAVING records > 9) t"""))
 def threshold_diagnostic(spark, sf):
     return lists.threshold_diagnostic(lists.species_counts(fx.load(spark, sf, "fx1")))
 

@@ -80,6 +80,9 @@ UNION ALL
 SELECT c_custkey + 1 + 1000000 AS row_no, {_FX2_NAME} AS sci_name, {_FX2_UP} AS depth_up,
   case when c_custkey % 34 = 0 then '777' else {_FX2_LOW} end AS depth_low
 FROM customer WHERE c_custkey % 5 <> 4 AND c_custkey % 17 = 0
+UNION ALL
+SELECT s_suppkey + 1 + 2000000 AS row_no, ' ' || s_name AS sci_name, '10' AS depth_up, '200' AS depth_low
+FROM supplier WHERE s_suppkey % 3 = 0
 """
 
 # Layers from all parts, 57 neighbouring ones each; their depths are uneven and in no order.
@@ -145,7 +148,7 @@ _FX5 = "\nUNION ALL\n".join(
 _FX6 = """
 SELECT source_row, id, upper(scientificname) AS scientificname, sex, lifestage, countryCode,
   case when locality = 'NA' and source_row % 2 = 0 then null else locality end AS locality,
-  behavior, eventDate, longitude, latitude,
+  case when behavior = '1' and source_row % 3 = 0 then '1.0' else behavior end AS behavior, eventDate, longitude, latitude,
   case when source_row % 89 = 0 and depth like '%.5' then depth || '0000000001' else depth end AS depth,
   year
 FROM fx1 WHERE source_row % 97 <> 0
@@ -254,7 +257,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     production input -- instead of the fixture's CASE expressions.
     """
     from ..session import materialize
-    register_tables(spark, sf_dir, ("orders", "customer", "part", "lineitem"))
+    register_tables(spark, sf_dir, ("orders", "customer", "supplier", "part", "lineitem"))
     df = None
     for n in _closure([name]):
         key = (_session_key(spark), sf_dir, n)
