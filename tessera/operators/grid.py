@@ -253,8 +253,12 @@ def prepare_rasters(pixels: DataFrame, headers: DataFrame, cells: int = TILE_CEL
     px = pixels.select(*raster, "row", "col", "value").join(headers, raster)
     px = px.withColumn("gx", squares(x, "a", size_x)).withColumn("gy", squares(y, "e", size_y))
     cell = F.struct((F.col("row").cast("long") * F.col("width") + F.col("col")).alias("at"), F.col("value").alias("value"))
-    tiles = px.groupBy(family.alias("family"), "year", "layer", "gx", "gy").agg(
-        *[F.collect_list(F.when(F.col("variable") == v, cell)).alias(f"t_{v}") for v in VARIABLES])
+    # A cell goes into one list, that of its variable; the few lists of a square then meet.  The cells are dealt first: a
+    # list begun in the tasks that read them would hold few cells, and sort as many as such a task reads.
+    lists = px.select(*raster, "gx", "gy", cell.alias("cell")).repartition(*raster, "gx", "gy")
+    lists = lists.groupBy(*raster, "gx", "gy").agg(F.collect_list("cell").alias("cells"))
+    tiles = lists.groupBy(family.alias("family"), "year", "layer", "gx", "gy").agg(
+        *[F.flatten(F.collect_list(F.when(F.col("variable") == v, F.col("cells")))).alias(f"t_{v}") for v in VARIABLES])
     # Two arrays side by side: looking up a place does not copy the cells.
     tiles = tiles.withColumns({f"t_{v}": F.struct(F.col(f"t_{v}.at").alias("at"), F.col(f"t_{v}.value").alias("value")) for v in VARIABLES})
     return Rasters(staged(wide, "raster-heads"), staged(tiles, "raster-tiles"), staged(largest, "raster-largest"), side)
@@ -352,6 +356,28 @@ def sample_long(points: DataFrame, pixels: DataFrame, spec: GridSpec, mode: str
     return p.select(*[F.col(c).alias("year" if c == "year_final" else c) for c in points.columns], F.inline(F.array(*items)))
 
 
+def sample_conventions(points: DataFrame, rasters: Rasters, repeated: DataFrame | None = None, lon: str = "lon",
+                       lat: str = "lat") -> DataFrame:
+    """(source_row, variable, shared_value, independent_value): the value at the physical layer and at the variable's own.
+    One row of a point holds its tiles of both, so the two meet without a join on the point.  ``repeated``, if given, names
+    the ids that several points bear: of those, each value of the one kind goes with each of the other.  A null id meets
+    nothing."""
+    p = _with_tiles(points.where(F.col("source_row").isNotNull()), rasters,
+                    {"p": ("phy", "phy_layer"), "b": ("bgc", "bgc_layer"), "s": ("bgc", "phy_layer")}, lon, lat)
+    items = []
+    for v in VARIABLES:
+        own, shared = ("p", "p") if v in PHY_VARIABLES else ("b", "s")
+        items.append(F.struct(F.lit(v).alias("variable"), _Cell(v, shared).value().cast("double").alias("shared_value"),
+                              _Cell(v, own).value().cast("double").alias("independent_value")))
+    both = p.select("source_row", F.inline(F.array(*items)))
+    if repeated is None:
+        return both
+    again = both.join(repeated, "source_row", "left_semi")
+    pairs = again.select("source_row", "variable", "shared_value").join(
+        again.select("source_row", "variable", "independent_value"), ["source_row", "variable"])
+    return both.join(repeated, "source_row", "left_anti").unionByName(pairs)
+
+
 def convention_matches(values: DataFrame) -> DataFrame:
     """Per (source_row, variable): whether the two conventions' values differ (only then does a match tell them apart)
     and which of them the stored value equals.  A NULL matches nothing."""

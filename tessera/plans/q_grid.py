@@ -10,7 +10,7 @@ from ..operators import classify, grid, lists, verify
 from ..operators.identity import with_position
 from ..sources import fixtures as fx
 from ..sources.fixtures import with_fixtures
-from ..session import materialize
+from ..session import materialize, staged
 from .q_clean import DEPTH_SQL, YEAR_SQL, _coord_sql
 from .registry import query
 
@@ -263,13 +263,14 @@ MODES_SQL = f"""{ENV_SQL}, {_sampled_sql('independent', 'ind')}, {_sampled_sql('
 
 def modes_plan(spark, sf):
     """Each point's values by both conventions against the values stored earlier."""
-    pts, tiles = layered_points(spark, sf), rasters(spark, sf)
-    ind = grid.sample_long(pts, None, SPEC, "independent", rasters=tiles).select("source_row", "variable", F.col("value").alias("independent_value"))
-    shr = grid.sample_long(pts, None, SPEC, "shared_phy", rasters=tiles).select("source_row", "variable", F.col("value").alias("shared_value"))
+    pts = env_points(spark, sf)
+    repeated = pts.where(F.col("source_row").isNotNull()).groupBy("source_row").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    repeated = staged(repeated.select("source_row"), "repeated-points")
+    both = grid.sample_conventions(layered_points(spark, sf, pts), rasters(spark, sf), None if repeated.isEmpty() else repeated)
     row = F.col("source_row")
     stored = (F.when(row % 31 == 0, F.col("independent_value") + 100).when(row % 3 == 0, F.col("shared_value"))
               .otherwise(F.col("independent_value")))
-    return grid.convention_matches(ind.join(shr, ["source_row", "variable"]).withColumn("stored", stored))
+    return grid.convention_matches(both.withColumn("stored", stored))
 
 
 @query("mode_comparison_detail", with_fixtures(ALL_FX, f", {MODES_SQL} SELECT * FROM detail"))
