@@ -12,6 +12,11 @@ def _plan(df, stage="optimizedPlan"):
     return getattr(df._jdf.queryExecution(), stage)().toString()
 
 
+def test_fixture_is_read_by_column(spark):
+    plan = _plan(fx.load(spark, SMALL, "fx6").select("scientificname"), "executedPlan")
+    assert "ReadSchema: struct<scientificname:string>" in plan
+
+
 def test_conventions_meet_without_a_join_on_the_point(spark):
     pixels = spark.createDataFrame([(v, 2000, layer, r, c, float(layer * 1000 + i * 100 + r * 10 + c)) for i, v in enumerate(grid.VARIABLES)
                                     for layer in (1, 2) for r in range(2) for c in range(2)],
