@@ -17,6 +17,25 @@ def test_fixture_is_read_by_column(spark):
     assert "ReadSchema: struct<scientificname:string>" in plan
 
 
+def test_a_filter_on_route_parses_each_number_once(spark):
+    rows = spark.createDataFrame([(1, "a", "5", "1", "2", "2000"), (2, "a", None, "x", "2", "19x8"), (3, "b", "inf", "1", "95", "1998.5"),
+                                  (4, None, "-5", " NA ", "2", None), (5, "c", "1d", "1", "2", "1850")],
+                                 "source_row long, scientificname string, depth string, longitude string, latitude string, year string")
+    ranges = spark.createDataFrame([(1, " A", "10", "20")], "row_no long, sci_name string, depth_up string, depth_low string")
+    depth = classify.assign_depth(rows, classify.range_lookup(ranges))
+    coords, years = classify.coordinate_qc(rows), classify.year_qc(rows)
+    taken = [(df.where(F.col("route") == "accepted"), text) for df, text in ((depth, "depth_raw"), (years, "year_raw"))]
+    taken.append((coords.where(F.col("route") == "accepted"), "latitude#"))
+    for df, text in taken:
+        marks = [line for line in _plan(df).splitlines() if "RLIKE" in line and text.split("_")[0].split("#")[0] in line and "depth_up" not in line]
+        assert len(marks) == 1 and marks[0].count("RLIKE") == (2 if text == "latitude#" else 1), _plan(df)
+    assert {r.source_row: r.depth_final for r in taken[0][0].collect()} == {1: 5.0, 2: 15.0}
+    assert [r.source_row for r in taken[1][0].collect()] == [1]
+    assert sorted(r.source_row for r in taken[2][0].collect()) == [1, 5]
+    assert {r.source_row: r.observed_depth_status for r in depth.collect()} == {
+        1: "valid", 2: "missing", 3: "nonfinite", 4: "negative", 5: "unparseable"}
+
+
 def test_conventions_meet_without_a_join_on_the_point(spark):
     pixels = spark.createDataFrame([(v, 2000, layer, r, c, float(layer * 1000 + i * 100 + r * 10 + c)) for i, v in enumerate(grid.VARIABLES)
                                     for layer in (1, 2) for r in range(2) for c in range(2)],
