@@ -302,6 +302,7 @@ def polygon_decide(points: DataFrame, edges: DataFrame | None, band: float = BAN
 
     p = p.select(row_id, "species_key", "lon", "lat", "row", F.coalesce("buffer_status", F.lit("missing_buffer")).alias("buffer_status"),
                  among("mixed").alias("__mixed"), among("inside").alias("__inside"))
+    p = _staged(p, "polygon-points")  # read four times below
     pure = p.where(~F.col("__mixed")).select(row_id, "species_key", "buffer_status", F.col("__inside").alias("buffer_inside"), F.lit(False).alias("buffer_boundary"))
 
     m = p.where("__mixed").select(row_id, "species_key", "lon", "lat", "row")
@@ -342,8 +343,9 @@ def point_place() -> Column:
 
 
 def spatial_route(decisions: DataFrame, n: int = 15, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Five routes; the threshold counts inside rows per species."""
+    """Five routes; the threshold counts inside rows per species.  The decisions are made once, then counted and joined."""
     from .route import route
+    decisions = _staged(decisions, "polygon-decisions")
     counts = decisions.groupBy("species_key").agg(F.count_if("buffer_inside").alias("spatial_records"),
                                                    F.count(F.lit(1)).alias("__rows"))
     j = join_group_stats(decisions, counts, ["species_key"], "__rows", "source_row", hot_rows=hot_rows).drop("__rows")

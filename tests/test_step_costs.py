@@ -66,3 +66,18 @@ def test_tiles_hold_every_variable_of_a_square(spark):
     phy = got["phy", 0, -1]
     assert sorted(zip(phy.t_so["at"], phy.t_so["value"]), key=str) == [(0, 1.0), (3, None)] and phy.t_thetao["at"] == []
     assert got["bgc", 0, -1].t_chl["value"] == [3.0]
+
+
+def test_spatial_route_makes_its_decisions_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def decided(inside):
+        made.add(1)
+        return inside
+
+    rows = spark.createDataFrame([(i, "s" if i % 4 else None, "ready", i % 2 == 0, False) for i in range(40)],
+                                 "source_row long, species_key string, buffer_status string, buffer_inside boolean, buffer_boundary boolean")
+    got = polygon.spatial_route(rows.withColumn("buffer_inside", decided("buffer_inside")), n=5, hot_rows=7).collect()
+    assert len(got) == 40 and made.value == 40
+    assert {r.species_key: r.spatial_records for r in got} == {"s": 10, None: 10}
