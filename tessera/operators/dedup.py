@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.normalize import category_clean, species_key
 from ..functions.skew import DEFAULT_HOT_ROWS, join_group_stats
+from ..session import staged
 
 
 def dedup_groups(df: DataFrame, keys: list[str], order_col: str = "source_row",
@@ -72,11 +73,19 @@ def removed_map(df: DataFrame, keys: list[str], order_col: str = "source_row", i
 
     Columns: removed_source_row, removed_id, retained_source_row, retained_id,
     same_id (NULL when either id is NULL, like SQL equality).
+
+    Only rows whose keys' 8-byte hash occurs more than once can be in such a
+    group, so only they are grouped and joined by the keys themselves; rows
+    that share a hash by accident fall out there.  The hashes are written, so
+    the planner knows their bytes and broadcasts them if small.
     """
-    g = (dedup_groups(df, keys, order_col, id_col)
+    h = F.xxhash64(*keys)
+    hashes = df.groupBy(h.alias("__kh")).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("__kh")
+    rows = df.select(id_col, order_col, *keys).withColumn("__kh", h)
+    rows = rows.join(staged(hashes, "repeated-keys"), "__kh", "left_semi").drop("__kh")
+    g = (dedup_groups(rows, keys, order_col, id_col)
          .where(F.col("duplicate_group_size") > 1)
          .select(*keys, "retained_source_row", "retained_id", "duplicate_group_size"))
-    rows = df.select(id_col, order_col, *keys)
     m = join_group_stats(rows, g, keys, "duplicate_group_size", order_col, hot_rows=hot_rows)
     return (m.where(F.col(order_col) != F.col("retained_source_row"))
             .select(F.col(order_col).alias("removed_source_row"),

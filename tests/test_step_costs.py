@@ -81,3 +81,12 @@ def test_spatial_route_makes_its_decisions_once(spark):
     got = polygon.spatial_route(rows.withColumn("buffer_inside", decided("buffer_inside")), n=5, hot_rows=7).collect()
     assert len(got) == 40 and made.value == 40
     assert {r.species_key: r.spatial_records for r in got} == {"s": 10, None: 10}
+
+
+def test_removed_map_groups_only_rows_whose_keys_recur(spark):
+    rows = spark.createDataFrame([(1, "p", "a", None), (2, "q", None, "a"), (3, "p", "a", None), (4, "r", None, "a"), (5, "s", "b", "c"),
+                                  (6, None, "a", None), (7, "t", None, None), (8, "t", None, None)],
+                                 "source_row long, id string, x string, y string")
+    m = dedup.removed_map(rows, ["x", "y"], hot_rows=2)
+    assert "LeftSemi" in _plan(m)
+    assert sorted(tuple(r) for r in m.collect()) == [(3, "p", 1, "p", True), (4, "r", 2, "q", False), (6, None, 1, "p", None), (8, "t", 7, "t", True)]
