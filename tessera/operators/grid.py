@@ -8,11 +8,13 @@ read from the pixel table.
 Sampling is relational: pixels lie in tiles, arrays of cells keyed by (family,
 year, layer, square of the earth) with one cell more to every side.  A point
 joins the tiles of its two layers and reads its values and 3×3 windows by
-index, each raster by its own transform, size and nodata value.
+index, each raster by its own transform, size and nodata value; it does not
+carry a tile on to the next join.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -265,52 +267,59 @@ def prepare_rasters(pixels: DataFrame, headers: DataFrame, cells: int = TILE_CEL
 
 
 class _Cell:
-    """Expressions on one variable of a point row whose cell has been located (see :func:`_located`)."""
+    """Expressions on one variable of a point row whose cell has been located (see :func:`_cells`)."""
 
-    def __init__(self, variable: str, prefix: str):
-        name = f"{prefix}c_{variable}"
-        self.row, self.col, self.width, self.height, self.nodata, self.inside = (
-            F.col(f"{name}.{x}") for x in ("row", "col", "width", "height", "nodata", "inside"))
-        self.tile = F.col(f"{prefix}t_{variable}")
+    def __init__(self, variable: str):
+        self.place, self.row, self.col, self.inside, self.width, self.outside = (
+            F.col(f"__{x}_{variable}") for x in ("place", "row", "col", "inside", "width", "outside"))
+        self.tile = F.col(f"__t_{variable}")
 
-    def at(self, drow: int = 0, dcol: int = 0) -> Column:
-        """The value of the cell or of a neighbour; null where the raster is missing."""
-        place = F.array_position(self.tile["at"], (self.row + drow) * self.width + self.col + dcol)
-        return F.get(self.tile["value"], (place - 1).cast("int"))
+    def at(self, place: Column | None = None) -> Column:
+        """The value at the point's place or at another one of its tile; null where the raster is missing."""
+        found = F.array_position(self.tile["at"], self.place if place is None else place)
+        return F.get(self.tile["value"], (found - 1).cast("int"))
 
     def value(self) -> Column:
-        return F.when(self.inside, self.at()).otherwise(F.coalesce(self.nodata, F.lit(0.0)))
+        return F.when(self.inside, self.at()).otherwise(self.outside)
 
 
-def _located(p: DataFrame, prefix: str, lon: str, lat: str) -> DataFrame:
-    """Replaces the headers of a join by the point's cell in each raster."""
-    known = {v: F.coalesce(F.col(f"{prefix}h_{v}"), F.col(f"l_{v}")) for v in VARIABLES}
-    p = p.withColumns({f"{prefix}h_{v}": k for v, k in known.items()})
-    cells = {}
+def _cells(lon: str, lat: str) -> dict[str, Column]:
+    """The point's cell in each raster: its place, row and column, whether it is inside (else the value it takes), and the
+    raster's width if the 3x3 window is complete."""
+    out = {}
     for v in VARIABLES:
-        h = F.col(f"{prefix}h_{v}")
+        h = F.coalesce(F.col(f"__h_{v}"), F.col(f"l_{v}"))
         row, col = F.floor((F.col(lat) - h["f"]) / h["e"]).cast("long"), F.floor((F.col(lon) - h["c"]) / h["a"]).cast("long")
         inside = F.coalesce((row >= 0) & (row < h["height"]) & (col >= 0) & (col < h["width"]), F.lit(False))
-        cells[f"{prefix}c_{v}"] = F.struct(row.alias("row"), col.alias("col"), h["width"].alias("width"), h["height"].alias("height"),
-                                           h["nodata"].alias("nodata"), inside.alias("inside"))
-    return p.withColumns(cells).drop(*[f"{prefix}h_{v}" for v in VARIABLES])
+        whole = (row >= 1) & (row <= h["height"] - 2) & (col >= 1) & (col <= h["width"] - 2)
+        out |= {f"__place_{v}": F.when(inside, row * h["width"] + col), f"__row_{v}": row, f"__col_{v}": col, f"__inside_{v}": inside,
+                f"__width_{v}": F.when(whole, h["width"]), f"__outside_{v}": F.coalesce(h["nodata"], F.lit(0.0))}
+    return out
 
 
-def _with_tiles(points: DataFrame, rasters: Rasters, joins: dict[str, tuple[str, str]], lon: str, lat: str) -> DataFrame:
-    """Points with the headers and tiles of each join: prefix -> (family, layer column).  Both are joins on (year, layer)
-    and, for tiles, the square of the point; Spark broadcasts small tables and splits skewed squares."""
-    p = points.withColumns({"__gx": F.floor(F.col(lon) / rasters.side), "__gy": F.floor(F.col(lat) / rasters.side)})
-    p = p.join(F.broadcast(rasters.largest))  # one row
+def _read_tiles(points: DataFrame, rasters: Rasters, joins: dict[str, tuple[str, str]], read: Callable[[DataFrame, str, dict[str, _Cell]], DataFrame],
+                lon: str, lat: str) -> DataFrame:
+    """Points with the columns that ``read`` adds from the headers and tiles of each join: prefix -> (family, layer column).
+    Both are joins on (year, layer) and, for tiles, the square of the point; Spark broadcasts small tables and splits skewed
+    squares.  Each tile is read where it is met: what the next join sorts are a point's numbers, neither headers, which
+    repeat with every point and so are small in a shuffle and large in a sort, nor tiles."""
+    p = points
+    cells = {v: _Cell(v) for v in VARIABLES}
     for prefix, (family, layer) in joins.items():
+        kept = p.columns
         heads = rasters.headers.where(F.col("family") == family)
-        heads = heads.select(F.col("year").alias("__y"), F.col("layer").alias("__l"), *[F.col(f"h_{v}").alias(f"{prefix}h_{v}") for v in VARIABLES])
-        p = p.join(heads, (F.col("year_final") == F.col("__y")) & (F.col(layer) == F.col("__l")), "left").drop("__y", "__l")
+        heads = heads.select(F.col("year").alias("__y"), F.col("layer").alias("__l"), *[F.col(f"h_{v}").alias(f"__h_{v}") for v in VARIABLES])
+        p = p.join(heads, (F.col("year_final") == F.col("__y")) & (F.col(layer) == F.col("__l")), "left")
+        p = p.join(F.broadcast(rasters.largest))  # one row
+        p = p.select(*kept, F.floor(F.col(lon) / rasters.side).alias("__gx"), F.floor(F.col(lat) / rasters.side).alias("__gy"),
+                     *[c.alias(name) for name, c in _cells(lon, lat).items()])
         tiles = rasters.tiles.where(F.col("family") == family)
         tiles = tiles.select(F.col("year").alias("__y"), F.col("layer").alias("__l"), F.col("gx").alias("__tx"), F.col("gy").alias("__ty"),
-                             *[F.col(f"t_{v}").alias(f"{prefix}t_{v}") for v in VARIABLES])
+                             *[F.col(f"t_{v}").alias(f"__t_{v}") for v in VARIABLES])
+        working = [c for c in p.columns if c not in kept] + tiles.columns
         p = p.join(tiles, (F.col("year_final") == F.col("__y")) & (F.col(layer) == F.col("__l")) & (F.col("__gx") == F.col("__tx"))
-                   & (F.col("__gy") == F.col("__ty")), "left").drop("__y", "__l", "__tx", "__ty")
-        p = _located(p, prefix, lon, lat)
+                   & (F.col("__gy") == F.col("__ty")), "left")
+        p = read(p, prefix, cells).drop(*working)
     return p
 
 
@@ -329,10 +338,12 @@ def sample_tiles(points: DataFrame, rasters: Rasters, mode: str = "independent",
     Out-of-bounds cells take the raster's nodata value, or 0 when none is declared.  A point whose raster is missing
     is judged by the variable's largest grid and gets a NULL value.
     """
-    p = _with_tiles(points, rasters, _joins(mode), lon, lat)
-    cells = {v: _Cell(v, "p" if v in PHY_VARIABLES else "b") for v in VARIABLES}
-    p = p.select("source_row", "phy_layer", "bgc_layer", *keep, *[c.value().alias(v) for v, c in cells.items()],
-                 *[c.inside.alias(f"__in_{v}") for v, c in cells.items()])
+    def read(p: DataFrame, prefix: str, cells: dict[str, _Cell]) -> DataFrame:
+        mine = {v: c for v, c in cells.items() if (v in PHY_VARIABLES) == (prefix == "p")}
+        return p.withColumns({f"__v_{v}": c.value() for v, c in mine.items()} | {f"__in_{v}": c.inside for v, c in mine.items()})
+
+    p = _read_tiles(points, rasters, _joins(mode), read, lon, lat)
+    p = p.select("source_row", "phy_layer", "bgc_layer", *keep, *[F.col(f"__v_{v}").alias(v) for v in VARIABLES], *[f"__in_{v}" for v in VARIABLES])
 
     def mask(flag) -> Column:
         return sum((F.when(flag(v), F.lit(1 << i)).otherwise(0) for i, v in enumerate(VARIABLES)), F.lit(0)).cast("int")
@@ -346,14 +357,19 @@ def sample_long(points: DataFrame, pixels: DataFrame, spec: GridSpec, mode: str
     """One row per (point, variable): layer, cell, inside flag and value; the rows of a point are made after its values
     are read."""
     rasters = rasters or prepare_rasters(pixels, with_spec(raster_headers(pixels), spec))
-    p = _with_tiles(points, rasters, _joins(mode), lon, lat)
-    items = []
-    for v in variables:
-        cell = _Cell(v, "p" if v in PHY_VARIABLES else "b")
-        layer = F.col("phy_layer") if mode == "shared_phy" or v in PHY_VARIABLES else F.col("bgc_layer")
-        items.append(F.struct(F.lit(v).alias("variable"), layer.alias("layer"), cell.row.alias("row"), cell.col.alias("col"),
-                              F.lit(VARIABLES.index(v)).alias("bit"), cell.inside.alias("inside"), cell.value().cast("double").alias("value")))
-    return p.select(*[F.col(c).alias("year" if c == "year_final" else c) for c in points.columns], F.inline(F.array(*items)))
+
+    def read(p: DataFrame, prefix: str, cells: dict[str, _Cell]) -> DataFrame:
+        items = {}
+        for v, cell in cells.items():
+            if v in variables and (v in PHY_VARIABLES) == (prefix == "p"):
+                layer = F.col("phy_layer") if mode == "shared_phy" or v in PHY_VARIABLES else F.col("bgc_layer")
+                items[f"__i_{v}"] = F.struct(F.lit(v).alias("variable"), layer.alias("layer"), cell.row.alias("row"), cell.col.alias("col"),
+                                             F.lit(VARIABLES.index(v)).alias("bit"), cell.inside.alias("inside"), cell.value().cast("double").alias("value"))
+        return p.withColumns(items)
+
+    p = _read_tiles(points, rasters, _joins(mode), read, lon, lat)
+    return p.select(*[F.col(c).alias("year" if c == "year_final" else c) for c in points.columns],
+                    F.inline(F.array(*[F.col(f"__i_{v}") for v in variables])))
 
 
 def sample_conventions(points: DataFrame, rasters: Rasters, repeated: DataFrame | None = None, lon: str = "lon",
@@ -362,13 +378,15 @@ def sample_conventions(points: DataFrame, rasters: Rasters, repeated: DataFrame
     One row of a point holds its tiles of both, so the two meet without a join on the point.  ``repeated``, if given, names
     the ids that several points bear: of those, each value of the one kind goes with each of the other.  A null id meets
     nothing."""
-    p = _with_tiles(points.where(F.col("source_row").isNotNull()), rasters,
-                    {"p": ("phy", "phy_layer"), "b": ("bgc", "bgc_layer"), "s": ("bgc", "phy_layer")}, lon, lat)
+    def read(p: DataFrame, prefix: str, cells: dict[str, _Cell]) -> DataFrame:
+        return p.withColumns({f"__{prefix}_{v}": c.value().cast("double") for v, c in cells.items() if (v in PHY_VARIABLES) == (prefix == "p")})
+
+    p = _read_tiles(points.where(F.col("source_row").isNotNull()), rasters,
+                    {"p": ("phy", "phy_layer"), "b": ("bgc", "bgc_layer"), "s": ("bgc", "phy_layer")}, read, lon, lat)
     items = []
     for v in VARIABLES:
         own, shared = ("p", "p") if v in PHY_VARIABLES else ("b", "s")
-        items.append(F.struct(F.lit(v).alias("variable"), _Cell(v, shared).value().cast("double").alias("shared_value"),
-                              _Cell(v, own).value().cast("double").alias("independent_value")))
+        items.append(F.struct(F.lit(v).alias("variable"), F.col(f"__{shared}_{v}").alias("shared_value"), F.col(f"__{own}_{v}").alias("independent_value")))
     both = p.select("source_row", F.inline(F.array(*items)))
     if repeated is None:
         return both
@@ -403,16 +421,23 @@ def neighbour_matches(points: DataFrame, rasters: Rasters, variables=("chl", "no
     """3×3 neighbourhood cells (complete windows only), on the physical and on the independent layer of each variable, whose
     value equals the independently sampled one: (source_row, variable, layer, drow, dcol).  The window is read off the
     point's tile; only cells that match become rows."""
-    p = _with_tiles(points, rasters, {"b": ("bgc", "bgc_layer"), "s": ("bgc", "phy_layer")}, lon, lat)
-    found = []
-    for v in variables:
-        own = _Cell(v, "b")
-        for prefix, layer in (("b", "bgc_layer"), ("s", "phy_layer")):
-            cell = _Cell(v, prefix)
-            whole = (cell.row >= 1) & (cell.row <= cell.height - 2) & (cell.col >= 1) & (cell.col <= cell.width - 2)
+    window = F.array(*[F.lit(i) for i in range(9)])  # a cell's number in the 3x3 window, row by row
+    drow, dcol = lambda i: F.floor(i / 3).cast("int") - 1, lambda i: i % 3 - 1
+
+    def read(p: DataFrame, prefix: str, cells: dict[str, _Cell]) -> DataFrame:
+        if prefix == "b":
+            p = p.withColumns({f"__own_{v}": F.when(cells[v].inside, cells[v].at()) for v in variables})
+        matches = {}
+        for v in variables:
+            cell, own = cells[v], F.col(f"__own_{v}")
+            whole = cell.width.isNotNull() & own.isNotNull()
             if prefix == "s":
                 whole &= F.col("phy_layer") != F.col("bgc_layer")
-            window = F.array(*[F.struct(F.lit(v).alias("variable"), F.col(layer).alias("layer"), F.lit(dr).alias("drow"), F.lit(dc).alias("dcol"),
-                                        (cell.at(dr, dc) == own.at()).alias("same")) for dr in (-1, 0, 1) for dc in (-1, 0, 1)])
-            found.append(F.when(whole & own.inside, F.filter(window, lambda x: x["same"])).otherwise(F.filter(window, lambda x: F.lit(False))))
-    return p.select("source_row", F.inline(F.concat(*found))).drop("same")
+            same = F.filter(window, lambda i: cell.at(cell.place + drow(i) * cell.width + dcol(i)) == own)  # noqa: B023
+            matches[f"__{prefix}_{v}"] = F.when(whole, same).otherwise(F.array().cast("array<int>"))
+        return p.withColumns(matches)
+
+    p = _read_tiles(points, rasters, {"b": ("bgc", "bgc_layer"), "s": ("bgc", "phy_layer")}, read, lon, lat)
+    found = [F.transform(f"__{prefix}_{v}", lambda i: F.struct(F.lit(v).alias("variable"), F.col(layer).alias("layer"), drow(i).alias("drow"), dcol(i).alias("dcol")))  # noqa: B023
+             for v in variables for prefix, layer in (("b", "bgc_layer"), ("s", "phy_layer"))]
+    return p.select("source_row", F.inline(F.concat(*found)))

@@ -68,6 +68,38 @@ def test_tiles_hold_every_variable_of_a_square(spark):
     assert got["bgc", 0, -1].t_chl["value"] == [3.0]
 
 
+def test_tiles_and_headers_are_not_carried_to_the_next_join(spark):
+    """What the tasks of a later join sort holds a point's numbers only: no tile, no header of any raster."""
+    pixels = spark.createDataFrame([(v, 2000, layer, r, c, float((layer + i + r * c) % 3)) for i, v in enumerate(grid.VARIABLES)
+                                    for layer in (1, 2) for r in range(4) for c in range(4)],
+                                   "variable string, year int, layer int, row int, col int, value double")
+    points = spark.createDataFrame([(1, 1.5, -1.5, 2000, 1, 2), (1, 1.5, -1.5, 2000, 1, 2), (2, 9.5, -1.5, 2000, 2, 2), (3, 2.5, -2.5, 2001, 1, 1),
+                                    (None, 2.5, -1.5, 2000, 2, 1), (4, None, -1.5, 2000, 1, 2), (5, 0.5, -0.5, None, None, 2)],
+                                   "source_row long, lon double, lat double, year_final int, phy_layer int, bgc_layer int")
+    rasters = grid.prepare_rasters(pixels, grid.with_spec(grid.raster_headers(pixels), grid.GridSpec(c=0.0, a=1.0, f=0.0, e=-1.0)))
+    value = {(r.variable, r.layer, r.row, r.col): r.value for r in pixels.collect()}
+    want = sorted([(s, v, layer, dr, dc) for s, row, col, phy, bgc in ((1, 1, 1, 1, 2), (1, 1, 1, 1, 2), (None, 1, 2, 2, 1)) for v in ("chl", "no3", "o2")
+                   for layer in (phy, bgc) for dr in (-1, 0, 1) for dc in (-1, 0, 1) if value[v, layer, row + dr, col + dc] == value[v, bgc, row, col]], key=str)
+    near = grid.neighbour_matches(points, rasters)
+    assert sorted((tuple(r) for r in near.collect()), key=str) == want
+    masks = sorted(((r.source_row, r.environment_outside_mask, r.environment_invalid_mask) for r in grid.sample_tiles(points, rasters).collect()), key=str)
+    assert masks == sorted([(1, 0, 0), (1, 0, 0), (2, 31, 0), (3, 0, 31), (None, 0, 0), (4, 31, 0), (5, 0, 31)], key=str)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (grid.neighbour_matches(points, rasters), grid.sample_tiles(points, rasters), grid.sample_conventions(points, rasters)):
+            plan = df._jdf.queryExecution().optimizedPlan()
+            joins, todo = [], [plan]
+            while todo:
+                node = todo.pop()
+                todo += [node.children().apply(i) for i in range(node.children().size())]
+                if node.nodeName() == "Join" and node.condition().isDefined():
+                    joins.append(node.children().apply(0).schema().catalogString())
+            assert len(joins) >= 4 and not any("array<bigint>" in x or "width:" in x or "nodata:" in x for x in joins), joins
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_spatial_route_makes_its_decisions_once(spark):
     made = spark.sparkContext.accumulator(0)
 
