@@ -230,9 +230,9 @@ def prepare_rasters(pixels: DataFrame, headers: DataFrame, cells: int = TILE_CEL
     from ..session import scratch_path
     spark = pixels.sparkSession
 
-    def staged(df: DataFrame, name: str) -> DataFrame:
+    def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
         path = scratch_path(spark, name)
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     raster = ["variable", "year", "layer"]
@@ -263,7 +263,9 @@ def prepare_rasters(pixels: DataFrame, headers: DataFrame, cells: int = TILE_CEL
         *[F.flatten(F.collect_list(F.when(F.col("variable") == v, F.col("cells")))).alias(f"t_{v}") for v in VARIABLES])
     # Two arrays side by side: looking up a place does not copy the cells.
     tiles = tiles.withColumns({f"t_{v}": F.struct(F.col(f"t_{v}.at").alias("at"), F.col(f"t_{v}.value").alias("value")) for v in VARIABLES})
-    return Rasters(staged(wide, "raster-heads"), staged(tiles, "raster-tiles"), staged(largest, "raster-largest"), side)
+    # Headers repeat: plain, their file has the bytes that they take in a join, and only few are broadcast.
+    plain = {"compression": "uncompressed", "parquet.enable.dictionary": "false"}
+    return Rasters(staged(wide, "raster-heads", **plain), staged(tiles, "raster-tiles"), staged(largest, "raster-largest"), side)
 
 
 class _Cell:

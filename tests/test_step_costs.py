@@ -17,6 +17,28 @@ def test_fixture_is_read_by_column(spark):
     assert "ReadSchema: struct<scientificname:string>" in plan
 
 
+def test_pixels_read_the_line_items_once(spark, monkeypatch):
+    """The cells are counted once, not once for each variable, and the rows are those of the fixture's SQL."""
+    from tessera import session
+    plans, staged = [], session.staged
+    monkeypatch.setattr(session, "staged", lambda df, name: (plans.append(_plan(df)), staged(df, name))[1])
+    px = fx.load(spark, SMALL + "/.", "fx4")  # a path that no other test has loaded
+    assert sum(line.count("Relation [") for plan in plans for line in plan.splitlines() if "l_shipdate" in line) == 1, plans
+    want = spark.sql(fx.FIXTURES["fx4"][0])
+    assert px.dtypes == want.dtypes
+    assert px.exceptAll(want).isEmpty() and want.exceptAll(px).isEmpty()
+
+
+def test_the_planner_knows_the_bytes_of_headers(spark):
+    """Headers that repeat take few bytes in a file of dictionaries, and as many as others in a broadcast."""
+    n = 3000
+    pixels = spark.range(n).selectExpr("'so' AS variable", "2000 AS year", "cast(id AS int) AS layer", "0 AS row", "0 AS col", "1.0D AS value")
+    heads = grid.prepare_rasters(pixels, grid.with_spec(grid.raster_headers(pixels), grid.GridSpec())).headers
+    assert heads.count() == n
+    used = heads.select("year", "layer", "h_so")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert used >= n * 12, used
+
+
 def test_a_filter_on_route_parses_each_number_once(spark):
     rows = spark.createDataFrame([(1, "a", "5", "1", "2", "2000"), (2, "a", None, "x", "2", "19x8"), (3, "b", "inf", "1", "95", "1998.5"),
                                   (4, None, "-5", " NA ", "2", None), (5, "c", "1d", "1", "2", "1850")],
